@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.windows import Cycle, in_cycle
-from tidewright.operators.sizing import BROADCAST_BYTES, are_small, measured_bytes
-from tidewright.operators.skew import hot_groups, hot_keys, number_in_groups
+from tidewright.operators.sizing import BROADCAST_BYTES, are_small, measured_bytes, row_counts
+from tidewright.operators.skew import hot_groups, hot_keys, is_large, number_in_groups
 from tidewright.operators.timed import Timed, combine, join_changed, rows_in_cycle
+from tidewright.session import checkpointed
 
 
 def passthrough(df: DataFrame, ts: str, cycle: Cycle | None = None) -> DataFrame:
@@ -125,7 +126,10 @@ def _touched(
     links: Sequence[Timed], entity: Timed, other: Timed, on: str, other_on: str, cycle: Cycle,
     limit: int,
 ) -> DataFrame | None:
-    """Distinct entity keys with a changed input, if they fit a broadcast."""
+    """Distinct entity keys with a changed input, if they fit a broadcast.
+
+    They are needed in three joins, so they are computed once and kept.
+    """
     first, second = links
     keys = [t.changed(cycle).select(on) for t in (first, entity, second)]
     others = other.changed(cycle).select(other_on)
@@ -135,7 +139,7 @@ def _touched(
     if size:
         via = second.df.select(on, other_on).join(F.broadcast(others), [other_on], "left_semi")
         keys.append(via.select(on))
-    touched = reduce(DataFrame.union, keys).dropna().distinct()
+    touched = checkpointed(reduce(DataFrame.union, keys).dropna().distinct())
     return touched if are_small(touched, limit=limit) else None
 
 
@@ -158,20 +162,21 @@ def bridge(
     `second`. The result has as many rows per entity as the product of its links, so an entity
     with many links on either side is spread as a grid over many tasks.
 
-    The delta form keeps pairs with any of the four inputs inside the cycle. While the touched
-    entities fit a broadcast, links of all other entities are dropped at the scans; pairs of
-    which no input changed are never formed.
+    The delta form keeps pairs with any of the four inputs inside the cycle. On large tables,
+    while the touched entities fit a broadcast, links of all other entities are dropped at the
+    scans; pairs of which no input changed are never formed.
     """
-    if cycle is not None:
+    n_first, n_second = row_counts(first.df, second.df)
+    hot_first = hot_keys(first.df.select(on).dropna(), [on], min_rows, n_first)
+    hot_second = hot_keys(second.df.select(on).dropna(), [on], min_rows, n_second)
+    hot_other = hot_keys(second.df.select(other_on).dropna(), [other_on], min_rows, n_second)
+    if cycle is not None and is_large(n_first + n_second, min_rows):
         touched = _touched((first, second), entity, other, on, other_on, cycle, limit)
         if touched is not None:
             first, entity, second = (
                 Timed(t.df.join(F.broadcast(touched), [on], "left_semi"), t.ts)
                 for t in (first, entity, second)
             )
-    hot_first = hot_keys(first.df.select(on).dropna(), [on], min_rows)
-    hot_second = hot_keys(second.df.select(on).dropna(), [on], min_rows)
-    hot_other = hot_keys(second.df.select(other_on).dropna(), [other_on], min_rows)
 
     left = combine(first, entity, [on], hot_first)
     right = combine(second, other, [other_on], hot_other)

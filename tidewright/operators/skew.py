@@ -32,23 +32,34 @@ def any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def _probe(df: DataFrame, rows: int) -> DataFrame:
-    return df.sample(fraction=min(1.0, PROBE_ROWS / rows), seed=7)
+def is_large(rows: int, min_rows: int | None = None) -> bool:
+    """Whether so many rows need any care about how they are laid out."""
+    return rows > 0 and rows >= (MIN_ROWS if min_rows is None else min_rows)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> list[int]:
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], min_rows: int | None = None, rows: int | None = None
+) -> list[int]:
     """Hashes of the keys that hold more than `HOT_SHARE` of the rows, at most 2,000.
 
-    Costs a count (footers only, on plain parquet) and, above `min_rows`, one scan of the key
-    columns whose probe rows are counted with map-side combine.
+    Costs a count (footers only, on plain parquet; none if `rows` is given) and, for a large
+    frame, one scan of the key columns whose probe rows are counted with map-side combine.
     """
-    rows = df.count()
-    if rows == 0 or rows < (MIN_ROWS if min_rows is None else min_rows):
-        return []
-    probe = _probe(df.select(key_hash(keys).alias("h")), rows)
-    floor = max(2.0, min(rows, PROBE_ROWS) * HOT_SHARE)
-    found = probe.groupBy("h").count().where(F.col("count") > floor).select("h").collect()
-    return sorted(r["h"] for r in found)
+    return sorted(_hot_shares(df, keys, min_rows, rows))
+
+
+def _hot_shares(
+    df: DataFrame, keys: Sequence[str], min_rows: int | None, rows: int | None
+) -> dict[int, float]:
+    """Hash of each hot key, with the number of rows it is estimated to hold."""
+    rows = df.count() if rows is None else rows
+    if not is_large(rows, min_rows):
+        return {}
+    fraction = min(1.0, PROBE_ROWS / rows)
+    probe = df.select(key_hash(keys).alias("h")).sample(fraction=fraction, seed=7)
+    floor = max(2.0, rows * fraction * HOT_SHARE)
+    found = probe.groupBy("h").count().where(F.col("count") > floor).collect()
+    return {r["h"]: r["count"] / fraction for r in found}
 
 
 def _is_hot(keys: Sequence[str], hot: Sequence[int]) -> Column:
@@ -124,13 +135,14 @@ def hot_groups(
     df: DataFrame, group: Sequence[str], order: str, min_rows: int | None = None
 ) -> HotGroups:
     """Hot groups of `df` and cut points that split their rows into similar shares."""
-    hashes = hot_keys(df, group, min_rows)
-    if not hashes:
+    shares = _hot_shares(df, group, min_rows, None)
+    if not shares:
         return HotGroups()
+    hashes = sorted(shares)
     hot = df.where(_is_hot(group, hashes)).select(order).dropna()
     # A few hundred values per slice; they only place the cuts.
-    wanted = SLICES * 200
-    seen = hot.sample(fraction=min(1.0, wanted / max(1, hot.count())), seed=7)
+    fraction = min(1.0, SLICES * 200 / sum(shares.values()))
+    seen = hot.sample(fraction=fraction, seed=7)
     values = [r[0] for r in seen.orderBy(order).collect()]
     cuts = sorted({values[len(values) * i // SLICES] for i in range(1, SLICES)}) if values else []
     return HotGroups(tuple(hashes), tuple(cuts))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "tidewright", **extra: str) -> SparkSession:
@@ -28,11 +28,11 @@ def local_session(cores: int | str = "*", app: str = "tidewright", **extra: str)
     return builder.getOrCreate()
 
 
-def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the shared folder the cluster names in `spark.checkpoint.dir`.
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in `spark.checkpoint.dir`, which all executors share.
 
-    Only a session that names none (a local test) gets a folder of its own, and that
-    choice is written back so that every later call of the session shares it.
+    Only a session that names none (a local test) gets a folder of its own, and that choice
+    is written back so that every later call of the session uses it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
@@ -40,4 +40,17 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="tidewright-")
         spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    return shared.rstrip("/")
+
+
+def work_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder below the shared one."""
+    return f"{_shared_folder(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The frame's rows, computed once and kept in the shared folder."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(_shared_folder(spark))
+    return df.checkpoint(eager=True)
