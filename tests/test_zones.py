@@ -1,0 +1,191 @@
+import random
+from collections import Counter
+
+import pytest
+from helpers import at, bag
+from pyspark.sql import functions as F
+
+from tidewright.functions.windows import Cycle
+from tidewright.operators.quality import ConstraintViolation, require_keys_after_upsert
+from tidewright.sources import zones
+from tidewright.sources.files import Folder
+from tidewright.sources.runlog import DONE, FAILED, STEP, TRANSFORM, Line, RunLog
+from tidewright.sources.zones import Zone, ZoneTable
+
+SCHEMA = "k int, j string, v int"
+
+
+def rows(rng, n):
+    return [
+        (rng.choice([None, *range(12)]), rng.choice([None, "a", "b"]), rng.randrange(1000))
+        for _ in range(n)
+    ]
+
+
+def merged(target, source, width):
+    gone = {r[:width] for r in source if None not in r[:width]}
+    return [r for r in target if r[:width] not in gone] + source
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "j"]])
+@pytest.mark.parametrize("key_bytes", [None, 0])
+def test_merges_equal_their_sequence(spark, folder, monkeypatch, keys, key_bytes):
+    rng = random.Random(len(keys))
+    if key_bytes is not None:
+        monkeypatch.setattr(zones, "KEY_BYTES", key_bytes)
+        monkeypatch.setattr(ZoneTable, "_is_worn", lambda self, manifest: False)
+    table = ZoneTable(spark, f"{folder}/t", keys)
+    want = rows(rng, 40)
+    table.replace(spark.createDataFrame(want, SCHEMA))
+    for size in (3, 1, 0, 6):
+        delta = rows(rng, size)
+        assert table.upsert(spark.createDataFrame(delta, SCHEMA)) == size
+        want = merged(want, delta, len(keys))
+        assert bag(table.read()) == Counter(want)
+    assert len(table.current().segments) == 4
+    table.compact()
+    assert len(table.current().segments) == 1 and bag(table.read()) == Counter(want)
+
+
+def test_merging_writes_the_delta_only(spark, folder):
+    table = ZoneTable(spark, f"{folder}/t", ["id"])
+    table.replace(spark.range(1000))
+    before = {s.path for s in table.current().segments}
+    table.upsert(spark.range(5))
+    after = table.current().segments
+    assert before < {s.path for s in after} and after[-1].rows == 5
+
+
+def test_reader_does_not_shuffle_the_base(spark, folder):
+    table = ZoneTable(spark, f"{folder}/t", ["id"])
+    table.replace(spark.range(1000))
+    table.upsert(spark.range(5))
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    table.upsert(spark.range(3, 9))
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+
+
+def test_filters_reach_the_segments(spark, folder):
+    table = ZoneTable(spark, f"{folder}/t", ["id"])
+    table.replace(spark.range(1000))
+    table.upsert(spark.range(5))
+    plan = table.read().where("id > 900")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("GreaterThan(id,900)") >= 2
+
+
+def test_refused_merge_leaves_the_table(spark, folder):
+    table = ZoneTable(spark, f"{folder}/t", ["id"])
+    table.replace(spark.range(10))
+    twice = spark.range(3).union(spark.range(3))
+
+    def check(whole, delta):
+        require_keys_after_upsert(whole, delta, ["id"])
+
+    with pytest.raises(ConstraintViolation):
+        table.upsert(twice, check)
+    assert bag(table.read()) == bag(spark.range(10))
+    # The refused segment is named by no manifest and can go.
+    assert len(table.vacuum()) == 1
+    assert bag(table.read()) == bag(spark.range(10))
+
+
+def test_failed_job_leaves_the_table(spark, folder):
+    table = ZoneTable(spark, f"{folder}/t", ["id"])
+    table.replace(spark.range(10))
+    broken = spark.range(10).select(F.raise_error(F.lit("lost")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        table.replace(broken)
+    assert bag(table.read()) == bag(spark.range(10))
+
+
+def test_replace_from_itself(spark, folder):
+    table = ZoneTable(spark, f"{folder}/t", ["id"])
+    table.replace(spark.range(10))
+    table.replace(table.read().where("id > 6"))
+    assert bag(table.read()) == Counter([(7,), (8,), (9,)])
+
+
+def test_merge_checks_columns(spark, folder):
+    table = ZoneTable(spark, f"{folder}/t", ["k"])
+    table.replace(spark.createDataFrame([(1, "a")], "k bigint, v string"))
+    table.upsert(spark.createDataFrame([(1, "b")], "other int, name string"))
+    assert bag(table.read()) == Counter([(1, "b")])
+    with pytest.raises(ValueError):
+        table.upsert(spark.range(3))
+    with pytest.raises(TypeError):
+        table.upsert(spark.createDataFrame([("b", 1)], "v string, k int"))
+
+
+def test_worn_table_is_compacted(spark, folder, monkeypatch):
+    monkeypatch.setattr(zones, "MAX_DELTAS", 2)
+    table = ZoneTable(spark, f"{folder}/t", ["id"])
+    table.replace(spark.range(1000))
+    table.upsert(spark.range(3))
+    assert len(table.current().segments) == 2
+    table.upsert(spark.range(3))
+    assert len(table.current().segments) == 1 and table.read().count() == 1000
+    assert len(table.vacuum(keep=1)) == 3 and table.read().count() == 1000
+
+
+def test_keys_too_large_to_broadcast_compact(spark, folder, monkeypatch):
+    monkeypatch.setattr(zones, "KEY_BYTES", 100)
+    table = ZoneTable(spark, f"{folder}/t", ["id"])
+    table.replace(spark.range(1000))
+    table.upsert(spark.range(3))
+    assert len(table.current().segments) == 2
+    table.upsert(spark.range(990, 1010))
+    assert len(table.current().segments) == 1 and table.read().count() == 1010
+
+
+def test_second_writer_is_refused(spark, folder):
+    table = ZoneTable(spark, f"{folder}/t", ["id"])
+    table.replace(spark.range(3))
+    with pytest.raises(FileExistsError):
+        table._commit(table.current())
+
+
+def test_batches_are_merged_once(spark, folder):
+    table = ZoneTable(spark, f"{folder}/t", ["id"])
+    table.replace(spark.range(3))
+    assert table.upsert(spark.range(2), batch=("s", 0)) == 2
+    assert table.upsert(spark.range(9), batch=("s", 0)) == 0
+    assert table.upsert(spark.range(0), batch=("s", 1)) == 0
+    assert table.upsert(spark.range(9), batch=("s", 1)) == 0
+    assert table.upsert(spark.range(4), batch=("other", 0)) == 4
+    assert table.read().count() == 4
+
+
+def test_unpublished_table(spark, folder):
+    table = Zone(spark, folder).table("t", ["id"])
+    assert not table.exists()
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    table.replace(spark.range(1))
+    assert Zone(spark, folder).tables() == ["t"]
+    with pytest.raises(ValueError):
+        ZoneTable(spark, f"{folder}/keyless").replace(spark.range(1))
+        ZoneTable(spark, f"{folder}/keyless").upsert(spark.range(1))
+
+
+def test_text_files_appear_whole(spark, folder):
+    files = Folder(spark, f"{folder}/new")
+    assert files.names() == []
+    files.create_text("a", "grün")
+    assert files.read_text("a") == "grün"
+    with pytest.raises(FileExistsError):
+        files.create_text("a", "other")
+    assert files.read_text("a") == "grün"
+
+
+def test_run_log(spark, folder):
+    log = RunLog(spark, f"{folder}/log")
+    assert log.done_upto() is None and log.read().count() == 0
+    first = Cycle.of("2024-01-01", "2024-01-02")
+    second = Cycle.of("2024-01-02", "2024-01-03")
+    log.add("r1", TRANSFORM, first, [Line("a", 3), Line(STEP, 1)])
+    log.add("r2", TRANSFORM, second, [Line("a", None, FAILED, "lost")])
+    assert log.done_upto() == at("2024-01-02")
+    log.add("r3", TRANSFORM, second, [Line("a", 0, DONE), Line(STEP, 1)])
+    assert log.done_upto() == at("2024-01-03") and log.read().count() == 5

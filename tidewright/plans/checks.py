@@ -12,7 +12,7 @@ def warehouse_checks(dw: Source, as_of: datetime) -> list[Check]:
     """Film facts without a film warn; stores without inventory for a day or more are errors."""
 
     def empty_for(days: int) -> Check:
-        name = f"store-empty-for-{days}-day{'s' if days > 1 else ''}"
+        name = f"stores_empty_for_{days}_day{'s' if days > 1 else ''}"
         return Check(
             name,
             ERROR,
@@ -25,7 +25,7 @@ def warehouse_checks(dw: Source, as_of: datetime) -> list[Check]:
 
     return [
         Check(
-            "film-facts-without-film",
+            "film_facts_without_film",
             WARNING,
             lambda: orphans(dw("film_fact"), dw("film_dim"), ["film_id"]),
             ("film_id", "actor_id", "category_id"),

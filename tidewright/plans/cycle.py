@@ -91,7 +91,7 @@ class Warehouse:
                 return Line(item.name, None, FAILED, str(problem)[:2000])
 
         with ThreadPoolExecutor(max(1, self.parallel)) as pool:
-            lines = list(pool.map(inheritable_thread_target(one), items))
+            lines = list(pool.map(inheritable_thread_target(self.spark)(one), items))
         failed = [x for x in lines if x.status == FAILED]
         if not failed:
             lines.append(Line(STEP, len(items)))
