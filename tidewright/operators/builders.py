@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.windows import Cycle, in_cycle
 from tidewright.operators.sizing import BROADCAST_BYTES, are_small, measured_bytes, row_counts
-from tidewright.operators.skew import hot_groups, hot_keys, is_large, number_in_groups
+from tidewright.operators.skew import (
+    hot_groups,
+    hot_keys,
+    is_large,
+    number_in_groups,
+    spread_join,
+)
 from tidewright.operators.timed import Timed, combine, join_changed, rows_in_cycle
 from tidewright.session import checkpointed
 
@@ -40,6 +46,7 @@ def qualifier(
     """
     names = list(names)
     rows = df.select(key, *names, ts)
+    may_be_large = True
     if cycle is not None:
         changed = rows.where(in_cycle(ts, cycle))
         if current is None:
@@ -52,8 +59,10 @@ def qualifier(
                 lambda a, b: a & b,
                 [F.col(n).eqNullSafe(F.col(f"__t{i}")) for i, n in enumerate(names)],
             )
+            # The touched groups are costly to count; the table bounds them.
+            may_be_large = is_large(rows.count(), min_rows)
             rows = rows.join(touched, same, "left_semi")
-    hot = hot_groups(rows, names, key, min_rows)
+    hot = hot_groups(rows, names, key, min_rows) if may_be_large else None
     numbered = number_in_groups(rows, names, key, "__number", "__total", hot)
     only_shared = F.when(F.col("__total") > 1, F.col("__number")).alias("qualifier")
     return numbered.select(key, *names, only_shared, ts)
@@ -74,7 +83,7 @@ def lookup(
     """
     both = Timed(rows.df, rows.ts + lookups.ts)
     if cycle is None:
-        hot = hot_keys(rows.df.select(*on), on)
+        hot = hot_keys(rows.keys(*on), on)
         joined = combine(rows, lookups, on, hot).df
     else:
         joined = join_changed(rows, lookups, on, cycle, limit=limit)
@@ -89,7 +98,7 @@ def flatten(chain: Sequence[tuple[Timed, Sequence[str]]], base: Timed) -> Timed:
     if not chain:
         return base
     (nearest, on), rest = chain[0], chain[1:]
-    return combine(base, flatten(rest, nearest), on)
+    return combine(base, flatten(rest, nearest), on, hot_keys(base.keys(*on), on))
 
 
 def snowflake(
@@ -111,15 +120,17 @@ def snowflake(
     one = flat.as_one("__flat_ts")
     time = Timed(rows.df, rows.ts + one.ts).newest().alias(out_ts)
     if cycle is None:
-        hot = hot_keys(rows.df.select(*on), on)
+        hot = hot_keys(rows.keys(*on), on)
         return combine(rows, one, on, hot).df.select(*columns, time)
     if not both:
         return join_changed(rows, one, on, cycle, limit=limit).select(*columns, time)
     changed = rows.changed(cycle)
+    any_changed = Timed(flat.changed(cycle), flat.ts).as_one("__flat_ts").df
     if are_small(changed, limit=limit):
-        changed = F.broadcast(changed)
-    any_changed = Timed(flat.changed(cycle), flat.ts).as_one("__flat_ts")
-    return changed.join(any_changed.df, list(on)).select(*columns, time)
+        joined = F.broadcast(changed).join(any_changed, list(on))
+    else:
+        joined = spread_join(changed, any_changed, on, hot_left=hot_keys(rows.keys(*on), on))
+    return joined.select(*columns, time)
 
 
 def _touched(
@@ -166,10 +177,10 @@ def bridge(
     while the touched entities fit a broadcast, links of all other entities are dropped at the
     scans; pairs of which no input changed are never formed.
     """
-    n_first, n_second = row_counts(first.df, second.df)
-    hot_first = hot_keys(first.df.select(on).dropna(), [on], min_rows, n_first)
-    hot_second = hot_keys(second.df.select(on).dropna(), [on], min_rows, n_second)
-    hot_other = hot_keys(second.df.select(other_on).dropna(), [other_on], min_rows, n_second)
+    n_first, n_second = row_counts(first.keys(on), second.keys(on))
+    hot_first = hot_keys(first.keys(on), [on], min_rows, n_first)
+    hot_second = hot_keys(second.keys(on), [on], min_rows, n_second)
+    hot_other = hot_keys(second.keys(other_on), [other_on], min_rows, n_second)
     if cycle is not None and is_large(n_first + n_second, min_rows):
         touched = _touched((first, second), entity, other, on, other_on, cycle, limit)
         if touched is not None:

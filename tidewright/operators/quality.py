@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewright.functions.windows import instant, shift
 from tidewright.operators.sizing import BROADCAST_BYTES, are_small
 from tidewright.operators.skew import any_null
+from tidewright.session import checkpointed
 
 SAMPLE_ROWS = 3
 WARNING, ERROR = "warning", "error"
@@ -45,12 +46,17 @@ def _refuse(found: DataFrame, what: str) -> None:
         raise ConstraintViolation(f"{what}: " + "; ".join(str(r.asDict()) for r in sample))
 
 
+def primary_key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once or hold a NULL, with their number of rows."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where((F.col("n") > 1) | any_null(keys))
+
+
 def require_keys(
     df: DataFrame, keys: Sequence[str], uniques: Sequence[Sequence[str]] = (), name: str = "table"
 ) -> None:
     """Refuses a whole table that breaks its primary key or one of its unique keys."""
-    _refuse(null_keys(df, keys).select(*keys), f"{name}: NULL in primary key")
-    _refuse(duplicate_keys(df.select(*keys), keys), f"{name}: duplicate primary key")
+    _refuse(primary_key_violations(df, keys), f"{name}: duplicate or NULL primary key")
     for columns in uniques:
         _refuse(duplicate_uniques(df.select(*columns), columns), f"{name}: duplicate {list(columns)}")
 
@@ -68,8 +74,7 @@ def require_keys_after_upsert(
     the delta holds, so the merged table is reduced to those values before it is counted; if
     they do not fit a broadcast, all of its values are counted.
     """
-    _refuse(null_keys(delta, keys).select(*keys), f"{name}: NULL in primary key")
-    _refuse(duplicate_keys(delta.select(*keys), keys), f"{name}: duplicate primary key")
+    _refuse(primary_key_violations(delta, keys), f"{name}: duplicate or NULL primary key")
     for columns in uniques:
         at_risk = merged.select(*columns)
         values = delta.select(*columns).dropna()
@@ -84,12 +89,14 @@ def orphans(
     """Rows without a parent; a NULL in the key has none.
 
     The distinct keys (combined map-side, so a key with a third of the rows is one row per
-    task) are checked against the parents first. The rows themselves only meet the missing
-    keys, which fit a broadcast unless the tables are badly out of step.
+    task) are checked against the parents first, and the missing ones kept. The rows themselves
+    only meet those, which fit a broadcast unless the tables are badly out of step.
     """
     on = list(on)
-    missing = rows.select(*on).distinct().join(
-        parents.select(*on).dropna().distinct(), on, "left_anti"
+    missing = checkpointed(
+        rows.select(*on).distinct().join(
+            parents.select(*on).dropna().distinct(), on, "left_anti"
+        )
     )
     if are_small(missing, limit=limit):
         missing = F.broadcast(missing)

@@ -56,6 +56,7 @@ def _hot_shares(
     if not is_large(rows, min_rows):
         return {}
     fraction = min(1.0, PROBE_ROWS / rows)
+    # A key with a NULL counts like any other: windows group by it, and joins drop or spread it.
     probe = df.select(key_hash(keys).alias("h")).sample(fraction=fraction, seed=7)
     floor = max(2.0, rows * fraction * HOT_SHARE)
     found = probe.groupBy("h").count().where(F.col("count") > floor).collect()

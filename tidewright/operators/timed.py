@@ -15,10 +15,18 @@ from tidewright.operators.skew import hot_keys, spread_join
 
 @dataclass(frozen=True)
 class Timed:
-    """Rows with the change times of every input they were made from."""
+    """Rows with the change times of every input they were made from.
+
+    Where `df` is costly to make, `probe` may name a frame with the same key columns, and at
+    least as many rows per key, in which hot keys can be looked for instead.
+    """
 
     df: DataFrame
     ts: tuple[str, ...]
+    probe: DataFrame | None = None
+
+    def keys(self, *on: str) -> DataFrame:
+        return (self.df if self.probe is None else self.probe).select(*on)
 
     def changed(self, cycle: Cycle) -> DataFrame:
         """Rows with any input inside the cycle."""
@@ -87,7 +95,7 @@ def join_changed(
         return from_left.unionByName(from_right)
 
     if hot_left is None:
-        hot_left = hot_keys(left.df.select(*on).dropna(), on)
+        hot_left = hot_keys(left.keys(*on), on)
     everything, changed_only = F.lit(0), F.lit(1)
     l_asks = left.df.withColumn(
         "__asks",

@@ -329,8 +329,9 @@ def _film_fact(spark: SparkSession, folder: str, cycle: Cycle | None) -> DataFra
     lines = read("lineitem")
 
     def links(other: str, name: str, ts: str) -> Timed:
-        grouped = lines.groupBy(F.col("l_orderkey").alias("film_id"), F.col(other).alias(name))
-        return Timed(grouped.agg(F.max("l_shipdate").alias(ts)), (ts,))
+        keys = [F.col("l_orderkey").alias("film_id"), F.col(other).alias(name)]
+        grouped = lines.groupBy(*keys).agg(F.max("l_shipdate").alias(ts))
+        return Timed(grouped, (ts,), probe=lines.select(*keys))
 
     orders = read("orders").withColumnRenamed("o_orderkey", "film_id")
     suppliers = read("supplier").select(

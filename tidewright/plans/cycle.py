@@ -68,6 +68,8 @@ class Warehouse:
     minutes: int = CYCLE_MINUTES
     lookback: timedelta = timedelta(0)
     parallel: int = 4
+    # Versions of a table that stay readable; older segments are removed after a cycle.
+    keep: int = 10
 
     def __post_init__(self) -> None:
         if self.qualifier_scope not in (DELTA_SCOPE, GROUP_SCOPE):
@@ -144,8 +146,14 @@ class Warehouse:
         )
         return changed_tables({s.name: (self.raw.read(s.name), s.keys) for s in self.sources})
 
-    def transform(self, cycle: Cycle) -> None:
-        """Builds each warehouse table's delta from staging, checks its keys, and merges it."""
+    def transform(self, cycle: Cycle | None = None) -> None:
+        """Builds each warehouse table's delta from staging, checks its keys, and merges it.
+
+        Without a cycle it takes up the one that was extracted last.
+        """
+        cycle = cycle or self.log.last_cycle(EXTRACT_LOAD)
+        if cycle is None:
+            raise ValueError("no cycle was extracted yet")
         reach = cycle.reach_back(self.lookback)
 
         def merge(spec: TargetSpec) -> int:
@@ -170,6 +178,7 @@ class Warehouse:
         """One whole cycle. Running it again leaves the warehouse as it is."""
         changed = self.extract_load(cycle)
         self.transform(cycle)
+        self.vacuum()
         return changed
 
     def pending(self, as_of: datetime) -> list[Cycle]:
@@ -211,7 +220,8 @@ class Warehouse:
         """Row counts of a zone's tables."""
         return table_row_counts({name: zone.read(name) for name in zone.tables()})
 
-    def vacuum(self, keep: int = 5) -> None:
+    def vacuum(self, keep: int | None = None) -> None:
+        """Removes segments that only versions before the last `keep` name."""
         for zone in (self.raw, self.staging, self.deltas, self.dw):
             for name in zone.tables():
-                zone.table(name).vacuum(keep)
+                zone.table(name).vacuum(self.keep if keep is None else keep)

@@ -16,7 +16,7 @@ DONE, FAILED = "done", "failed"
 EXTRACT_LOAD, TRANSFORM, FULL_LOAD = "extract_load", "transform", "full_load"
 SCHEMA = (
     "run_id string, step string, table_name string, n bigint, status string, message string, "
-    "cycle_from timestamp_ntz, cycle_upto timestamp_ntz, day string"
+    "cycle_from timestamp_ntz, cycle_upto timestamp_ntz, logged_at timestamp_ntz, day string"
 )
 # The name of the line that closes a step.
 STEP = "*"
@@ -39,8 +39,10 @@ class RunLog:
 
     def add(self, run_id: str, step: str, cycle: Cycle, lines: Sequence[Line]) -> None:
         day = cycle.upto.date().isoformat()
+        now = datetime.now()
         rows = [
-            (run_id, step, x.table_name, x.n, x.status, x.message, cycle.start, cycle.upto, day)
+            (run_id, step, x.table_name, x.n, x.status, x.message, cycle.start, cycle.upto, now,
+             day)
             for x in lines
         ]
         self.spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append") \
@@ -51,8 +53,16 @@ class RunLog:
             return self.spark.createDataFrame([], SCHEMA)
         return self.spark.read.schema(SCHEMA).parquet(self.path)
 
+    def _completed(self, step: str) -> DataFrame:
+        whole = (F.col("table_name") == STEP) & (F.col("status") == DONE)
+        return self.read().where((F.col("step") == step) & whole)
+
     def done_upto(self, step: str = TRANSFORM) -> datetime | None:
         """The end of the newest cycle whose step was completed."""
-        whole = (F.col("table_name") == STEP) & (F.col("status") == DONE)
-        found = self.read().where((F.col("step") == step) & whole)
-        return found.agg(F.max("cycle_upto").alias("upto")).first()["upto"]
+        return self._completed(step).agg(F.max("cycle_upto").alias("upto")).first()["upto"]
+
+    def last_cycle(self, step: str) -> Cycle | None:
+        """The cycle whose step was completed last."""
+        last = F.max_by(F.struct("cycle_from", "cycle_upto"), "logged_at").alias("cycle")
+        found = self._completed(step).agg(last).first()["cycle"]
+        return Cycle(found["cycle_from"], found["cycle_upto"]) if found else None
