@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.windows import Cycle
 from tidewright.operators.builders import bridge, flatten, lookup, qualifier, snowflake
+from tidewright.operators.skew import HotKeys
 from tidewright.operators.timed import Timed, join_changed
 
 CYCLE = Cycle.of("2024-01-01", "2024-02-01")
@@ -136,7 +137,8 @@ def test_lookup_delta_any_side(looked_up, limit):
 
 def test_join_changed_with_hot_keys(looked_up):
     rows, names, both = looked_up
-    hashes = [r[0] for r in rows.df.select(F.xxhash64("k")).distinct().collect()]
+    hashes = HotKeys({
+        r[0]: 1 for r in rows.df.select(F.xxhash64("k")).distinct().collect()})
     got = join_changed(rows, names, ["k"], CYCLE, small=False, hot_left=hashes, hot_right=hashes)
     want = Counter((i, n) for i, n, t, u in both if inside(t) or inside(u))
     assert bag(got, "id", "name") == want

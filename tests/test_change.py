@@ -16,6 +16,7 @@ from tidewright.operators.change import (
     update_where,
     upsert,
 )
+from tidewright.operators.skew import HotKeys
 
 SCHEMA = "k int, j int, v string"
 TARGET = [(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (None, 1, "d"), (3, None, "e"), (2, 1, "f")]
@@ -48,8 +49,8 @@ def test_upsert_twice_is_once(spark):
 
 def test_large_key_set_takes_the_shuffled_form(spark, monkeypatch):
     t, s = spark.createDataFrame(TARGET, SCHEMA), spark.createDataFrame(SOURCE, SCHEMA)
-    monkeypatch.setattr(change, "hot_keys", lambda df, keys: [
-        r[0] for r in df.select(F.xxhash64(*keys)).distinct().collect()])
+    monkeypatch.setattr(change, "hot_keys", lambda df, keys: HotKeys({
+        r[0]: 1 for r in df.select(F.xxhash64(*keys)).distinct().collect()}))
     got = upsert(t, s, ["k", "j"], limit=0)
     assert "__l" in got._jdf.queryExecution().optimizedPlan().toString()
     assert bag(got) == model(TARGET, SOURCE)

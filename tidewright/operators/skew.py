@@ -6,22 +6,26 @@ returns the same rows whichever keys are reported as hot.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Below this many rows no single group can be a burden for one task.
+# Below this many rows no single group can be a burden for one task; a hot key is split into
+# parts of about this size.
 MIN_ROWS = 5_000_000
-# A key is hot when it holds more than this share of the rows (so at most 2,000 keys are).
-HOT_SHARE = 1 / 2000
-# Rows looked at to find the hot keys: a key at the threshold shows up about 500 times.
-PROBE_ROWS = 1_000_000
-# Tasks a hot key is spread over, and slices a hot group is numbered in.
-FAN = 32
-SLICES = 64
+# A key is hot when it holds more than this share of the rows (so at most 10,000 keys are).
+HOT_SHARE = 1 / 10_000
+# Rows looked at to find the hot keys: a key at the threshold shows up about 200 times.
+PROBE_ROWS = 2_000_000
+# Numbers of parts a hot key may be split into. A few steps keep the expressions short.
+PARTS = (8, 64, 512, 4096, 32768)
+# Finest slicing of a hot group, and values looked at to place one cut.
+MAX_SLICES = 4096
+VALUES_PER_SLICE = 50
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -37,46 +41,72 @@ def is_large(rows: int, min_rows: int | None = None) -> bool:
     return rows > 0 and rows >= (MIN_ROWS if min_rows is None else min_rows)
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """Hashes of hot keys, each with the number of rows it is estimated to hold."""
+
+    rows: Mapping[int, float] = field(default_factory=dict)
+
+    def __bool__(self) -> bool:
+        return bool(self.rows)
+
+    def _steps(self, most: int) -> dict[int, list[int]]:
+        steps: dict[int, list[int]] = {}
+        for key, rows in sorted(self.rows.items()):
+            parts = next((p for p in PARTS if p * MIN_ROWS >= rows), PARTS[-1])
+            steps.setdefault(min(parts, most), []).append(key)
+        return steps
+
+    def most_parts(self, most: int = PARTS[-1]) -> int:
+        return max(self._steps(most), default=1)
+
+    def parts(self, keys: Sequence[str], most: int = PARTS[-1]) -> Column:
+        """The number of parts a row's key is split into; 1 for keys that are not hot."""
+        hashed, found = key_hash(keys), F.lit(1)
+        for parts, hashes in self._steps(most).items():
+            found = F.when(hashed.isin(hashes), F.lit(parts)).otherwise(found)
+        return found
+
+    def has(self, keys: Sequence[str]) -> Column:
+        return key_hash(keys).isin(list(self.rows)) if self.rows else F.lit(False)
+
+
+NONE_HOT = HotKeys()
+
+
 def hot_keys(
     df: DataFrame, keys: Sequence[str], min_rows: int | None = None, rows: int | None = None
-) -> list[int]:
-    """Hashes of the keys that hold more than `HOT_SHARE` of the rows, at most 2,000.
+) -> HotKeys:
+    """The keys that hold more than `HOT_SHARE` of the rows, at most 10,000.
 
     Costs a count (footers only, on plain parquet; none if `rows` is given) and, for a large
     frame, one scan of the key columns whose probe rows are counted with map-side combine.
     """
-    return sorted(_hot_shares(df, keys, min_rows, rows))
-
-
-def _hot_shares(
-    df: DataFrame, keys: Sequence[str], min_rows: int | None, rows: int | None
-) -> dict[int, float]:
-    """Hash of each hot key, with the number of rows it is estimated to hold."""
     rows = df.count() if rows is None else rows
     if not is_large(rows, min_rows):
-        return {}
+        return NONE_HOT
     fraction = min(1.0, PROBE_ROWS / rows)
     # A key with a NULL counts like any other: windows group by it, and joins drop or spread it.
     probe = df.select(key_hash(keys).alias("h")).sample(fraction=fraction, seed=7)
     floor = max(2.0, rows * fraction * HOT_SHARE)
     found = probe.groupBy("h").count().where(F.col("count") > floor).collect()
-    return {r["h"]: r["count"] / fraction for r in found}
-
+    return HotKeys({r["h"]: r["count"] / fraction for r in found})
 
-def _is_hot(keys: Sequence[str], hot: Sequence[int]) -> Column:
-    return key_hash(keys).isin(list(hot)) if hot else F.lit(False)
 
-
-def _spread(df: DataFrame, fan: int) -> Column:
+def _dealt(df: DataFrame, parts: Column) -> Column:
     # The task index separates equal rows; it does not depend on row order, so a task that
     # runs again after a lost executor gives its rows the same numbers.
     content = [F.col(f"`{f.name}`") for f in df.schema.fields]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.lit(fan)).cast("int")
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *content), parts).cast("int")
 
 
-def _copies(flag: Column, fan: int) -> Column:
+def _copies(hot: Column, parts: Column) -> Column:
     zero = F.lit(0)
-    return F.explode(F.when(flag, F.sequence(zero, F.lit(fan - 1))).otherwise(F.array(zero)))
+    return F.explode(F.when(hot, F.sequence(zero, parts - 1)).otherwise(F.array(zero)))
+
+
+# Parts for rows with a NULL key, which no estimate covers.
+NULL_PARTS = 512
 
 
 def spread_join(
@@ -84,20 +114,18 @@ def spread_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    hot_left: Sequence[int] = (),
-    hot_right: Sequence[int] = (),
-    fan: int = FAN,
+    hot_left: HotKeys = NONE_HOT,
+    hot_right: HotKeys = NONE_HOT,
     also: Sequence[str] = (),
 ) -> DataFrame:
-    """Equi-join on same-named columns that splits hot keys over `fan` tasks per hot side.
+    """Equi-join on same-named columns that splits hot keys into parts.
 
-    Rows of a hot key are dealt out over the tasks on the side where it is hot and copied to
+    Rows of a hot key are dealt out over its parts on the side where it is hot and copied to
     each of them on the other side; a key hot on both sides is laid out as a grid. Rows whose
     key holds a NULL match nothing, so joins that keep them deal them out as well. Columns in
     `also` take part in the join but not in the hashes the hot keys are given by.
     """
-    on = list(on)
-    also = list(also)
+    on, also = list(on), list(also)
     keeps_unmatched = how in ("left", "left_anti")
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"not a left-sided join: {how}")
@@ -106,21 +134,18 @@ def spread_join(
     if not hot_left and not hot_right and not keeps_unmatched:
         return left.join(right, on + also, how)
 
-    l_cell, r_cell = left, right
-    cells = ["__l"]
-    split = _is_hot(on, hot_left)
+    cells, zero = ["__l"], F.lit(0)
+    dealt = F.when(hot_left.has(on), _dealt(left, hot_left.parts(on)))
     if keeps_unmatched:
-        split = split | any_null(on)
-    l_cell = l_cell.withColumn("__l", F.when(split, _spread(left, fan)).otherwise(F.lit(0)))
-    if hot_left:
-        r_cell = r_cell.withColumn("__l", _copies(_is_hot(on, hot_left), fan))
-    else:
-        r_cell = r_cell.withColumn("__l", F.lit(0))
+        dealt = F.when(any_null(on), _dealt(left, F.lit(NULL_PARTS))).otherwise(dealt)
+    l_cell = left.withColumn("__l", F.coalesce(dealt, zero))
+    given = _copies(hot_left.has(on), hot_left.parts(on)) if hot_left else zero
+    r_cell = right.withColumn("__l", given)
     if hot_right:
         cells.append("__r")
-        dealt = F.when(_is_hot(on, hot_right), _spread(right, fan)).otherwise(F.lit(0))
+        dealt = F.when(hot_right.has(on), _dealt(right, hot_right.parts(on))).otherwise(zero)
         r_cell = r_cell.withColumn("__r", dealt)
-        l_cell = l_cell.withColumn("__r", _copies(_is_hot(on, hot_right), fan))
+        l_cell = l_cell.withColumn("__r", _copies(hot_right.has(on), hot_right.parts(on)))
     return l_cell.join(r_cell, on + also + cells, how).drop(*cells)
 
 
@@ -128,7 +153,7 @@ def spread_join(
 class HotGroups:
     """Groups to number in slices, and the order-key values at which the slices are cut."""
 
-    hashes: tuple[int, ...] = ()
+    keys: HotKeys = NONE_HOT
     cuts: tuple[object, ...] = ()
 
 
@@ -136,29 +161,37 @@ def hot_groups(
     df: DataFrame, group: Sequence[str], order: str, min_rows: int | None = None
 ) -> HotGroups:
     """Hot groups of `df` and cut points that split their rows into similar shares."""
-    shares = _hot_shares(df, group, min_rows, None)
-    if not shares:
+    keys = hot_keys(df, group, min_rows)
+    if not keys:
         return HotGroups()
-    hashes = sorted(shares)
-    hot = df.where(_is_hot(group, hashes)).select(order).dropna()
-    # A few hundred values per slice; they only place the cuts.
-    fraction = min(1.0, SLICES * 200 / sum(shares.values()))
-    seen = hot.sample(fraction=fraction, seed=7)
-    values = [r[0] for r in seen.orderBy(order).collect()]
-    cuts = sorted({values[len(values) * i // SLICES] for i in range(1, SLICES)}) if values else []
-    return HotGroups(tuple(hashes), tuple(cuts))
-
+    slices = keys.most_parts(MAX_SLICES)
+    # The values only place the cuts; there are at most `MAX_SLICES * VALUES_PER_SLICE`.
+    fraction = min(1.0, slices * VALUES_PER_SLICE / sum(keys.rows.values()))
+    hot = df.where(keys.has(group)).select(order).dropna()
+    values = sorted(r[0] for r in hot.sample(fraction=fraction, seed=7).collect())
+    if not values:
+        return HotGroups()
+    return HotGroups(keys, tuple(values[len(values) * i // slices] for i in range(1, slices)))
 
-def _slice_of(column: Column, cuts: Sequence[Column]) -> Column:
-    """Index of the slice a value falls in, as a balanced tree of comparisons."""
 
-    def descend(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(column <= cuts[mid], descend(lo, mid)).otherwise(descend(mid + 1, hi))
+def _with_slice(df: DataFrame, group: Sequence[str], order: str, hot: HotGroups) -> DataFrame:
+    """Adds the slice a row of a hot group falls in; -1 for rows of other groups.
 
-    return descend(0, len(cuts))
+    The number of cuts below a value is found by halving, one projection per step. Smaller
+    hot groups take several slices as one.
+    """
+    slices = len(hot.cuts) + 1
+    dtype = T.ArrayType(df.schema[order].dataType)
+    cuts = F.array(*[F.lit(c) for c in hot.cuts]).cast(dtype)
+    found = df.withColumn("__slice", F.when(hot.keys.has(group), F.lit(0)))
+    step = slices // 2
+    while step:
+        cut = F.get(cuts, F.col("__slice") + (step - 1))
+        above = F.coalesce(F.col(order) > cut, F.lit(True))
+        found = found.withColumn("__slice", F.col("__slice") + F.when(above, step).otherwise(0))
+        step //= 2
+    merged = F.floor(F.col("__slice") * hot.keys.parts(group, slices) / slices).cast("int")
+    return found.withColumn("__slice", F.coalesce(merged, F.lit(-1)))
 
 
 def number_in_groups(
@@ -172,44 +205,39 @@ def number_in_groups(
     """Adds each row's position in its group (by `order`) and the group's size.
 
     Ordinary groups take one window. A hot group is cut into slices of the order key; each
-    slice is numbered by itself and the row counts of the slices before it are added. The
-    counts come from a pre-aggregation with at most `len(hot.hashes) * SLICES` rows, which is
-    what bounds the broadcast.
+    slice is numbered by itself and the row counts of the slices before it are added. Those
+    counts are pre-aggregated and joined on the window's own partitioning, so the rows move
+    once either way.
     """
-    group = list(group)
-    last_null = F.col(order).asc_nulls_last()
-    if not hot or not hot.hashes:
+    in_order = F.col(order).asc_nulls_last()
+    if not hot or not hot.keys:
         w = Window.partitionBy(*group)
-        return df.withColumn(number, F.row_number().over(w.orderBy(last_null)).cast("bigint")) \
-            .withColumn(total, F.count(F.lit(1)).over(w))
-
-    dtype = df.schema[order].dataType
-    cuts = [F.lit(c).cast(dtype) for c in hot.cuts]
-    sliced = df.withColumn(
-        "__slice",
-        F.when(_is_hot(group, hot.hashes), _slice_of(F.col(order), cuts)).otherwise(F.lit(-1)),
-    )
-    w = Window.partitionBy(*group, "__slice")
+        return df.withColumn(
+            number, F.row_number().over(w.orderBy(in_order)).cast("bigint")
+        ).withColumn(total, F.count(F.lit(1)).over(w))
+
+    # A struct of the group columns compares its NULLs as equal, in windows and in joins.
+    cell = ["__group", "__slice"]
+    sliced = _with_slice(df, group, order, hot).withColumn("__group", F.struct(*group))
+    w = Window.partitionBy(*cell)
     numbered = sliced.withColumn(
-        number, F.row_number().over(w.orderBy(last_null)).cast("bigint")
+        number, F.row_number().over(w.orderBy(in_order)).cast("bigint")
     ).withColumn(total, F.count(F.lit(1)).over(w))
-
-    cells = sliced.where(F.col("__slice") >= 0).groupBy(*group, "__slice").agg(
+    # Taking the hot rows first keeps the filter short; a filter on the slice would be pushed
+    # down through the halving steps and double with each.
+    of_hot = _with_slice(df.where(hot.keys.has(group)), group, order, hot)
+    counted = of_hot.groupBy(F.struct(*group).alias("__group"), "__slice").agg(
         F.count(F.lit(1)).alias("__n")
     )
-    whole = Window.partitionBy(*group)
+    whole = Window.partitionBy("__group")
     before = whole.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cells.select(
-        *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)],
-        F.col("__slice").alias("__s"),
+    offsets = counted.select(
+        *cell,
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
         F.sum("__n").over(whole).alias("__all"),
     )
-    same = F.col("__slice") == F.col("__s")
-    for i, g in enumerate(group):
-        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
     return (
-        numbered.join(F.broadcast(offsets), same, "left")
+        numbered.join(offsets, cell, "left")
         .withColumn(number, F.col(number) + F.coalesce(F.col("__before"), F.lit(0)))
         .withColumn(total, F.coalesce(F.col("__all"), F.col(total)))
         .select(*df.columns, number, total)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.windows import Cycle, any_in_cycle, in_cycle, newest, not_in_cycle
 from tidewright.operators.sizing import BROADCAST_BYTES, are_small
-from tidewright.operators.skew import hot_keys, spread_join
+from tidewright.operators.skew import NONE_HOT, HotKeys, hot_keys, spread_join
 
 
 @dataclass(frozen=True)
@@ -57,8 +57,8 @@ def combine(
     left: Timed,
     right: Timed,
     on: Sequence[str],
-    hot_left: Sequence[int] = (),
-    hot_right: Sequence[int] = (),
+    hot_left: HotKeys = NONE_HOT,
+    hot_right: HotKeys = NONE_HOT,
 ) -> Timed:
     """Inner equi-join; a small lookup is broadcast by Catalyst from its file size."""
     joined = spread_join(left.df, right.df, on, "inner", hot_left, hot_right)
@@ -72,8 +72,8 @@ def join_changed(
     cycle: Cycle,
     small: bool | None = None,
     limit: int = BROADCAST_BYTES,
-    hot_left: Sequence[int] | None = None,
-    hot_right: Sequence[int] = (),
+    hot_left: HotKeys | None = None,
+    hot_right: HotKeys = NONE_HOT,
 ) -> DataFrame:
     """Joined rows in which the left or the right row changed in the cycle.
 
