@@ -7,7 +7,7 @@ from helpers import at, bag
 from pyspark.sql import functions as F
 
 from tidewright.functions.windows import Cycle
-from tidewright.operators.builders import bridge, flatten, lookup, qualifier, snowflake
+from tidewright.operators.builders import bridge, lookup, qualifier, snowflake
 from tidewright.operators.skew import HotKeys
 from tidewright.operators.timed import Timed, join_changed
 
@@ -162,23 +162,22 @@ def chain(spark):
     def frame(rows, schema, ts):
         return Timed(spark.createDataFrame(rows, schema).cache(), (ts,))
 
-    flat = flatten(
-        [(frame(city, "ci int, co int, ci_ts timestamp_ntz", "ci_ts"), ["ci"]),
-         (frame(country, "co int, co_ts timestamp_ntz", "co_ts"), ["co"])],
-        frame(address, "ad int, ci int, ad_ts timestamp_ntz", "ad_ts"),
-    )
+    lookups = [
+        (frame(address, "ad int, ci int, ad_ts timestamp_ntz", "ad_ts"), ["ad"]),
+        (frame(city, "ci int, co int, ci_ts timestamp_ntz", "ci_ts"), ["ci"]),
+        (frame(country, "co int, co_ts timestamp_ntz", "co_ts"), ["co"]),
+    ]
     stores = frame(store, "st int, ad int, st_ts timestamp_ntz", "st_ts")
     joined = [
         (s, a, ci, co, t, (t1, t2, t3))
         for s, a, t in store for a2, ci, t1 in address if a == a2
         for ci2, co, t2 in city if ci == ci2 for co2, t3 in country if co == co2
     ]
-    return stores, flat, joined
+    return stores, lookups, joined
 
 
 def build_snowflake(chain, *options, **more):
-    return bag(snowflake(chain[0], chain[1], ["ad"], ["st", "ad", "ci", "co"], "lu", *options,
-                         **more))
+    return bag(snowflake(chain[0], chain[1], ["st", "ad", "ci", "co"], "lu", *options, **more))
 
 
 def as_rows(joined):
@@ -209,8 +208,8 @@ def test_snowflake_forms_differ(spark):
         store = spark.createDataFrame([(1, 1, old)], "st int, ad int, st_ts timestamp_ntz")
         address = spark.createDataFrame([(1, 1, address_ts)], "ad int, ci int, ad_ts timestamp_ntz")
         city = spark.createDataFrame([(1, ts)], "ci int, ci_ts timestamp_ntz")
-        flat = flatten([(Timed(city, ("ci_ts",)), ["ci"])], Timed(address, ("ad_ts",)))
-        args = (Timed(store, ("st_ts",)), flat, ["ad"], ["st"], "lu", CYCLE)
+        lookups = [(Timed(address, ("ad_ts",)), ["ad"]), (Timed(city, ("ci_ts",)), ["ci"])]
+        args = (Timed(store, ("st_ts",)), lookups, ["st"], "lu", CYCLE)
         return snowflake(*args, both=True).count(), snowflake(*args).count()
 
     assert one(inside_, old) == (0, 1)
@@ -272,7 +271,7 @@ def test_full_is_delta_over_everything(linked, looked_up, chain, actors):
     rows, names = untimed(looked_up[0]), untimed(looked_up[1])
     args = (rows, names, ["k"], ["id", "name"], "lu")
     assert bag(lookup(*args)) == bag(lookup(*args, EVERYTHING))
-    stores, flat = untimed(chain[0]), untimed(chain[1])
-    assert build_snowflake((stores, flat)) == build_snowflake((stores, flat), EVERYTHING)
+    filled = (untimed(chain[0]), [(untimed(t), on) for t, on in chain[1]])
+    assert build_snowflake(filled) == build_snowflake(filled, EVERYTHING)
     args = (actors, "id", ["first", "last"], "ts")
     assert bag(qualifier(*args)) == bag(qualifier(*args, EVERYTHING))

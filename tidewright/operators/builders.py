@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.functions.windows import Cycle, in_cycle
+from tidewright.functions.windows import Cycle, any_in_cycle, in_cycle, newest
 from tidewright.operators.sizing import BROADCAST_BYTES, are_small, measured_bytes, row_counts
 from tidewright.operators.skew import (
     hot_groups,
@@ -24,6 +24,9 @@ from tidewright.operators.timed import Timed, combine, join_changed, rows_in_cyc
 from tidewright.session import checkpointed
 
 
+_FLAT_TS = "__flat_ts"
+
+
 def passthrough(df: DataFrame, ts: str, cycle: Cycle | None = None) -> DataFrame:
     """A table as it is, or its rows of one cycle."""
     return rows_in_cycle(df, ts, cycle)
@@ -103,34 +106,69 @@ def flatten(chain: Sequence[tuple[Timed, Sequence[str]]], base: Timed) -> Timed:
 
 def snowflake(
     rows: Timed,
-    flat: Timed,
-    on: Sequence[str],
+    lookups: Sequence[tuple[Timed, Sequence[str]]],
     columns: Sequence[str],
     out_ts: str,
     cycle: Cycle | None = None,
     both: bool = False,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Rows joined to a flattened chain of lookups.
+    """Rows joined to a chain of lookups: the first to the rows, each other to the one before.
 
     Two delta forms are in use. The default takes rows that changed, or whose newest lookup
     time lies inside the cycle. With `both` a row must have changed itself and any one of its
     lookups as well.
     """
-    one = flat.as_one("__flat_ts")
-    time = Timed(rows.df, rows.ts + one.ts).newest().alias(out_ts)
+    (nearest, on), chain = lookups[0], lookups[1:]
+    lookup_ts = tuple(ts for table, _ in lookups for ts in table.ts)
+    time = newest((*rows.ts, *lookup_ts)).alias(out_ts)
+    flat_time = newest((*rows.ts, _FLAT_TS)).alias(out_ts)
     if cycle is None:
+        flat = flatten(chain, nearest).as_one(_FLAT_TS)
         hot = hot_keys(rows.keys(*on), on)
-        return combine(rows, one, on, hot).df.select(*columns, time)
-    if not both:
-        return join_changed(rows, one, on, cycle, limit=limit).select(*columns, time)
+        return combine(rows, flat, on, hot).df.select(*columns, flat_time)
+
     changed = rows.changed(cycle)
-    any_changed = Timed(flat.changed(cycle), flat.ts).as_one("__flat_ts").df
-    if are_small(changed, limit=limit):
-        joined = F.broadcast(changed).join(any_changed, list(on))
-    else:
-        joined = spread_join(changed, any_changed, on, hot_left=hot_keys(rows.keys(*on), on))
-    return joined.select(*columns, time)
+    if both:
+        if are_small(changed, limit=limit):
+            joined = _down_the_chain(changed, lookups).where(any_in_cycle(lookup_ts, cycle))
+        else:
+            any_changed = _changed_chain(nearest, chain, cycle, limit)
+            hot = hot_keys(rows.keys(*on), on)
+            joined = spread_join(changed, any_changed, on, hot_left=hot)
+        return joined.select(*columns, time)
+
+    # The newest lookup time can only lie inside the cycle if one of them does.
+    any_changed = Timed(_changed_chain(nearest, chain, cycle, limit), lookup_ts)
+    flat_changed = any_changed.as_one(_FLAT_TS).changed(cycle)
+    if not are_small(changed, flat_changed, limit=limit):
+        flat = flatten(chain, nearest).as_one(_FLAT_TS)
+        joined = join_changed(rows, flat, on, cycle, small=False)
+        return joined.select(*columns, flat_time)
+    from_rows = _down_the_chain(changed, lookups).select(*columns, time)
+    from_lookups = rows.unchanged(cycle).join(F.broadcast(flat_changed), list(on))
+    return from_rows.unionByName(from_lookups.select(*columns, flat_time))
+
+
+def _changed_chain(
+    nearest: Timed, chain: Sequence[tuple[Timed, Sequence[str]]], cycle: Cycle, limit: int
+) -> DataFrame:
+    """Rows of the flattened chain with any table of it inside the cycle."""
+    if not chain:
+        return nearest.changed(cycle)
+    (following, on), rest = chain[0], chain[1:]
+    return join_changed(nearest, flatten(rest, following), on, cycle, limit=limit)
+
+
+def _down_the_chain(
+    few: DataFrame, lookups: Sequence[tuple[Timed, Sequence[str]]]
+) -> DataFrame:
+    """A small set of rows joined to each lookup in turn, so that only their entries are met."""
+    (nearest, on), chain = lookups[0], lookups[1:]
+    joined = F.broadcast(few).join(nearest.df, list(on))
+    for following, keys in chain:
+        joined = joined.join(following.df, list(keys))
+    return joined
 
 
 def _touched(
@@ -154,6 +192,15 @@ def _touched(
     return touched if are_small(touched, limit=limit) else None
 
 
+def _only(rows: Timed, keys: DataFrame, on: str) -> Timed:
+    """The rows of a few entities."""
+
+    def keep(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(keys), [on], "left_semi")
+
+    return Timed(keep(rows.df), rows.ts, None if rows.probe is None else keep(rows.probe))
+
+
 def bridge(
     first: Timed,
     entity: Timed,
@@ -178,16 +225,14 @@ def bridge(
     scans; pairs of which no input changed are never formed.
     """
     n_first, n_second = row_counts(first.keys(on), second.keys(on))
-    hot_first = hot_keys(first.keys(on), [on], min_rows, n_first)
-    hot_second = hot_keys(second.keys(on), [on], min_rows, n_second)
-    hot_other = hot_keys(second.keys(other_on), [other_on], min_rows, n_second)
     if cycle is not None and is_large(n_first + n_second, min_rows):
         touched = _touched((first, second), entity, other, on, other_on, cycle, limit)
         if touched is not None:
-            first, entity, second = (
-                Timed(t.df.join(F.broadcast(touched), [on], "left_semi"), t.ts)
-                for t in (first, entity, second)
-            )
+            first, entity, second = (_only(t, touched, on) for t in (first, entity, second))
+            n_first, n_second = row_counts(first.keys(on), second.keys(on))
+    hot_first = hot_keys(first.keys(on), [on], min_rows, n_first)
+    hot_second = hot_keys(second.keys(on), [on], min_rows, n_second)
+    hot_other = hot_keys(second.keys(other_on), [other_on], min_rows, n_second)
 
     left = combine(first, entity, [on], hot_first)
     right = combine(second, other, [other_on], hot_other)

@@ -22,7 +22,6 @@ from tidewright.functions.windows import (
 )
 from tidewright.operators.builders import (
     bridge,
-    flatten,
     lookup,
     passthrough,
     qualifier,
@@ -300,8 +299,7 @@ def _orders_with_place(
     orders = read("orders").withColumnRenamed("o_custkey", "c_custkey")
     return snowflake(
         timed(orders, "o_orderdate", "order_ts", ["o_orderkey", "c_custkey"]),
-        flatten([(nations, ["c_nationkey"]), (regions, ["n_regionkey"])], customers),
-        ["c_custkey"],
+        [(customers, ["c_custkey"]), (nations, ["c_nationkey"]), (regions, ["n_regionkey"])],
         ["o_orderkey", "c_custkey", "c_name", "n_name", "r_name"],
         "last_update",
         cycle,

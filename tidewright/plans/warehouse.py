@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from tidewright.functions.windows import Cycle
 from tidewright.operators.builders import (
     bridge,
-    flatten,
     lookup,
     passthrough,
     qualifier,
@@ -61,11 +60,9 @@ def store_dim(source: Source, cycle: Cycle | None = None, both: bool = False) ->
         source("address"), TS, "address_ts",
         ["address_id", "address", "address2", "district", "postal_code", "phone", "city_id"],
     )
-    flat = flatten([(city, ["city_id"]), (country, ["country_id"])], address)
     return snowflake(
         store,
-        flat,
-        ["address_id"],
+        [(address, ["address_id"]), (city, ["city_id"]), (country, ["country_id"])],
         ["store_id", "manager_staff_id", "address_id", "address", "address2", "district", "city",
          "postal_code", "phone", "country"],
         TS,

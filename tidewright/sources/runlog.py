@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -31,27 +32,28 @@ class Line:
 
 
 class RunLog:
-    """One small append per step, partitioned by the day of the cycle."""
+    """One small file per step, in a folder per day of the cycle; it appears whole."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
         self.path = path
 
     def add(self, run_id: str, step: str, cycle: Cycle, lines: Sequence[Line]) -> None:
-        day = cycle.upto.date().isoformat()
-        now = datetime.now()
-        rows = [
-            (run_id, step, x.table_name, x.n, x.status, x.message, cycle.start, cycle.upto, now,
-             day)
-            for x in lines
-        ]
-        self.spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append") \
-            .partitionBy("day").parquet(self.path)
+        common = {
+            "run_id": run_id,
+            "step": step,
+            "cycle_from": cycle.start.isoformat(),
+            "cycle_upto": cycle.upto.isoformat(),
+            "logged_at": datetime.now().isoformat(),
+        }
+        text = "\n".join(json.dumps({**common, **vars(line)}) for line in lines)
+        name = f"{step.replace('/', '-')}-{run_id}.json"
+        Folder(self.spark, f"{self.path}/day={cycle.upto.date()}").create_text(name, text)
 
     def read(self) -> DataFrame:
         if not Folder(self.spark, self.path).names():
             return self.spark.createDataFrame([], SCHEMA)
-        return self.spark.read.schema(SCHEMA).parquet(self.path)
+        return self.spark.read.schema(SCHEMA).json(self.path)
 
     def _completed(self, step: str) -> DataFrame:
         whole = (F.col("table_name") == STEP) & (F.col("status") == DONE)
