@@ -12,7 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.windows import Cycle, any_in_cycle, in_cycle, newest
-from tidewright.operators.sizing import BROADCAST_BYTES, are_small, measured_bytes, row_counts
+from tidewright.operators.sizing import (
+    BROADCAST_BYTES,
+    are_small,
+    broadcast_if_small,
+    measured_bytes,
+    row_counts,
+)
 from tidewright.operators.skew import (
     hot_groups,
     hot_keys,
@@ -23,7 +29,6 @@ from tidewright.operators.skew import (
 from tidewright.operators.timed import Timed, combine, join_changed, rows_in_cycle
 from tidewright.session import checkpointed
 
-
 _FLAT_TS = "__flat_ts"
 
 
@@ -55,15 +60,18 @@ def qualifier(
         if current is None:
             rows = changed
         else:
-            former = current.join(changed.select(key), [key], "left_semi")
+            # The touched groups are costly to count; the table bounds them.
+            may_be_large = is_large(rows.count(), min_rows)
+            ids = broadcast_if_small(changed.select(key))
+            former = current.join(ids, [key], "left_semi")
             touched = changed.select(*names).union(former.select(*names)).distinct()
-            touched = touched.toDF(*[f"__t{i}" for i in range(len(names))])
+            if may_be_large:
+                touched = checkpointed(touched)
+            touched = broadcast_if_small(touched.toDF(*[f"__t{i}" for i in range(len(names))]))
             same = reduce(
                 lambda a, b: a & b,
                 [F.col(n).eqNullSafe(F.col(f"__t{i}")) for i, n in enumerate(names)],
             )
-            # The touched groups are costly to count; the table bounds them.
-            may_be_large = is_large(rows.count(), min_rows)
             rows = rows.join(touched, same, "left_semi")
     hot = hot_groups(rows, names, key, min_rows) if may_be_large else None
     numbered = number_in_groups(rows, names, key, "__number", "__total", hot)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.windows import instant, shift
-from tidewright.operators.sizing import BROADCAST_BYTES, are_small
+from tidewright.operators.sizing import BROADCAST_BYTES, are_small, broadcast_if_small
 from tidewright.operators.skew import any_null
 from tidewright.session import checkpointed
 
@@ -58,7 +58,8 @@ def require_keys(
     """Refuses a whole table that breaks its primary key or one of its unique keys."""
     _refuse(primary_key_violations(df, keys), f"{name}: duplicate or NULL primary key")
     for columns in uniques:
-        _refuse(duplicate_uniques(df.select(*columns), columns), f"{name}: duplicate {list(columns)}")
+        found = duplicate_uniques(df.select(*columns), columns)
+        _refuse(found, f"{name}: duplicate {list(columns)}")
 
 
 def require_keys_after_upsert(
@@ -98,9 +99,7 @@ def orphans(
             parents.select(*on).dropna().distinct(), on, "left_anti"
         )
     )
-    if are_small(missing, limit=limit):
-        missing = F.broadcast(missing)
-    missing = missing.toDF(*[f"__m{i}" for i in range(len(on))])
+    missing = broadcast_if_small(missing.toDF(*[f"__m{i}" for i in range(len(on))]), limit)
     same = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__m{i}")) for i, k in enumerate(on)]
     )

@@ -49,6 +49,11 @@ def are_small(*frames: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return all(s is not None for s in sizes) and sum(sizes) <= limit
 
 
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The frame, marked for a broadcast if it fits one."""
+    return F.broadcast(df) if are_small(df, limit=limit) else df
+
+
 def row_counts(*frames: DataFrame) -> list[int]:
     """Rows of each frame, from one job; plain parquet answers from its footers."""
     parts = [
