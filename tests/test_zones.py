@@ -33,7 +33,7 @@ def test_merges_equal_their_sequence(spark, folder, monkeypatch, keys, key_bytes
     rng = random.Random(len(keys))
     if key_bytes is not None:
         monkeypatch.setattr(zones, "KEY_BYTES", key_bytes)
-        monkeypatch.setattr(ZoneTable, "_is_worn", lambda self, manifest: False)
+        monkeypatch.setattr(ZoneTable, "_tidy", lambda self, manifest: None)
     table = ZoneTable(spark, f"{folder}/t", keys)
     want = rows(rng, 40)
     table.replace(spark.createDataFrame(want, SCHEMA))
@@ -43,6 +43,12 @@ def test_merges_equal_their_sequence(spark, folder, monkeypatch, keys, key_bytes
         want = merged(want, delta, len(keys))
         assert bag(table.read()) == Counter(want)
     assert len(table.current().segments) == 4
+    table.fold()
+    assert len(table.current().segments) == 2 and bag(table.read()) == Counter(want)
+    delta = rows(rng, 4)
+    table.upsert(spark.createDataFrame(delta, SCHEMA))
+    want = merged(want, delta, len(keys))
+    assert bag(table.read()) == Counter(want)
     table.compact()
     assert len(table.current().segments) == 1 and bag(table.read()) == Counter(want)
 
@@ -118,15 +124,26 @@ def test_merge_checks_columns(spark, folder):
         table.upsert(spark.createDataFrame([("b", 1)], "v string, k int"))
 
 
-def test_worn_table_is_compacted(spark, folder, monkeypatch):
+def test_many_deltas_are_folded(spark, folder, monkeypatch):
     monkeypatch.setattr(zones, "MAX_DELTAS", 2)
     table = ZoneTable(spark, f"{folder}/t", ["id"])
     table.replace(spark.range(1000))
+    base = table.current().segments[0]
     table.upsert(spark.range(3))
+    table.upsert(spark.range(2, 5))
+    assert [s.rows for s in table.current().segments] == [1000, 5]
+    assert table.current().segments[0] == base and table.read().count() == 1000
+    assert len(table.vacuum(keep=1)) == 2 and table.read().count() == 1000
+
+
+def test_large_deltas_compact(spark, folder, monkeypatch):
+    monkeypatch.setattr(zones, "MIN_DELTA_ROWS", 10)
+    table = ZoneTable(spark, f"{folder}/t", ["id"])
+    table.replace(spark.range(100))
+    table.upsert(spark.range(15))
     assert len(table.current().segments) == 2
-    table.upsert(spark.range(3))
-    assert len(table.current().segments) == 1 and table.read().count() == 1000
-    assert len(table.vacuum(keep=1)) == 3 and table.read().count() == 1000
+    table.upsert(spark.range(95, 105))
+    assert [s.rows for s in table.current().segments] == [105]
 
 
 def test_keys_too_large_to_broadcast_compact(spark, folder, monkeypatch):
@@ -134,7 +151,9 @@ def test_keys_too_large_to_broadcast_compact(spark, folder, monkeypatch):
     table = ZoneTable(spark, f"{folder}/t", ["id"])
     table.replace(spark.range(1000))
     table.upsert(spark.range(3))
-    assert len(table.current().segments) == 2
+    # Six rows are too many, but they hold the same three keys.
+    table.upsert(spark.range(3))
+    assert [s.rows for s in table.current().segments] == [1000, 3]
     table.upsert(spark.range(990, 1010))
     assert len(table.current().segments) == 1 and table.read().count() == 1010
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,13 +25,14 @@ from tidewright.operators.sizing import BROADCAST_BYTES, are_small
 from tidewright.operators.skew import any_null, hot_keys, spread_join
 from tidewright.sources.files import Folder
 
-# A table is rewritten as one base segment after so many merges, once the merged rows reach
-# this share of the base (and are worth the trouble), or once their keys no longer fit the
-# broadcast that lets a reader leave the base where it is.
+# So many deltas are folded into one; the base stays as it is.
 MAX_DELTAS = 24
+# A table is rewritten as one base once its deltas reach this share of the base (and are worth
+# the trouble), or once their keys no longer fit the broadcast that lets a reader leave the
+# base where it is.
 MAX_DELTA_SHARE = 0.2
 MIN_DELTA_ROWS = 1_000_000
-KEY_BYTES = 4 * BROADCAST_BYTES
+KEY_BYTES = 8 * BROADCAST_BYTES
 # An upper bound of the bytes a key column of a fixed-width type takes per row.
 _KEY_WIDTH = 24
 _BASE, _DELTA = "base", "delta"
@@ -150,18 +151,26 @@ class ZoneTable:
             delta = self._segment(deltas[0], schema)
             return delete_by_key(base, delta, keys, small=small).union(delta)
 
-        numbered = self._numbered(schema, deltas)
+        # The live rows of the deltas hold every key that any delta holds.
+        live, last = self._live(manifest, deltas, small)
+        return delete_by_key(base, last, keys, small=small).union(live)
+
+    def _live(
+        self, manifest: Manifest, deltas: Sequence[Segment], small: bool
+    ) -> tuple[DataFrame, DataFrame]:
+        """Rows of several deltas that no later one replaces, and the last place of each key."""
+        keys = list(manifest.keys)
+        numbered = self._numbered(manifest.schema, deltas)
         last = numbered.select(*keys, "__seq").dropna(subset=keys).groupBy(*keys) \
             .agg(F.max("__seq").alias("__last"))
-        kept = delete_by_key(base, last, keys, small=small)
-        # A row is live unless a later segment holds its key; a key with a NULL is never held.
         if small:
             paired = numbered.join(F.broadcast(last), keys, "left")
         else:
             hot = hot_keys(numbered.select(*keys).dropna(), keys)
             paired = spread_join(numbered, last, keys, "left", hot_left=hot)
+        # A key with a NULL equals no other, so its row stays.
         live = paired.where(any_null(keys) | (F.col("__seq") == F.col("__last")))
-        return kept.union(live.select(*base.columns))
+        return live.select(*[f"`{f.name}`" for f in manifest.schema.fields]), last
 
     def _numbered(self, schema: T.StructType, deltas: Sequence[Segment]) -> DataFrame:
         parts = [
@@ -211,20 +220,35 @@ class ZoneTable:
             check(self._merged(after, segments), written)
         if segment.rows or batch:
             self._commit(after)
-        if self._is_worn(after):
-            self.compact()
+        self._tidy(after)
         return segment.rows
 
-    def _is_worn(self, manifest: Manifest) -> bool:
+    def _tidy(self, manifest: Manifest) -> None:
+        """Keeps reading cheap, at a cost in proportion to the rows merged."""
         base, *deltas = manifest.segments
         if not deltas:
-            return False
-        merged = sum(s.rows for s in deltas)
-        return (
-            len(deltas) >= MAX_DELTAS
-            or merged > max(MAX_DELTA_SHARE * base.rows, MIN_DELTA_ROWS)
-            or not self._keys_fit(manifest, deltas)
-        )
+            return
+        if sum(s.rows for s in deltas) > max(MAX_DELTA_SHARE * base.rows, MIN_DELTA_ROWS):
+            self.compact()
+            return
+        fits = self._keys_fit(manifest, deltas)
+        if len(deltas) >= MAX_DELTAS or (len(deltas) > 1 and not fits):
+            manifest = self.fold()
+            fits = self._keys_fit(manifest, manifest.segments[1:])
+        if not fits:
+            self.compact()
+
+    def fold(self) -> Manifest:
+        """Writes all deltas as one; the base and the table's rows stay as they are."""
+        before = self._require()
+        base, *deltas = before.segments
+        if len(deltas) < 2:
+            return before
+        live, _ = self._live(before, deltas, self._keys_fit(before, deltas))
+        segment, _ = self._write(live.hint("rebalance"), _DELTA)
+        after = replace(before, number=before.number + 1, segments=(base, segment))
+        self._commit(after)
+        return after
 
     def compact(self) -> None:
         """Rewrites the table as one base segment; its rows stay as they are."""
@@ -232,9 +256,7 @@ class ZoneTable:
         if len(before.segments) == 1:
             return
         segment, _ = self._write(self._merged(before, before.segments), _BASE)
-        self._commit(
-            Manifest(before.number + 1, before.schema, before.keys, (segment,), before.batches)
-        )
+        self._commit(replace(before, number=before.number + 1, segments=(segment,)))
 
     def vacuum(self, keep: int = 5) -> list[str]:
         """Removes segments that none of the last `keep` manifests names, and old manifests."""
