@@ -139,7 +139,7 @@ def test_join_changed_with_hot_keys(looked_up):
     rows, names, both = looked_up
     hashes = HotKeys({
         r[0]: 1 for r in rows.df.select(F.xxhash64("k")).distinct().collect()})
-    got = join_changed(rows, names, ["k"], CYCLE, small=False, hot_left=hashes, hot_right=hashes)
+    got = join_changed(rows, names, ["k"], CYCLE, limit=None, hot_left=hashes, hot_right=hashes)
     want = Counter((i, n) for i, n, t, u in both if inside(t) or inside(u))
     assert bag(got, "id", "name") == want
 
@@ -151,6 +151,21 @@ def test_lookup_shuffles_no_large_side(looked_up):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+@pytest.mark.parametrize("quiet", ["rows", "names", "both"])
+def test_side_without_changes_is_not_scanned(looked_up, quiet):
+    def calm(t):
+        return Timed(t.df.withColumn(t.ts[0], F.lit("2020-01-01").cast("timestamp_ntz")), t.ts)
+
+    rows, names, both = looked_up
+    got = lookup(calm(rows) if quiet != "names" else rows, calm(names) if quiet != "rows" else names,
+                 ["k"], ["id", "name"], "last_update", CYCLE)
+    hits = {"rows": lambda t, u: inside(u), "names": lambda t, u: inside(t),
+            "both": lambda t, u: False}[quiet]
+    assert bag(got, "id", "name") == Counter((i, n) for i, n, t, u in both if hits(t, u))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Join") == (0 if quiet == "both" else 1)
+
+
 @pytest.fixture(scope="module")
 def chain(spark):
     rng, time = times(3)

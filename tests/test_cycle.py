@@ -10,7 +10,7 @@ from tidewright.functions.windows import Cycle
 from tidewright.operators.quality import ERROR
 from tidewright.plans import warehouse
 from tidewright.plans.cycle import GROUP_SCOPE, CycleFailed, Warehouse
-from tidewright.sources.extract import base_tables, catalog_source, parquet_source
+from tidewright.sources.extract import base_tables, catalog_source, jdbc_source, parquet_source
 from tidewright.sources.specs import SOURCES, TARGETS, TableSpec, TargetSpec
 from tidewright.sources.zones import Zone
 
@@ -223,6 +223,35 @@ def test_sources(spark, folder):
         spark.sql("DROP DATABASE shop2 CASCADE")
 
 
+def test_jdbc_options():
+    """The options of a read; no database is at hand to run it."""
+    seen = []
+
+    class Reader:
+        def format(self, name):
+            seen.append(name)
+            return self
+
+        def options(self, **given):
+            seen.append(given)
+            return self
+
+        def load(self):
+            return "frame"
+
+    class Session:
+        read = Reader()
+
+    split = {"film": ("film_id", "1", "900", 4)}
+    source = jdbc_source(Session(), "jdbc:x://host/shop", {"user": "reader"}, split)
+    assert source("city") == "frame" and source("film") == "frame"
+    whole = {"url": "jdbc:x://host/shop", "preferTimestampNTZ": "true", "user": "reader"}
+    parts = {"partitionColumn": "film_id", "lowerBound": "1", "upperBound": "900",
+             "numPartitions": "4"}
+    assert seen == ["jdbc", {**whole, "dbtable": "public.city"},
+                    "jdbc", {**whole, "dbtable": "public.film"}, parts]
+
+
 def test_unknown_scope(spark, folder):
     with pytest.raises(ValueError):
         Warehouse(spark, folder, Shop({}), qualifier_scope="all")

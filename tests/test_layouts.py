@@ -25,7 +25,8 @@ def large_world(spark, monkeypatch):
             monkeypatch.setattr(module, "are_small", lambda *frames, **limit: False)
         if hasattr(module, "broadcast_if_small"):
             monkeypatch.setattr(module, "broadcast_if_small", lambda df, *limit: df)
-    monkeypatch.setattr(builders, "measured_bytes", lambda *frames: [1 << 60] * len(frames))
+    for module in (builders, timed):
+        monkeypatch.setattr(module, "measured_bytes", lambda *frames: [1 << 60] * len(frames))
     monkeypatch.setattr(zones, "KEY_BYTES", 0)
     before = {name: spark.conf.get(name) for name in SETTINGS}
     for name, value in SETTINGS.items():

@@ -16,6 +16,7 @@ from tidewright.operators.sizing import (
     BROADCAST_BYTES,
     are_small,
     broadcast_if_small,
+    fit,
     measured_bytes,
     row_counts,
 )
@@ -26,7 +27,13 @@ from tidewright.operators.skew import (
     number_in_groups,
     spread_join,
 )
-from tidewright.operators.timed import Timed, combine, join_changed, rows_in_cycle
+from tidewright.operators.timed import (
+    Timed,
+    combine,
+    join_changed,
+    rows_in_cycle,
+    union_of_changed,
+)
 from tidewright.session import checkpointed
 
 _FLAT_TS = "__flat_ts"
@@ -149,13 +156,14 @@ def snowflake(
     # The newest lookup time can only lie inside the cycle if one of them does.
     any_changed = Timed(_changed_chain(nearest, chain, cycle, limit), lookup_ts)
     flat_changed = any_changed.as_one(_FLAT_TS).changed(cycle)
-    if not are_small(changed, flat_changed, limit=limit):
+    sizes = measured_bytes(changed, flat_changed)
+    if not fit(sizes, limit):
         flat = flatten(chain, nearest).as_one(_FLAT_TS)
-        joined = join_changed(rows, flat, on, cycle, small=False)
+        joined = join_changed(rows, flat, on, cycle, limit=None)
         return joined.select(*columns, flat_time)
     from_rows = _down_the_chain(changed, lookups).select(*columns, time)
     from_lookups = rows.unchanged(cycle).join(F.broadcast(flat_changed), list(on))
-    return from_rows.unionByName(from_lookups.select(*columns, flat_time))
+    return union_of_changed([from_rows, from_lookups.select(*columns, flat_time)], sizes)
 
 
 def _changed_chain(
@@ -249,6 +257,8 @@ def bridge(
         pairs = combine(left, right, [on], hot_first, hot_second).df
     else:
         pairs = join_changed(
-            left, right, [on], cycle, small=False, hot_left=hot_first, hot_right=hot_second
+            left, right, [on], cycle, limit=None, hot_left=hot_first, hot_right=hot_second
         )
+    if not n_first or not n_second:
+        pairs = pairs.where(F.lit(False))
     return pairs.select(*columns, time)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -43,12 +44,15 @@ def measured_bytes(*frames: DataFrame) -> list[int | None]:
     return [found.get(i) for i in range(len(frames))]
 
 
-def are_small(*frames: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """True when all frames together fit a broadcast of `limit` bytes."""
-    sizes = measured_bytes(*frames)
+def fit(sizes: Sequence[int | None], limit: int = BROADCAST_BYTES) -> bool:
+    """True when frames of these sizes together fit a broadcast of `limit` bytes."""
     return all(s is not None for s in sizes) and sum(sizes) <= limit
 
 
+def are_small(*frames: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    return fit(measured_bytes(*frames), limit)
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """The frame, marked for a broadcast if it fits one."""
     return F.broadcast(df) if are_small(df, limit=limit) else df

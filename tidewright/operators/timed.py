@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.windows import Cycle, any_in_cycle, in_cycle, newest, not_in_cycle
-from tidewright.operators.sizing import BROADCAST_BYTES, are_small
+from tidewright.operators.sizing import BROADCAST_BYTES, fit, measured_bytes
 from tidewright.operators.skew import NONE_HOT, HotKeys, hot_keys, spread_join
 
 
@@ -70,8 +71,7 @@ def join_changed(
     right: Timed,
     on: Sequence[str],
     cycle: Cycle,
-    small: bool | None = None,
-    limit: int = BROADCAST_BYTES,
+    limit: int | None = BROADCAST_BYTES,
     hot_left: HotKeys | None = None,
     hot_right: HotKeys = NONE_HOT,
 ) -> DataFrame:
@@ -80,19 +80,20 @@ def join_changed(
     A filter `left changed or right changed` above the join reaches neither scan, so the join
     would read, shuffle and pair everything first. Two forms avoid that:
 
-    * Both changed sets fit a broadcast: changed left rows against all right rows, plus
-      unchanged left rows against changed right rows. Both window filters reach their scans
-      and no large table is shuffled.
-    * Otherwise one shuffled join in which pairs of two unchanged rows never meet: a left row
+    * Both changed sets fit a broadcast of `limit` bytes: changed left rows against all right
+      rows, plus unchanged left rows against changed right rows. Both window filters reach
+      their scans and no large table is shuffled. A side without changes is left out.
+    * Otherwise (and without a limit) one shuffled join in which pairs of two unchanged rows never meet: a left row
       asks either for all right rows or for the changed ones only.
     """
     on = list(on)
-    if small is None:
-        small = are_small(left.changed(cycle), right.changed(cycle), limit=limit)
-    if small:
-        from_left = F.broadcast(left.changed(cycle)).join(right.df, on)
-        from_right = left.unchanged(cycle).join(F.broadcast(right.changed(cycle)), on)
-        return from_left.unionByName(from_right)
+    if limit is not None:
+        changes = left.changed(cycle), right.changed(cycle)
+        sizes = measured_bytes(*changes)
+        if fit(sizes, limit):
+            from_left = F.broadcast(changes[0]).join(right.df, on)
+            from_right = left.unchanged(cycle).join(F.broadcast(changes[1]), on)
+            return union_of_changed([from_left, from_right], sizes)
 
     if hot_left is None:
         hot_left = hot_keys(left.keys(*on), on)
@@ -112,5 +113,11 @@ def join_changed(
     return joined.drop("__asks")
 
 
+def union_of_changed(parts: Sequence[DataFrame], sizes: Sequence[int]) -> DataFrame:
+    """The union of the parts that come from a change set which is not empty."""
+    kept = [part for part, size in zip(parts, sizes, strict=True) if size]
+    return reduce(DataFrame.unionByName, kept) if kept else parts[0].where(F.lit(False))
+
+
 def rows_in_cycle(df: DataFrame, ts: str, cycle: Cycle | None) -> DataFrame:
     return df if cycle is None else df.where(in_cycle(ts, cycle))
