@@ -83,8 +83,11 @@ def join_changed(
     * Both changed sets fit a broadcast of `limit` bytes: changed left rows against all right
       rows, plus unchanged left rows against changed right rows. Both window filters reach
       their scans and no large table is shuffled. A side without changes is left out.
-    * Otherwise (and without a limit) one shuffled join in which pairs of two unchanged rows never meet: a left row
-      asks either for all right rows or for the changed ones only.
+    * Otherwise (and without a limit) one shuffled join in which pairs of two unchanged rows
+      never meet: a left row asks either for all right rows or for the changed ones only.
+
+    Sizes are measured when the frame is put together, so the tables behind it must stay as
+    they are until it runs; published zone tables and opened parquet files do.
     """
     on = list(on)
     if limit is not None:
