@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", app: str = "tidewright", **extra: str)
         .config("spark.sql.shuffle.partitions", str(parallel))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for name, value in extra.items():
