@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewright.session import checkpointed
+
 # Below this many rows no single group can be a burden for one task; a hot key is split into
 # parts of about this size.
 MIN_ROWS = 5_000_000
@@ -88,6 +90,10 @@ def hot_keys(
     fraction = min(1.0, PROBE_ROWS / rows)
     # A key with a NULL counts like any other: windows group by it, and joins drop or spread it.
     probe = df.select(key_hash(keys).alias("h")).sample(fraction=fraction, seed=7)
+    return _hot_in(probe, rows, fraction)
+
+
+def _hot_in(probe: DataFrame, rows: int, fraction: float) -> HotKeys:
     floor = max(2.0, rows * fraction * HOT_SHARE)
     found = probe.groupBy("h").count().where(F.col("count") > floor).collect()
     return HotKeys({r["h"]: r["count"] / fraction for r in found})
@@ -161,14 +167,23 @@ def hot_groups(
     df: DataFrame, group: Sequence[str], order: str, min_rows: int | None = None
 ) -> HotGroups:
     """Hot groups of `df` and cut points that split their rows into similar shares."""
-    keys = hot_keys(df, group, min_rows)
+    rows = df.count()
+    if not is_large(rows, min_rows):
+        return HotGroups()
+    fraction = min(1.0, PROBE_ROWS / rows)
+    # Looked at twice, so the probe rows are kept rather than scanned for again.
+    probe = checkpointed(
+        df.select(key_hash(group).alias("h"), F.col(order).alias("o"))
+        .sample(fraction=fraction, seed=7)
+    )
+    keys = _hot_in(probe, rows, fraction)
     if not keys:
         return HotGroups()
     slices = keys.most_parts(MAX_SLICES)
-    # The values only place the cuts; there are at most `MAX_SLICES * VALUES_PER_SLICE`.
-    fraction = min(1.0, slices * VALUES_PER_SLICE / sum(keys.rows.values()))
-    hot = df.where(keys.has(group)).select(order).dropna()
-    values = sorted(r[0] for r in hot.sample(fraction=fraction, seed=7).collect())
+    # The values only place the cuts; about `MAX_SLICES * VALUES_PER_SLICE` at most.
+    share = min(1.0, slices * VALUES_PER_SLICE / (fraction * sum(keys.rows.values())))
+    hot = probe.where(F.col("h").isin(list(keys.rows)) & F.col("o").isNotNull())
+    values = sorted(r["o"] for r in hot.sample(fraction=share, seed=7).collect())
     if not values:
         return HotGroups()
     return HotGroups(keys, tuple(values[len(values) * i // slices] for i in range(1, slices)))
