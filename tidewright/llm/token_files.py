@@ -7,6 +7,7 @@ but the pages asked for, and a reader of the numbers alone never touches the lis
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -16,13 +17,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewright.llm.words import chunks_of
+from tidewright.llm.words import Chunks, Recent, slices
 
 END_ID = 2
-ROWS_PER_BATCH = 256
-# Chunks remembered by a task, and the longest chunk that is remembered.
-CACHED_CHUNKS = 200_000
+# Chunks remembered by a task (twice as many at most), the longest chunk that is remembered, and
+# the new chunks that are encoded at once.
+CACHED_CHUNKS = 300_000
 CACHED_LENGTH = 48
+CHUNKS_AT_ONCE = 512
 
 FILE_SCHEMA = "doc_id long, part int, start_in_part long, n_tokens long, ids array<int>"
 # Numbers are delta-coded (version 2 pages without a dictionary), ids take a dictionary.
@@ -42,67 +44,80 @@ FILE_OPTIONS = {
 class LibraryEncoder:
     """Ids of texts by a tokenizer file of the tokenizers library, as little-endian uint32.
 
-    The tokenizer drops white space and no token crosses it, so a text is encoded chunk by
-    chunk and chunks seen before are remembered. A file for which that does not hold is refused.
+    The tokenizer lowers case and drops white space, and no token crosses it, so chunks between white space seen
+    before are remembered, and new chunks are encoded many at a time as one text. A file for
+    which that does not hold is refused.
     """
 
     def __init__(self, file_text: str):
+        # Spark runs a task per core; threads of the library would only add memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(file_text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-        for probe in ("it's, a b", " 12 ćd  e<|endoftext|>f "):
-            if np.frombuffer(self(probe), "<u4").tolist() != self._ids([probe])[0]:
-                raise ValueError("tokens of this tokenizer cross white space")
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def __call__(self, text: str) -> bytes:
-        chunks = chunks_of(text)
-        new = list(set(chunks).difference(self.known))
-        if new:
-            if len(self.known) > CACHED_CHUNKS:
-                self.known.clear()
-                new = list(set(chunks))
-            self.known.update(
-                (c, np.array(ids, "<u4").tobytes())
-                for c, ids in zip(new, self._ids(new), strict=True)
-            )
-        found = b"".join(map(self.known.__getitem__, chunks))
-        for chunk in new:
-            if len(chunk) > CACHED_LENGTH:
-                del self.known[chunk]
-        return found
+        self.known: Recent[bytes] = Recent(CACHED_CHUNKS)
+        for probe in ("it's, A b. I'd (so) go!?", " 12. ćD  e<|endoftext|>f "):
+            whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
+            if np.frombuffer(self(pa.array([probe]))[0], "<u4").tolist() != whole:
+                raise ValueError("a tokenizer that minds case, or whose tokens cross white space")
+
+    def _encode(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks encoded as one text; a token belongs to the chunk it begins in."""
+        found = self.tokenizer.encode(" ".join(chunks), add_special_tokens=False)
+        data = np.array(found.ids, "<u4").tobytes()
+        begins = np.cumsum([0, *(len(c) + 1 for c in chunks)])
+        starts = np.fromiter((at for at, _ in found.offsets), np.int64, len(found))
+        cuts = np.searchsorted(starts, begins).tolist()
+        return [data[4 * a : 4 * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def __call__(self, texts: pa.Array) -> list[memoryview]:
+        chunks = Chunks(texts)
+        found, new = self.known.values(chunks.distinct)
+        for at in range(0, len(new), CHUNKS_AT_ONCE):
+            places = new[at : at + CHUNKS_AT_ONCE]
+            strings = [chunks.distinct[i] for i in places]
+            ids = self._encode(strings)
+            self.known.learn(strings, ids, CACHED_LENGTH)
+            for i, x in zip(places, ids, strict=True):
+                found[i] = x
+        return chunks.joined(found)
+
+
+_OPEN: dict[str, LibraryEncoder] = {}
+
+
+def _encoder(file_text: str) -> LibraryEncoder:
+    """One encoder per worker process, so that its tasks share what is remembered."""
+    if file_text not in _OPEN:
+        _OPEN.clear()
+        _OPEN[file_text] = LibraryEncoder(file_text)
+    return _OPEN[file_text]
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], file_text: str) -> Iterator[pa.RecordBatch]:
-    encode, part, start = LibraryEncoder(file_text), TaskContext.get().partitionId(), 0
+    encode, part, start = _encoder(file_text), TaskContext.get().partitionId(), 0
     end = np.array([END_ID], "<u4").tobytes()
-    for whole in batches:
-        for at in range(0, whole.num_rows, ROWS_PER_BATCH):
-            batch = whole.slice(at, ROWS_PER_BATCH)
-            texts = batch.column("text").to_pylist()
-            ids = [np.frombuffer(encode(t or "") + end, "<i4") for t in texts]
-            sizes = np.array([len(x) for x in ids], np.int64)
-            ends = start + np.cumsum(sizes)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
-                pa.array(np.concatenate(ids)),
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(np.full(len(ids), part, np.int32)),
-                    pa.array(ends - sizes),
-                    pa.array(sizes),
-                    lists,
-                ],
-                ["doc_id", "part", "start_in_part", "n_tokens", "ids"],
-            )
-            start = int(ends[-1])
+    for batch in slices(batches):
+        ids = [bytes(x) + end for x in encode(batch.column("text"))]
+        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        ends = start + np.cumsum(sizes)
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
+            pa.array(np.frombuffer(b"".join(ids), "<i4")),
+        )
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"),
+                pa.array(np.full(len(ids), part, np.int32)),
+                pa.array(ends - sizes),
+                pa.array(sizes),
+                lists,
+            ],
+            ["doc_id", "part", "start_in_part", "n_tokens", "ids"],
+        )
+        start = int(ends[-1])
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str) -> None:

@@ -24,15 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.shared import write_bytes
-from tidewright.llm.words import chunks_of
+from tidewright.llm.words import Chunks, Recent, slices
 from tidewright.session import work_folder
 
-# Most frequent chunks that are compiled; the file takes some 20 bytes for each of their letters.
+# Most frequent runs of letters that are compiled, and the longest; the file takes less than 100
+# bytes for each.
 LEXICON_WORDS = 100_000
 LEXICON_LENGTH = 40
-# Chunks a task remembers.
-CACHED_CHUNKS = 200_000
-ROWS_PER_BATCH = 512
+# Pieces and chunks a worker remembers (twice as many at most).
+CACHED_CHUNKS = 100_000
 
 
 class Rules:
@@ -64,6 +64,7 @@ class Rules:
         self.suffix: str = model["end_of_word_suffix"] or ""
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.ranks = {tuple(p): i for i, p in enumerate(pairs)}
+        self._prepare_pairs(pairs)
         self.pieces = regex.compile(splits[0]["pattern"]["Regex"])
         self.added: dict[str, int] = {t["content"]: t["id"] for t in file["added_tokens"]}
         longest_first = sorted(self.added, key=len, reverse=True)
@@ -71,44 +72,87 @@ class Rules:
         self.names = {i: t for t, i in {**self.vocab, **self.added}.items()}
         self.letters = _byte_letters()
 
-    def merged(self, piece: str) -> list[int]:
-        """Ids of one piece: its lowest-ranked pair is joined first, the leftmost of equals."""
-        parts = [self.letters[b] for b in piece.encode()]
-        parts[-1] += self.suffix
-        while len(parts) > 1:
-            ranks = [self.ranks.get(p, len(self.ranks)) for p in zip(parts, parts[1:], strict=False)]
-            best = min(ranks)
-            if best == len(self.ranks):
-                break
-            pair, joined, at = (parts[ranks.index(best)], parts[ranks.index(best) + 1]), [], 0
-            while at < len(parts):
-                if at + 1 < len(parts) and parts[at] == pair[0] and parts[at + 1] == pair[1]:
-                    joined.append(pair[0] + pair[1])
-                    at += 2
-                else:
-                    joined.append(parts[at])
-                    at += 1
-            parts = joined
-        return [self.vocab[p] for p in parts]
-
-    def chunk(self, chunk: str) -> list[int]:
-        """Ids of a run without white space."""
-        ids: list[int] = []
+    def _prepare_pairs(self, pairs: list[list[str]]) -> None:
+        """Arrays for merging many pieces at a time, by ids.
+
+        A merge whose parts were made by earlier merges only ever makes pairs of a later rank, so
+        all places of a pair can be joined at once. A file without that order is refused.
+        """
+        letters = _byte_letters()
+        made = {x for c in letters for x in (c, c + self.suffix)}
+        for a, b in pairs:
+            if a not in made or b not in made:
+                raise ValueError("a merge of parts that no earlier merge makes")
+            made.add(a + b)
+        ids = np.array([[self.vocab[a], self.vocab[b], self.vocab[a + b]] for a, b in pairs], np.int64)
+        ids = ids.reshape(len(pairs), 3)
+        keys = ids[:, 0] << 32 | ids[:, 1]
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks, self.pair_made = keys[order], order.astype(np.int64), ids[order, 2]
+        self.first_ids = np.array([self.vocab[c] for c in letters], np.int64)
+        self.last_ids = np.array([self.vocab[c + self.suffix] for c in letters], np.int64)
+
+    def merged(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of each piece: its lowest-ranked pair is joined, leftmost first, until none is left."""
+        short = [p for p in pieces if len(p) <= LEXICON_LENGTH]
+        found = dict(zip(short, self._merged_short(short), strict=True))
+        return [found[p] if p in found else _merged_by_heap(self, p) for p in pieces]
+
+    def _merged_short(self, pieces: list[str]) -> list[list[int]]:
+        data = [p.encode() for p in pieces]
+        lengths = np.array([len(d) for d in data], np.int64)
+        letters = np.frombuffer(b"".join(data), np.uint8)
+        parts, word = self.first_ids[letters], np.repeat(np.arange(len(data)), lengths)
+        last = np.cumsum(lengths) - 1
+        parts[last] = self.last_ids[letters[last]]
+        none, done = len(self.pair_ranks), []
+        while len(parts):
+            keys = parts[:-1] << 32 | parts[1:]
+            at = np.minimum(np.searchsorted(self.pair_keys, keys), none - 1)
+            ranks = np.full(len(parts), none)
+            hit = (self.pair_keys[at] == keys) & (word[:-1] == word[1:])
+            ranks[:-1][hit] = self.pair_ranks[at[hit]]
+            begins = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            best = np.repeat(np.minimum.reduceat(ranks, begins), np.diff(np.r_[begins, len(parts)]))
+            over = best == none
+            done.append((word[over], parts[over]))
+            joins = np.flatnonzero((ranks == best) & ~over)
+            # In a run of overlapping places every second one is joined, from the left.
+            fresh = np.r_[True, np.diff(joins) > 1] if len(joins) else joins.astype(bool)
+            place = np.arange(len(joins))
+            joins = joins[(place - np.maximum.accumulate(np.where(fresh, place, 0))) % 2 == 0]
+            parts[joins] = self.pair_made[at[joins]]
+            keep = ~over
+            keep[joins + 1] = False
+            parts, word = parts[keep], word[keep]
+        words = np.concatenate([w for w, _ in done]) if done else np.empty(0, np.int64)
+        ids = np.concatenate([p for _, p in done]) if done else words
+        order = np.argsort(words, kind="stable")
+        cuts = np.searchsorted(words[order], np.arange(len(pieces) + 1)).tolist()
+        ids = ids[order].tolist()
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def split(self, chunk: str) -> list[str | int]:
+        """The pieces of a run without ASCII white space, and the ids of its special tokens."""
+        if self.special is None or "<" not in chunk:
+            return self._plain(chunk)
+        found: list[str | int] = []
         at = 0
-        for found in self.special.finditer(chunk) if self.special and "<" in chunk else ():
-            ids += self._plain(chunk[at : found.start()]) + [self.added[found.group()]]
-            at = found.end()
-        return ids + self._plain(chunk[at:])
-
-    def _plain(self, text: str) -> list[int]:
+        for special in self.special.finditer(chunk):
+            found += [*self._plain(chunk[at : special.start()]), self.added[special.group()]]
+            at = special.end()
+        return found + self._plain(chunk[at:])
+
+    def _plain(self, text: str) -> list[str]:
+        # Below U+0250 no letter joins or splits, and lower() treats each by itself.
+        if text.isalpha() and (text.isascii() or max(text) < "\u0250"):
+            low = text.lower()
+            if low.isalpha():
+                return [low]
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
         # Letter by letter: lower() of a whole string treats a final sigma in a way of its own.
-        low = text.lower() if text.isascii() else "".join(c.lower() for c in text)
-        return [i for piece in self.pieces.findall(low) for i in self.merged_long(piece)]
-
-    def merged_long(self, piece: str) -> list[int]:
-        return self.merged(piece) if len(piece) < 200 else _merged_by_heap(self, piece)
+        return self.pieces.findall("".join(c.lower() for c in text))
 
 
 def _byte_letters() -> list[str]:
@@ -274,54 +318,67 @@ class Lexicon:
 
 
 class Encoder:
-    """Ids of texts: each new chunk goes through the automaton, and is merged if it is not there."""
+    """Ids of texts: new pieces go through the automaton, and are merged if it does not hold them."""
 
     def __init__(self, rules: Rules, lexicon: Lexicon):
         self.rules, self.lexicon = rules, lexicon
-        self.known: dict[str, list[int]] = {}
-        # Per chunk, " id id id" and " token token".
-        self.written: dict[str, tuple[str, str]] = {}
-
-    def learn(self, chunks: Iterable[str]) -> None:
-        new = [c for c in chunks if c not in self.known]
-        for chunk, number in zip(new, self.lexicon.look_up(new).tolist(), strict=True):
-            self.known[chunk] = self.lexicon.ids_of(number) if number >= 0 else self.rules.chunk(chunk)
-
-    def ids(self, text: str) -> list[int]:
-        chunks = chunks_of(text)
-        self.learn(dict.fromkeys(chunks))
-        return [i for c in chunks for i in self.known[c]]
+        # Per piece its ids; per chunk its ids packed, or " id id id" and " token token" as bytes.
+        self.pieces: Recent[list[int]] = Recent(CACHED_CHUNKS)
+        self.packed: Recent[tuple[bytes, ...]] = Recent(CACHED_CHUNKS)
+        self.written: Recent[tuple[bytes, ...]] = Recent(CACHED_CHUNKS)
+        self.forms = {i: (f" {i}".encode(), f" {t}".encode()) for i, t in rules.names.items()}
+
+    def _pack(self, ids: list[int]) -> tuple[bytes, ...]:
+        return (np.array(ids, "<i4").tobytes(),)
+
+    def _write(self, ids: list[int]) -> tuple[bytes, ...]:
+        both = [self.forms[i] for i in ids]
+        return b"".join([b[0] for b in both]), b"".join([b[1] for b in both])
+
+    def _encoded(self, chunks: list[str]) -> Iterator[list[int]]:
+        split = [self.rules.split(c) for c in chunks]
+        wanted = list(dict.fromkeys(p for s in split for p in s if isinstance(p, str)))
+        found, new = self.pieces.values(wanted)
+        pieces = [wanted[i] for i in new]
+        numbers = self.lexicon.look_up(pieces).tolist()
+        merged = iter(self.rules.merged([p for p, n in zip(pieces, numbers, strict=True) if n < 0]))
+        ids = [self.lexicon.ids_of(n) if n >= 0 else next(merged) for n in numbers]
+        self.pieces.learn(pieces, ids, LEXICON_LENGTH)
+        known = dict(zip(wanted, found, strict=True))
+        known.update(zip(pieces, ids, strict=True))
+        for parts in split:
+            yield [i for p in parts for i in (known[p] if isinstance(p, str) else (p,))]
+
+    def _replaced(self, texts: pa.Array, known: Recent[tuple[bytes, ...]], form) -> list[list[memoryview]]:
+        chunks = Chunks(texts)
+        found, new = known.values(chunks.distinct)
+        strings = [chunks.distinct[i] for i in new]
+        made = list(map(form, self._encoded(strings)))
+        known.learn(strings, made, LEXICON_LENGTH)
+        for i, x in zip(new, made, strict=True):
+            found[i] = x
+        columns = zip(*found, strict=True) if found else [[], []]
+        return [chunks.joined(list(column)) for column in columns]
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        return [np.frombuffer(x, "<i4") for x in self._replaced(texts, self.packed, self._pack)[0]]
 
     def decode(self, ids: Iterable[int]) -> str:
         """Tokens joined by a space, as the library does for a file without a decoder."""
         return " ".join(map(self.rules.names.__getitem__, ids))
 
-    def digests(self, texts: list[str]) -> tuple[list[int], list[str], list[str]]:
+    def digests(self, texts: pa.Array) -> tuple[list[int], list[str], list[str]]:
         """Per text: the number of ids, and sha256 of the ids and of the decoded text."""
-        split = [chunks_of(t) for t in texts]
-        if len(self.known) > CACHED_CHUNKS:
-            self.known.clear(), self.written.clear()
-        distinct = set().union(*split)
-        self.learn(distinct)
-        for chunk in distinct - self.written.keys():
-            ids = self.known[chunk]
-            self.written[chunk] = (
-                "".join(f" {i}" for i in ids), "".join(f" {self.rules.names[i]}" for i in ids)
-            )
-        sizes, id_sums, text_sums = [], [], []
-        for chunks in split:
-            both = [self.written[c] for c in chunks]
-            numbers = "".join([b[0] for b in both])
-            sizes.append(numbers.count(" "))
-            id_sums.append(hashlib.sha256(numbers[1:].encode()).hexdigest())
-            text_sums.append(hashlib.sha256("".join([b[1] for b in both])[1:].encode()).hexdigest())
-        return sizes, id_sums, text_sums
-
+        numbers, tokens = self._replaced(texts, self.written, self._write)
+        sizes = [bytes(x).count(b" ") for x in numbers]
+        return (sizes, [hashlib.sha256(x[1:]).hexdigest() for x in numbers],
+                [hashlib.sha256(x[1:]).hexdigest() for x in tokens])
 
 
-def frequent_chunks(docs: DataFrame, limit: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent chunks of all texts, by count and then by the chunk."""
-    words = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "[ \\t\\n\\x0B\\f\\r]+")).alias("w"))
+def frequent_pieces(docs: DataFrame, limit: int = LEXICON_WORDS) -> list[str]:
+    """The most frequent runs of letters of all texts in lower case, by count and then by the run."""
+    low = F.lower(F.coalesce("text", F.lit("")))
+    words = docs.select(F.explode(F.split(low, r"[^\p{L}]+")).alias("w"))
     short = words.where((F.length("w") > 0) & (F.length("w") <= LEXICON_LENGTH))
     counted = short.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     top = counted.orderBy(F.desc("n"), "w").limit(limit).select("w").toArrow()
@@ -329,9 +386,9 @@ def frequent_chunks(docs: DataFrame, limit: int = LEXICON_WORDS) -> list[str]:
 
 
 def compile_lexicon(docs: DataFrame, rules: Rules, limit: int = LEXICON_WORDS) -> Lexicon:
-    """An automaton of at most `limit` chunks; chunks with white space by Unicode are left out."""
-    chosen = [c for c in frequent_chunks(docs, limit) if chunks_of(c) == [c]]
-    return Lexicon.compiled({c: rules.chunk(c) for c in chosen})
+    """An automaton of at most `limit` runs; those that the tokenizer would split are left out."""
+    chosen = [w for w in frequent_pieces(docs, limit) if rules.split(w) == [w]]
+    return Lexicon.compiled(dict(zip(chosen, rules.merged(chosen), strict=True)))
 
 
 _OPEN: dict[str, Encoder] = {}
@@ -355,8 +412,10 @@ def sent_encoder(docs: DataFrame, tokenizer_file: str, limit: int = LEXICON_WORD
         rules_text = f.read()
     context = docs.sparkSession.sparkContext
     data = compile_lexicon(docs, Rules(rules_text), limit).to_bytes()
-    name = f"lexicon-{hashlib.sha256(data + rules_text.encode()).hexdigest()[:32]}"
-    path = f"{work_folder(docs.sparkSession, 'lexicon')}/{name}"
+    folder = work_folder(docs.sparkSession, "lexicon")
+    # Spark tells files by their names alone, so each lexicon has its own.
+    name = f"{folder.rpartition('/')[2]}.bin"
+    path = f"{folder}/{name}"
     write_bytes(docs.sparkSession, path, data)
     context.addFile(path)
     rules = context.broadcast(rules_text)
@@ -369,15 +428,13 @@ def encoded(docs: DataFrame, tokenizer_file: str, limit: int = LEXICON_WORDS) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder()
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS_PER_BATCH):
-                batch = whole.slice(at, ROWS_PER_BATCH)
-                ids = [coder.ids(t or "") for t in batch.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())),
-                     pa.array([coder.decode(i) for i in ids], pa.string())],
-                    ["doc_id", "ids", "decoded"],
-                )
+        for batch in slices(batches):
+            ids = coder.ids(batch.column("text"))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())),
+                 pa.array([coder.decode(i) for i in map(np.ndarray.tolist, ids)], pa.string())],
+                ["doc_id", "ids", "decoded"],
+            )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
@@ -389,15 +446,13 @@ def digests(docs: DataFrame, tokenizer_file: str, limit: int = LEXICON_WORDS) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder()
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS_PER_BATCH):
-                batch = whole.slice(at, ROWS_PER_BATCH)
-                sums = coder.digests([t or "" for t in batch.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(sums[0], pa.int64()),
-                     pa.array(sums[1], pa.string()), pa.array(sums[2], pa.string())],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+        for batch in slices(batches):
+            sums = coder.digests(batch.column("text"))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sums[0], pa.int64()),
+                 pa.array(sums[1], pa.string()), pa.array(sums[2], pa.string())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(
