@@ -38,7 +38,7 @@ def right(spark):
 
 
 def test_hot_keys_finds_the_large_key(spark, left):
-    seven = spark.range(1).select(F.xxhash64(F.lit(7))).first()[0]
+    seven = spark.range(1).select(F.xxhash64(F.lit(7.0))).first()[0]
     assert hot_keys(left, ["k"], min_rows=0).rows[seven] == 1050
     assert not hot_keys(left, ["k"]) and not hot_keys(left.limit(0), ["k"], min_rows=0)
 
@@ -62,7 +62,7 @@ def test_spread_join_grid(left, right):
 def test_spread_join_splits_equal_rows(left):
     hot = hot_keys(left, ["k"], min_rows=0)
     dealt = left.repartition(16, "l", F.rand(1)).withColumn(
-        "cell", F.when(hot.has(["k"]), skew._dealt(left, hot.parts(["k"]))))
+        "cell", F.when(hot.has(left, ["k"]), skew._dealt(left, hot.parts(left, ["k"]))))
     cells = dealt.where("k = 7 and l = 0").groupBy("cell").count().collect()
     assert len(cells) > 1
 
@@ -161,3 +161,27 @@ def test_measured_sizes(spark):
     assert are_small(ids, texts, limit=2760) and not are_small(ids, texts, limit=2759)
     assert not are_small(nested) and are_small(ids.limit(0), limit=0)
     assert row_counts(ids, texts) == [100, 10]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("one, other", [
+    ("int", "bigint"), ("bigint", "int"), ("int", "decimal(10,0)"), ("smallint", "decimal(12,2)"),
+    ("date", "timestamp_ntz"), ("date", "timestamp")])
+def test_spread_join_of_mixed_types(spark, how, one, other):
+    def typed(rows, dtype, name):
+        value = "k" if dtype not in ("date", "timestamp", "timestamp_ntz") else \
+            "date_add(date'2024-01-01', k)"
+        return spark.createDataFrame(rows, f"k int, {name} int").selectExpr(
+            f"cast({value} as {dtype}) as k", name)
+
+    left = typed([(7, i) for i in range(300)] + [(i, i) for i in range(40)], one, "l")
+    right = typed([(i, i) for i in range(0, 30, 2)] + [(7, -1)], other, "r")
+    hot = hot_keys(left, ["k"], min_rows=0)
+    assert hot
+    assert bag(spread_join(left, right, ["k"], how, hot)) == bag(left.join(right, ["k"], how))
+
+
+def test_spread_join_refuses_types_without_a_common_one(spark, left):
+    other = spark.createDataFrame([("7", 1)], "k string, r int")
+    with pytest.raises(ValueError, match="key k"):
+        spread_join(left, other, ["k"])

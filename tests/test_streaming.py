@@ -30,3 +30,19 @@ def test_stream_merges_the_newest_of_each_batch(spark, folder):
     run()
     assert bag(table.read()) == Counter([(1, 3, "c"), (2, 9, "z"), (5, 0, "kept"), (None, 1, "e")])
     assert table.current().batches == {"merge": 1}
+    # A later batch may bring older versions.
+    arrive("c", [(2, 4, "late"), (1, 2, "late"), (7, 1, "new")])
+    run()
+    assert bag(table.read()) == Counter([
+        (1, 3, "c"), (2, 9, "z"), (5, 0, "kept"), (7, 1, "new"), (None, 1, "e")])
+
+
+def test_stream_query_reads_a_directory(spark, folder):
+    """The same rows as one file and as a directory of several."""
+    import __spark_entry__ as entry
+
+    one = "/root/testdata/sf0.001"
+    events = spark.read.parquet(f"{one}/events.parquet")
+    events.repartition(3, "event_id").write.parquet(f"{folder}/events.parquet")
+    run = entry.queries()["stream_upsert"]
+    assert bag(run(spark, folder)) == bag(run(spark, one))

@@ -185,7 +185,7 @@ def run_checks(spark: SparkSession, checks: Sequence[Check]) -> CheckReport:
             if n and check.severity == ERROR:
                 exit_code = 1
         except Exception as problem:  # noqa: BLE001 - any failure of a check is its result
-            lines.append((check.name, check.severity, None, "failed", str(problem)[:2000]))
+            lines.append((check.name, check.severity, None, "failed", str(problem)))
             exit_code = 1
     return CheckReport(
         spark.createDataFrame(lines, SUMMARY_SCHEMA),

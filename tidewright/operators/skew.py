@@ -30,8 +30,34 @@ MAX_SLICES = 4096
 VALUES_PER_SLICE = 50
 
 
-def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
+def _family(dtype: T.DataType) -> str | None:
+    """The one type that keys which a join may find equal are hashed as; None for as they are."""
+    if isinstance(dtype, T.NumericType):
+        return "double"
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return "timestamp"
+    return None
+
+
+def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A hash of a row's key that does not depend on the width of its types.
+
+    Joins compare int with bigint or decimal, and date with timestamp, by value; so equal keys
+    must hash alike on both sides. Rounding may give unequal keys one hash, which is harmless.
+    """
+    def part(name: str) -> Column:
+        family = _family(df.schema[name].dataType)
+        return F.col(name).cast(family) if family else F.col(name)
+
+    return F.xxhash64(*[part(k) for k in keys])
+
+
+def check_comparable(left: DataFrame, right: DataFrame, on: Sequence[str]) -> None:
+    """Refuses key columns whose types have no common hash."""
+    for name in on:
+        a, b = left.schema[name].dataType, right.schema[name].dataType
+        if _family(a) != _family(b) or (_family(a) is None and a != b):
+            raise ValueError(f"key {name} is {a.simpleString()} on one side, {b.simpleString()} on the other")
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -62,15 +88,15 @@ class HotKeys:
     def most_parts(self, most: int = PARTS[-1]) -> int:
         return max(self._steps(most), default=1)
 
-    def parts(self, keys: Sequence[str], most: int = PARTS[-1]) -> Column:
+    def parts(self, df: DataFrame, keys: Sequence[str], most: int = PARTS[-1]) -> Column:
         """The number of parts a row's key is split into; 1 for keys that are not hot."""
-        hashed, found = key_hash(keys), F.lit(1)
+        hashed, found = key_hash(df, keys), F.lit(1)
         for parts, hashes in self._steps(most).items():
             found = F.when(hashed.isin(hashes), F.lit(parts)).otherwise(found)
         return found
 
-    def has(self, keys: Sequence[str]) -> Column:
-        return key_hash(keys).isin(list(self.rows)) if self.rows else F.lit(False)
+    def has(self, df: DataFrame, keys: Sequence[str]) -> Column:
+        return key_hash(df, keys).isin(list(self.rows)) if self.rows else F.lit(False)
 
 
 NONE_HOT = HotKeys()
@@ -89,7 +115,7 @@ def hot_keys(
         return NONE_HOT
     fraction = min(1.0, PROBE_ROWS / rows)
     # A key with a NULL counts like any other: windows group by it, and joins drop or spread it.
-    probe = df.select(key_hash(keys).alias("h")).sample(fraction=fraction, seed=7)
+    probe = df.select(key_hash(df, keys).alias("h")).sample(fraction=fraction, seed=7)
     return _hot_in(probe, rows, fraction)
 
 
@@ -137,21 +163,22 @@ def spread_join(
         raise ValueError(f"not a left-sided join: {how}")
     if hot_right and how != "inner":
         raise ValueError("copying left rows is only exact for an inner join")
+    check_comparable(left, right, on)
     if not hot_left and not hot_right and not keeps_unmatched:
         return left.join(right, on + also, how)
 
     cells, zero = ["__l"], F.lit(0)
-    dealt = F.when(hot_left.has(on), _dealt(left, hot_left.parts(on)))
+    dealt = F.when(hot_left.has(left, on), _dealt(left, hot_left.parts(left, on)))
     if keeps_unmatched:
         dealt = F.when(any_null(on), _dealt(left, F.lit(NULL_PARTS))).otherwise(dealt)
     l_cell = left.withColumn("__l", F.coalesce(dealt, zero))
-    given = _copies(hot_left.has(on), hot_left.parts(on)) if hot_left else zero
+    given = _copies(hot_left.has(right, on), hot_left.parts(right, on)) if hot_left else zero
     r_cell = right.withColumn("__l", given)
     if hot_right:
         cells.append("__r")
-        dealt = F.when(hot_right.has(on), _dealt(right, hot_right.parts(on))).otherwise(zero)
+        dealt = F.when(hot_right.has(right, on), _dealt(right, hot_right.parts(right, on))).otherwise(zero)
         r_cell = r_cell.withColumn("__r", dealt)
-        l_cell = l_cell.withColumn("__r", _copies(hot_right.has(on), hot_right.parts(on)))
+        l_cell = l_cell.withColumn("__r", _copies(hot_right.has(left, on), hot_right.parts(left, on)))
     return l_cell.join(r_cell, on + also + cells, how).drop(*cells)
 
 
@@ -173,7 +200,7 @@ def hot_groups(
     fraction = min(1.0, PROBE_ROWS / rows)
     # Looked at twice, so the probe rows are kept rather than scanned for again.
     probe = checkpointed(
-        df.select(key_hash(group).alias("h"), F.col(order).alias("o"))
+        df.select(key_hash(df, group).alias("h"), F.col(order).alias("o"))
         .sample(fraction=fraction, seed=7)
     )
     keys = _hot_in(probe, rows, fraction)
@@ -198,14 +225,14 @@ def _with_slice(df: DataFrame, group: Sequence[str], order: str, hot: HotGroups)
     slices = len(hot.cuts) + 1
     dtype = T.ArrayType(df.schema[order].dataType)
     cuts = F.array(*[F.lit(c) for c in hot.cuts]).cast(dtype)
-    found = df.withColumn("__slice", F.when(hot.keys.has(group), F.lit(0)))
+    found = df.withColumn("__slice", F.when(hot.keys.has(df, group), F.lit(0)))
     step = slices // 2
     while step:
         cut = F.get(cuts, F.col("__slice") + (step - 1))
         above = F.coalesce(F.col(order) > cut, F.lit(True))
         found = found.withColumn("__slice", F.col("__slice") + F.when(above, step).otherwise(0))
         step //= 2
-    merged = F.floor(F.col("__slice") * hot.keys.parts(group, slices) / slices).cast("int")
+    merged = F.floor(F.col("__slice") * hot.keys.parts(df, group, slices) / slices).cast("int")
     return found.withColumn("__slice", F.coalesce(merged, F.lit(-1)))
 
 
@@ -240,7 +267,7 @@ def number_in_groups(
     ).withColumn(total, F.count(F.lit(1)).over(w))
     # Taking the hot rows first keeps the filter short; a filter on the slice would be pushed
     # down through the halving steps and double with each.
-    of_hot = _with_slice(df.where(hot.keys.has(group)), group, order, hot)
+    of_hot = _with_slice(df.where(hot.keys.has(df, group)), group, order, hot)
     counted = of_hot.groupBy(F.struct(*group).alias("__group"), "__slice").agg(
         F.count(F.lit(1)).alias("__n")
     )

@@ -64,7 +64,12 @@ from tidewright.streaming.upserts import upsert_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 HALF_YEAR = Cycle.of("2000-01-01", "2000-07-01")
-BEFORE_MARCH = datetime(2000, 3, 1)
+MARCH = datetime(2000, 3, 1)
+
+
+def _without_new(df: DataFrame, ts: str, upto: datetime = HALF_YEAR.upto) -> DataFrame:
+    """An earlier state: every row but those that are new from March on within a window."""
+    return df.where((F.col(ts) < instant(MARCH)) | (F.col(ts) >= instant(upto)))
 EPOCH = datetime(1995, 1, 1)
 QUERIES: dict[str, Query] = {}
 
@@ -164,7 +169,7 @@ def upsert_single_key(spark: SparkSession, folder: str) -> DataFrame:
     orders = parquet_source(spark, folder)("orders").select(
         "o_orderkey", "o_orderstatus", "o_orderdate"
     )
-    target = orders.where(F.col("o_orderdate") < instant(BEFORE_MARCH))
+    target = _without_new(orders, "o_orderdate")
     source = delta(orders, "o_orderdate", HALF_YEAR).withColumn("o_orderstatus", F.lit("X"))
     return upsert(target, source, ["o_orderkey"])
 
@@ -173,7 +178,7 @@ def upsert_single_key(spark: SparkSession, folder: str) -> DataFrame:
 def upsert_composite_key(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"]
     lines = parquet_source(spark, folder)("lineitem").select(*columns, "l_shipdate")
-    target = lines.where(F.col("l_shipdate") < instant(BEFORE_MARCH)).select(*columns)
+    target = _without_new(lines, "l_shipdate").select(*columns)
     source = delta(lines, "l_shipdate", HALF_YEAR).withColumn("l_returnflag", F.lit("X"))
     return upsert(target, source.select(*columns), ["l_orderkey", "l_linenumber"])
 
@@ -195,7 +200,7 @@ def upsert_null_keys(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def keyed_update(spark: SparkSession, folder: str) -> DataFrame:
     orders = parquet_source(spark, folder)("orders").select("o_orderkey", "o_orderstatus")
-    return update_where(orders, F.col("o_orderkey") == 110, {"o_orderstatus": "Z"})
+    return update_where(orders, F.col("o_orderkey") == 4, {"o_orderstatus": "Z"})
 
 
 @_query
@@ -203,7 +208,7 @@ def insert_with_defaults(spark: SparkSession, folder: str) -> DataFrame:
     customers = parquet_source(spark, folder)("customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment"
     )
-    rows = [(90010017, "Western"), (90010018, "Eastern", 3)]
+    rows = [(97000001, "Quayside"), (97000002, "Millpond", 3)]
     return insert_rows(customers, rows, defaults={"c_mktsegment": "NONE"})
 
 
@@ -246,9 +251,8 @@ def dim_qualifier_delta(spark: SparkSession, folder: str) -> DataFrame:
 def dim_qualifier_groups(spark: SparkSession, folder: str) -> DataFrame:
     """A merge whose delta renumbers every touched name group: equal to a full build."""
     orders = parquet_source(spark, folder)("orders")
-    staged = orders.where(F.col("o_orderdate") < instant(HALF_YEAR.upto))
-    dw = _order_qualifier(orders.where(F.col("o_orderdate") < instant(BEFORE_MARCH)))
-    return upsert(dw, _order_qualifier(staged, HALF_YEAR, current=dw), ["o_orderkey"])
+    dw = _order_qualifier(_without_new(orders, "o_orderdate"))
+    return upsert(dw, _order_qualifier(orders, HALF_YEAR, current=dw), ["o_orderkey"])
 
 
 def _lines_with_priority(spark: SparkSession, folder: str, cycle: Cycle | None) -> DataFrame:
@@ -266,6 +270,30 @@ def _lines_with_priority(spark: SparkSession, folder: str, cycle: Cycle | None)
     )
 
 
+@_query
+def lookup_mixed_types(spark: SparkSession, folder: str) -> DataFrame:
+    """A lookup whose key is narrower in one table than in the other."""
+    read = parquet_source(spark, folder)
+    orders = read("orders").select(
+        F.col("o_orderkey").cast("int").alias("l_orderkey"), "o_orderdate", "o_orderpriority")
+    return lookup(
+        timed(read("lineitem"), "l_shipdate", "l_ts", ["l_orderkey", "l_linenumber", "l_partkey"]),
+        timed(orders, "o_orderdate", "o_ts", ["l_orderkey", "o_orderpriority"]),
+        ["l_orderkey"],
+        ["l_orderkey", "l_linenumber", "l_partkey", "o_orderpriority"],
+        "last_update",
+    )
+
+
+@_query
+def delete_mixed_types(spark: SparkSession, folder: str) -> DataFrame:
+    """A delete by keys that are decimals in the list and whole numbers in the table."""
+    orders = parquet_source(spark, folder)("orders")
+    gone = delta(orders, "o_orderdate", HALF_YEAR).select(
+        F.col("o_orderkey").cast("decimal(12,0)").alias("o_orderkey"))
+    return delete_by_key(orders, gone, ["o_orderkey"])
+
+
 @_query
 def dim_lookup_full(spark: SparkSession, folder: str) -> DataFrame:
     return _lines_with_priority(spark, folder, None)
@@ -435,7 +463,7 @@ def check_sample(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def cycle_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     orders = parquet_source(spark, folder)("orders")
-    dw = _order_qualifier(orders.where(F.col("o_orderdate") < instant(BEFORE_MARCH)))
+    dw = _order_qualifier(_without_new(orders, "o_orderdate"))
     return upsert(dw, _order_qualifier(orders, HALF_YEAR), ["o_orderkey"])
 
 
@@ -451,7 +479,7 @@ def zone_merged(spark: SparkSession, folder: str) -> DataFrame:
         return rows.withColumn("o_orderstatus", F.lit(status))
 
     table = ZoneTable(spark, work_folder(spark, "zone"), ["o_orderkey"])
-    table.replace(orders.where(F.col("o_orderdate") < instant(BEFORE_MARCH)))
+    table.replace(_without_new(orders, "o_orderdate", datetime(2000, 9, 1)))
     table.upsert(changed("X", "2000-01-01", "2000-07-01"))
     table.upsert(changed("Y", "2000-05-01", "2000-09-01"))
     return table.read()
@@ -481,7 +509,7 @@ def cycle_published(spark: SparkSession, folder: str) -> DataFrame:
     """
     read = parquet_source(spark, folder)
     after = {
-        "orders": read("orders").where(F.col("o_orderdate") < instant(HALF_YEAR.upto)),
+        "orders": read("orders"),
         "customer": _customers(read),
     }
 
@@ -520,8 +548,8 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     table = ZoneTable(spark, f"{work}/newest_event", ["user_id"])
     first = events.where(F.col("ts") < instant(datetime(2024, 1, 15)))
     table.replace(newest_per_key(first, ["user_id"], ["ts", "event_id"]))
-    arriving = spark.readStream.schema(events.schema).option("pathGlobFilter", "events*.parquet") \
-        .parquet(folder)
+    # A glob of the table's own path takes a file as well as a directory of files.
+    arriving = spark.readStream.schema(events.schema).parquet(f"{folder}/events.parque[t]")
     run = upsert_stream(arriving, table, ["ts", "event_id"], f"{work}/checkpoint", "newest_event")
     run.awaitTermination()
     return table.read()

@@ -90,7 +90,7 @@ class Warehouse:
             try:
                 return Line(item.name, work(item))
             except Exception as problem:  # noqa: BLE001 - kept in the log, raised below
-                return Line(item.name, None, FAILED, str(problem)[:2000])
+                return Line(item.name, None, FAILED, str(problem))
 
         with ThreadPoolExecutor(max(1, self.parallel)) as pool:
             lines = list(pool.map(inheritable_thread_target(self.spark)(one), items))

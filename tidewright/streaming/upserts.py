@@ -21,14 +21,17 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Merges each micro-batch into `table`.
 
-    A batch may hold several versions of a row; the last by `order` is taken. The batch number
-    is published together with the rows, so a batch that runs again after a failure is
-    skipped. Without `every` (such as "10 minutes") the query takes what is there and ends.
+    Of the versions of a row in a batch and in the table the last by `order` stays, so batches
+    may come out of order. The batch number is published together with the rows, so a batch that
+    runs again after a failure is skipped. Segments no longer needed are removed. Without `every` (such as "10 minutes") the query takes what is there and ends.
     """
 
     def publish(batch: DataFrame, number: int) -> None:
-        rows = newest_per_key(batch, table.keys, order)
+        keys = batch.select(*table.keys).distinct()
+        stored = table.read().join(keys, list(table.keys), "left_semi").select(*batch.columns)
+        rows = newest_per_key(batch.unionByName(stored), table.keys, order)
         table.upsert(rows, batch=(name, number))
+        table.vacuum()
 
     writer = stream.writeStream.foreachBatch(publish).queryName(name) \
         .option("checkpointLocation", checkpoint)
