@@ -92,8 +92,8 @@ def op6_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_folder(spark, "warc")
-    warc.write_archives(table(spark, sf_dir, "pages"), path)
-    found = warc.records(warc.read_archives(spark, path, with_payload=False))
+    warc.write_archives(table(spark, sf_dir, "pages"), path, compressed=True)
+    found = warc.records(warc.read_archives(spark, path, compressed=True, with_payload=False))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewright.llm.shared import broadcast_if_small
+
 VERSION = b"WARC/1.1\r\n"
 MEMBER = b"\x1f\x8b\x08"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -27,6 +29,7 @@ _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Pages carry no date of their own.
 DATE = "1970-01-01T00:00:00Z"
 RECORDS_PER_BATCH = 256
+RECORDS_PER_ARCHIVE = 20_000
 
 
 def sha1_base32(data: bytes) -> str:
@@ -91,7 +94,8 @@ def with_roles(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     owners = rows.where(F.octet_length("payload") >= min_bytes).groupBy("__key").agg(
         F.max("page_id").alias("owner"), F.count(F.lit(1)).alias("__n")
     ).where("__n > 1 and owner is not null").drop("__n")
-    joined = rows.join(owners, "__key", "left")
+    # Few payloads repeat as a rule; then the pages stay where they are.
+    joined = rows.join(broadcast_if_small(owners), "__key", "left")
     revisit = F.col("owner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("owner"))
     return joined.select(
         "page_id", "url",
@@ -102,7 +106,7 @@ def with_roles(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, compressed: bool = False) -> None:
-    """A record per page, in one archive per task; `compressed` makes a gzip member of each."""
+    """A record per page, in archives of bounded length; `compressed` makes a gzip member of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -119,7 +123,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, compressed:
     end = _EMPTY_MEMBER.decode("latin-1") if compressed else _PLAIN_END
     # The sink writes a string's bytes as they are.
     rows.select(F.col("value").cast("string")).write.option("lineSep", end).option(
-        "encoding", "ISO-8859-1").text(path)
+        "encoding", "ISO-8859-1").option("maxRecordsPerFile", RECORDS_PER_ARCHIVE).text(path)
 
 
 @dataclass
