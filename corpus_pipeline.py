@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewright.llm import lsh_forest, mixing, pii, quality_forest, transducer
 from tidewright.llm.queries import OTHER_WEIGHT, WEIGHTS, tokenizer_file
-from tidewright.llm.shared import ship_package, stored, table
+from tidewright.llm.shared import bound_batches, ship_package, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -20,12 +20,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or that the forest finds anomalous go."""
     ship_package(spark)
+    bound_batches(spark)
     return quality_forest.keep_good(docs, quality_forest.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by a similarity of 0.8 or more, the document with the least id stays."""
     ship_package(spark)
+    bound_batches(spark)
     return lsh_forest.one_of_each(docs)
 
 
@@ -42,6 +44,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the decoded text."""
     ship_package(spark)
+    bound_batches(spark)
     return transducer.digests(docs, tokenizer_file())
 
 

@@ -36,9 +36,9 @@ SHORTEST = 4
 RECALL = 0.99999
 LABEL_BYTES = 2
 # A block of a cluster holds so many bytes of text, each text counted with so many more.
-BLOCK_BYTES, TEXT_BYTES = 16 << 20, 64 << 10
-CACHED_WORDS = 300_000
-ROWS_PER_BATCH = 512
+BLOCK_BYTES, TEXT_BYTES = 8 << 20, 32 << 10
+CACHED_WORDS = 150_000
+ROWS_PER_BATCH = 256
 
 _draw = np.random.default_rng(2024)
 _MULTIPLY = _draw.integers(1, 1 << 32, TREES * DEPTH, np.uint32) | np.uint32(1)
@@ -105,6 +105,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary())],
                 ["doc_id", "text_hash", "set_key", "bytes", "sig"],
             )
+    # An idle worker would keep its memory otherwise.
+    _HASHES.clear()
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -217,6 +219,7 @@ def _verified(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[
             yield pa.RecordBatch.from_pylist(made, pa.schema([
                 ("node", pa.int64()), ("links", pa.int64()), ("copies", pa.int64()),
                 ("parent", pa.int64()), ("seen", pa.list_(pa.float64()))]))
+    _HASHES.clear()
 
 
 def _cell_rows(nodes: list[int], linked: np.ndarray, copies: np.ndarray, parents: dict,

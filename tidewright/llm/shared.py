@@ -85,6 +85,17 @@ def number_rows(
     return found.select(*[F.col(f"`{c}`") for c in df.columns], place, *more)
 
 
+BATCH_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lets tasks take at most so many texts from the JVM at once, unless the session says less."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    given = spark.conf.get(setting, None)
+    if not given or not 0 < int(given) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 _SHIPPED: set[str] = set()
 
 

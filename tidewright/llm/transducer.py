@@ -31,8 +31,10 @@ from tidewright.session import work_folder
 # bytes for each.
 LEXICON_WORDS = 100_000
 LEXICON_LENGTH = 40
-# Pieces and chunks a worker remembers (twice as many at most).
-CACHED_CHUNKS = 100_000
+# Pieces and chunks a task remembers (twice as many at most).
+CACHED_CHUNKS = 60_000
+# Text worked on at a time; each distinct chunk of it is held in three forms.
+SLICE_BYTES = 4 << 20
 
 
 class Rules:
@@ -328,6 +330,11 @@ class Encoder:
         self.written: Recent[tuple[bytes, ...]] = Recent(CACHED_CHUNKS)
         self.forms = {i: (f" {i}".encode(), f" {t}".encode()) for i, t in rules.names.items()}
 
+    def forget(self) -> None:
+        """Lets go of what was remembered; an idle worker keeps its memory otherwise."""
+        for known in (self.pieces, self.packed, self.written):
+            known.clear()
+
     def _pack(self, ids: list[int]) -> tuple[bytes, ...]:
         return (np.array(ids, "<i4").tobytes(),)
 
@@ -428,13 +435,14 @@ def encoded(docs: DataFrame, tokenizer_file: str, limit: int = LEXICON_WORDS) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder()
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE_BYTES):
             ids = coder.ids(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())),
                  pa.array([coder.decode(i) for i in map(np.ndarray.tolist, ids)], pa.string())],
                 ["doc_id", "ids", "decoded"],
             )
+        coder.forget()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
@@ -446,13 +454,14 @@ def digests(docs: DataFrame, tokenizer_file: str, limit: int = LEXICON_WORDS) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder()
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE_BYTES):
             sums = coder.digests(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sums[0], pa.int64()),
                  pa.array(sums[1], pa.string()), pa.array(sums[2], pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        coder.forget()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(

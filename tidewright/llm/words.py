@@ -28,11 +28,11 @@ def words_of(text: str) -> list[str]:
 SLICE_BYTES, SLICE_ROWS = 8 << 20, 4096
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut where their texts reach a size."""
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes, dtype=np.int64) // size
         cuts = np.flatnonzero(np.diff(part)) + 1
         ends = sorted({*cuts.tolist(), *range(SLICE_ROWS, batch.num_rows, SLICE_ROWS), batch.num_rows})
         at = 0
@@ -120,3 +120,6 @@ class Recent(Generic[Value]):
         """Remembers the strings that are not too long."""
         self.young.update(
             (s, v) for s, v in zip(strings, values, strict=True) if len(s) <= longest)
+
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
