@@ -22,7 +22,7 @@ from operator import itemgetter
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.llm.shared import broadcast_if_small, stored
@@ -247,15 +247,25 @@ def _chains(left: list[int], right: list[int], linked: np.ndarray) -> dict[int,
     return {n: top(n) for n in parents}
 
 
+def _block(load: Column) -> Column:
+    return F.floor((load - 1) / BLOCK_BYTES).cast("long")
+
+
 def _verify(docs: DataFrame, classes: DataFrame, clusters: DataFrame, similarity: float) -> DataFrame:
     narrow = classes.select("node", "doc_id", "text_hash", "bytes", "n")
-    members = clusters.join(narrow, "node")
-    ordered = Window.partitionBy("root").orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
-    # Blocks are cut by bytes, so neither many nor very long texts make one large.
-    load = F.sum(F.col("bytes") + TEXT_BYTES).over(ordered)
-    placed = members.withColumn("block", F.floor((load - 1) / BLOCK_BYTES).cast("long"))
-    last = placed.groupBy("root").agg(F.max("block").alias("last"))
-    placed = stored(placed.join(last, "root"), "blocks")
+    members = clusters.join(narrow, "node").withColumn("part", F.shiftright("node", 33))
+    members = members.withColumn("load", F.col("bytes") + TEXT_BYTES)
+    # Blocks are cut by bytes, so neither many nor very long texts make one large. The running
+    # sum of a cluster is put together from its parts, so no task orders a whole cluster.
+    whole = Window.partitionBy("root")
+    earlier = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = members.groupBy("root", "part").agg(F.sum("load").alias("load")).select(
+        "root", "part", F.coalesce(F.sum("load").over(earlier), F.lit(0)).alias("before"),
+        _block(F.sum("load").over(whole)).alias("last"))
+    ordered = Window.partitionBy("root", "part").orderBy("node").rowsBetween(
+        Window.unboundedPreceding, 0)
+    placed = stored(members.withColumn("load", F.sum("load").over(ordered)).join(
+        parts, ["root", "part"]).withColumn("block", _block(F.col("before") + F.col("load"))), "blocks")
     texts = _keyed(docs).join(
         broadcast_if_small(placed.select(
             F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), "node", "root", "n", "block", "last")),
