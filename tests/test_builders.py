@@ -290,3 +290,31 @@ def test_full_is_delta_over_everything(linked, looked_up, chain, actors):
     assert build_snowflake(filled) == build_snowflake(filled, EVERYTHING)
     args = (actors, "id", ["first", "last"], "ts")
     assert bag(qualifier(*args)) == bag(qualifier(*args, EVERYTHING))
+
+
+def test_bridge_spreads_an_entity_with_many_links(spark):
+    old = F.lit("2023-01-01").cast("timestamp_ntz")
+
+    def links(n, column):
+        rows = spark.range(n).select(
+            F.lit(7).alias("film_id"), F.col("id").alias(column), old.alias("ts_" + column))
+        made = rows.union(rows.limit(1).withColumn("film_id", F.lit(8)))
+        return Timed(made, ("ts_" + column,))
+
+    def table(rows, column):
+        return Timed(rows.select(column, old.alias("t_" + column)).distinct(), ("t_" + column,))
+
+    fa, fc = links(2000, "actor_id"), links(2000, "category_id")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        made = bridge(fa, table(fa.df, "film_id"), fc, table(fc.df, "category_id"),
+                      "film_id", "category_id", ["film_id", "actor_id", "category_id"], "ts")
+        sizes = made.groupBy(F.spark_partition_id()).count().collect()
+        assert made.distinct().count() == 4_000_001
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    counts = [r["count"] for r in sizes]
+    assert sum(counts) == 4_000_001 and len(counts) > 16 and max(counts) < 800_000

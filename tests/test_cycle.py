@@ -1,5 +1,6 @@
 from collections import Counter
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 import rental
@@ -11,6 +12,7 @@ from tidewright.operators.quality import ERROR
 from tidewright.plans import warehouse
 from tidewright.plans.cycle import GROUP_SCOPE, CycleFailed, Warehouse
 from tidewright.sources.extract import base_tables, catalog_source, jdbc_source, parquet_source
+from tidewright.sources.runlog import FAILED, FULL_LOAD, TRANSFORM, Line, RunLog
 from tidewright.sources.specs import SOURCES, TARGETS, TableSpec, TargetSpec
 from tidewright.sources.zones import Zone
 
@@ -167,10 +169,67 @@ def test_colliding_qualifier_is_refused_and_the_rest_published(spark, folder):
         house.run_cycle(rental.CYCLE)
     assert bag(house.dw.read("actor_dim")) == before
     assert house.dw.read("film_dim").count() == 3
-    log = house.log.read().where("step = 'transform'")
+    log = house.log.read().where("step = 'transform' and table_name <> '*'")
     assert {r["table_name"]: r["status"] for r in log.collect()} == {
         t.name: "failed" if t.name == "actor_dim" else "done" for t in TARGETS}
-    assert house.log.done_upto() is None
+    # The cycle is over for all tables but the refused one, which is owed its window.
+    upto, ten = rental.CYCLE.upto, timedelta(minutes=10)
+    names = [t.name for t in TARGETS]
+    assert house.log.done_upto() == upto
+    assert house.log.owed(names) == {"actor_dim": rental.CYCLE}
+    with pytest.raises(CycleFailed, match="actor_dim"):
+        house.catch_up(upto + ten)
+    log = house.log.read().where(F.col("step").isin("transform") & (F.col("cycle_upto") == upto + ten))
+    starts = {r["table_name"]: r["cycle_from"] for r in log.collect()}
+    assert starts.pop("actor_dim") == rental.CYCLE.start
+    assert set(starts) == {*names, "*"} - {"actor_dim"} and set(starts.values()) == {upto}
+    with pytest.raises(CycleFailed, match="actor_dim"):
+        house.catch_up(upto + ten)  # nothing pending: the refused table alone is tried again
+    # Renamed at the source, the actors get in, together with those of the window still owed.
+    renamed = F.when(F.col("actor_id") > 200, F.concat(F.lit("N"), "actor_id"))
+    shop.tables["actor"] = shop.tables["actor"].withColumns({
+        "first_name": F.coalesce(renamed, "first_name"),
+        "last_update": F.when(F.col("actor_id") > 200, F.lit(upto + ten).cast("timestamp_ntz"))
+        .otherwise(F.col("last_update"))})
+    house.catch_up(upto + 2 * ten)
+    assert house.log.owed(names) == {} and house.catch_up(upto + 2 * ten) is None
+    assert {(1, None), (201, None), (202, None)} <= set(bag(house.dw.read("actor_dim"), "actor_id", "qualifier"))
+
+
+def test_full_load_settles_what_is_owed(spark, folder):
+    log = RunLog(spark, f"{folder}/log")
+    cycle, later = Cycle.of("2024-01-01", "2024-01-02"), Cycle.of("2024-01-02", "2024-01-03")
+    log.add("a", TRANSFORM, cycle, [Line("x", None, FAILED), Line("y", 1)])
+    assert log.owed(["x", "y", "z"]) == {"x": cycle}
+    log.add("b", TRANSFORM, later, [Line("x", None, FAILED, cycle=Cycle(cycle.start, later.upto))])
+    assert log.owed(["x", "y"]) == {"x": Cycle(cycle.start, later.upto)}
+    log.add("c", FULL_LOAD, later, [Line("x", 5)])
+    assert log.owed(["x", "y"]) == {}
+
+
+def test_checks_from_files(after_cycle, spark, folder):
+    house, _, _ = after_cycle
+    files = Path(folder)
+    for name, text in {
+        "warnings/any_store.sql": "SELECT store_id FROM store_dim;",
+        "errors/from_the_future.sql": "SELECT film_id FROM film_dim WHERE last_update > :as_of",
+        "errors/broken.sql": "SELECT nothing FROM nowhere",
+        "errors/notes.txt": "not a check",
+    }.items():
+        (files / name).parent.mkdir(exist_ok=True)
+        (files / name).write_text(text)
+
+    def run():
+        report = house.run_checks(at("2030-01-01"), folder=folder)
+        return [tuple(r)[:4] for r in report.summary.collect()], report
+
+    lines, report = run()
+    assert lines == [("any_store", "warning", 2, "found"), ("broken", ERROR, None, "failed"),
+                     ("from_the_future", ERROR, 0, "passed")]
+    assert report.exit_code == 1
+    assert [r["row"] for r in report.samples.orderBy("row").collect()] == ['{"store_id":1}', '{"store_id":2}']
+    (files / "errors/broken.sql").unlink()
+    assert run()[1].exit_code == 0
 
 
 def test_two_store_forms(spark):

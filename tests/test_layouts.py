@@ -20,6 +20,7 @@ SETTINGS = {
 @pytest.fixture
 def large_world(spark, monkeypatch):
     monkeypatch.setattr(skew, "MIN_ROWS", 1)
+    monkeypatch.setattr(skew, "PAIRS_PER_TASK", 16)
     for module in (builders, change, quality, timed, zones):
         if hasattr(module, "are_small"):
             monkeypatch.setattr(module, "are_small", lambda *frames, **limit: False)

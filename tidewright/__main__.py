@@ -7,6 +7,7 @@
     catch-up                  everything since the last completed cycle, as one
     checks                    run the checks; the exit code is 1 if one found an error
     status                    row counts of every zone
+    schema                    statements that create the tables of the raw zone
 """
 
 from __future__ import annotations
@@ -18,11 +19,34 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import SparkSession
 
+from tidewright.functions.text import create_table_text
 from tidewright.functions.windows import Cycle, last_closed_cycle
 from tidewright.plans.cycle import DELTA_SCOPE, GROUP_SCOPE, Warehouse
-from tidewright.sources.extract import Source, catalog_source, jdbc_source, parquet_source
+from tidewright.sources.extract import (
+    Source,
+    base_tables,
+    catalog_source,
+    jdbc_source,
+    parquet_source,
+)
 
-COMMANDS = ("full-load", "extract-load", "transform", "cycle", "catch-up", "checks", "status")
+COMMANDS = ("full-load", "extract-load", "transform", "cycle", "catch-up", "checks", "status", "schema")
+
+
+def _option(text: str) -> tuple[str, str]:
+    name, given, value = text.partition("=")
+    if not name or not given:
+        raise argparse.ArgumentTypeError(f"not NAME=VALUE: {text}")
+    return name, value
+
+
+def _split(text: str) -> tuple[str, tuple[str, str, str, int]]:
+    table, value = _option(text)
+    try:
+        column, low, high, parts = value.split(",")
+        return table, (column, low, high, int(parts))
+    except ValueError as problem:
+        raise argparse.ArgumentTypeError(f"not TABLE=COLUMN,LOW,HIGH,PARTS: {text}") from problem
 
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -36,6 +60,13 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     where.add_argument("--source-folder", help="folder of <table>.parquet")
     where.add_argument("--source-database", help="catalog database")
     where.add_argument("--source-jdbc", help="JDBC address; the driver comes with the session")
+    parser.add_argument("--jdbc-schema", default="public")
+    parser.add_argument("--jdbc-option", action="append", default=[], type=_option,
+                        metavar="NAME=VALUE", help="such as driver, user or fetchsize; repeatable")
+    parser.add_argument("--jdbc-split", action="append", default=[], type=_split,
+                        metavar="TABLE=COLUMN,LOW,HIGH,PARTS",
+                        help="reads a table in so many parts; repeatable")
+    parser.add_argument("--checks-folder", help="folder of warnings/*.sql and errors/*.sql")
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="default: now")
     parser.add_argument("--lookback-minutes", type=int, default=0)
     parser.add_argument("--qualifier-scope", choices=(DELTA_SCOPE, GROUP_SCOPE),
@@ -55,7 +86,8 @@ def _source(spark: SparkSession, args: argparse.Namespace) -> Source:
     if args.source_database:
         return catalog_source(spark, args.source_database)
     if args.source_jdbc:
-        return jdbc_source(spark, args.source_jdbc, {})
+        return jdbc_source(spark, args.source_jdbc, dict(args.jdbc_option),
+                           dict(args.jdbc_split), args.jdbc_schema)
 
     def missing(name: str):
         raise ValueError("name a source: --source-folder, --source-database or --source-jdbc")
@@ -80,6 +112,11 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
 
     if args.command == "full-load":
         house.full_load(as_of)
+        if args.source_database:
+            known = {spec.name for spec in house.sources}
+            others = [t for t in base_tables(spark, args.source_database) if t not in known]
+            if others:
+                print("not copied, as no keys are stated for them:", ", ".join(others))
     elif args.command == "extract-load":
         house.extract_load(closed).show(truncate=False)
     elif args.command == "transform":
@@ -89,10 +126,13 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     elif args.command == "catch-up":
         print(house.catch_up(as_of) or "nothing to catch up")
     elif args.command == "checks":
-        report = house.run_checks(as_of)
+        report = house.run_checks(as_of, folder=args.checks_folder)
         report.summary.show(truncate=False)
         report.samples.show(truncate=False)
         return report.exit_code
+    elif args.command == "schema":
+        for name in house.raw.tables():
+            print(create_table_text("raw", name, house.raw.read(name).schema))
     else:
         for zone in (house.raw, house.staging, house.deltas, house.dw):
             if zone.tables():

@@ -154,6 +154,29 @@ def check_counts(checks: Sequence[Check]) -> DataFrame:
     return reduce(DataFrame.union, counts)
 
 
+def check_verdicts(checks: Sequence[Check]) -> DataFrame:
+    """`check_counts` with the status of each check and whether it fails the run."""
+    found = F.col("n") > 0
+    return check_counts(checks).select(
+        "*",
+        F.when(found, "found").otherwise("passed").alias("status"),
+        (found & (F.col("severity") == ERROR)).alias("fails_run"),
+    )
+
+
+def _rows_as_json(check: Check, found: DataFrame) -> DataFrame:
+    first = sample(found, check.order or tuple(found.columns))
+    return first.select(
+        F.lit(check.name).alias("check_name"), F.lit(check.severity).alias("severity"),
+        F.to_json(F.struct("*")).alias("row"),
+    )
+
+
+def check_samples(checks: Sequence[Check]) -> DataFrame:
+    """The first rows of every check that finds any, as one lazy frame."""
+    return reduce(DataFrame.union, [_rows_as_json(c, c.query()) for c in in_run_order(checks)])
+
+
 def sample(df: DataFrame, order: Sequence[str], rows: int = SAMPLE_ROWS) -> DataFrame:
     """The first rows of a failing check, by a stated order."""
     return df.orderBy(*order).limit(rows)
@@ -178,9 +201,7 @@ def run_checks(spark: SparkSession, checks: Sequence[Check]) -> CheckReport:
             found = check.query()
             n = found.count()
             if n:
-                order = check.order or tuple(found.columns)
-                as_json = sample(found, order).select(F.to_json(F.struct("*")).alias("row"))
-                kept += [(check.name, check.severity, r["row"]) for r in as_json.collect()]
+                kept += [tuple(r) for r in _rows_as_json(check, found).collect()]
             lines.append((check.name, check.severity, n, "found" if n else "passed", None))
             if n and check.severity == ERROR:
                 exit_code = 1

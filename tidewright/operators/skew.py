@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ MIN_ROWS = 5_000_000
 HOT_SHARE = 1 / 10_000
 # Rows looked at to find the hot keys: a key at the threshold shows up about 200 times.
 PROBE_ROWS = 2_000_000
+# Pairs of one key that a task of a many-to-many join may form, and keys looked after there.
+PAIRS_PER_TASK = 1 << 20
+MOST_PAIRED = 10_000
 # Numbers of parts a hot key may be split into. A few steps keep the expressions short.
 PARTS = (8, 64, 512, 4096, 32768)
 # Finest slicing of a hot group, and values looked at to place one cut.
@@ -71,17 +75,31 @@ def is_large(rows: int, min_rows: int | None = None) -> bool:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hashes of hot keys, each with the number of rows it is estimated to hold."""
+    """Hashes of hot keys, each with the number of rows it is estimated to hold.
+
+    A key is split into parts of `per_part` rows, by default `MIN_ROWS`.
+    """
 
     rows: Mapping[int, float] = field(default_factory=dict)
+    per_part: int | None = None
 
     def __bool__(self) -> bool:
         return bool(self.rows)
 
+    def __or__(self, other: HotKeys) -> HotKeys:
+        """The keys hot in either; one hot in both is split into the larger number of parts."""
+        if not self or not other:
+            return self or other
+        parts = {k: n / (self.per_part or MIN_ROWS) for k, n in self.rows.items()}
+        for key, rows in other.rows.items():
+            parts[key] = max(parts.get(key, 0), rows / (other.per_part or MIN_ROWS))
+        return HotKeys(parts, 1)
+
     def _steps(self, most: int) -> dict[int, list[int]]:
         steps: dict[int, list[int]] = {}
         for key, rows in sorted(self.rows.items()):
-            parts = next((p for p in PARTS if p * MIN_ROWS >= rows), PARTS[-1])
+            size = self.per_part or MIN_ROWS
+            parts = next((p for p in PARTS if p * size >= rows), PARTS[-1])
             steps.setdefault(min(parts, most), []).append(key)
         return steps
 
@@ -125,6 +143,34 @@ def _hot_in(probe: DataFrame, rows: int, fraction: float) -> HotKeys:
     return HotKeys({r["h"]: r["count"] / fraction for r in found})
 
 
+def hot_pairs(
+    left: DataFrame, right: DataFrame, on: Sequence[str], pairs: int | None = None
+) -> tuple[HotKeys, HotKeys]:
+    """The keys under which two frames form more than `pairs` pairs, for either side.
+
+    Pairs are the product of a key's rows, so a key that is ordinary on both sides may still be
+    a burden. Both sides of such a key are cut so that one cell of the grid forms about `pairs`.
+    The driver gets the keys with the most pairs, at most `MOST_PAIRED`; any other key then
+    forms less than 1/`MOST_PAIRED` of all pairs.
+    """
+    pairs = max(1, PAIRS_PER_TASK if pairs is None else pairs)
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.dropna(subset=list(on)).select(key_hash(df, on).alias("h")).groupBy("h").agg(
+            F.count(F.lit(1)).alias(name))
+
+    formed = F.col("l").cast("double") * F.col("r")
+    found = counted(left, "l").join(counted(right, "r"), "h").where(formed > pairs)
+    found = found.orderBy(formed.desc(), "h").limit(MOST_PAIRED).collect()
+    side = isqrt(pairs)
+
+    def cut(mine: str, others: str) -> HotKeys:
+        parts = {x["h"]: ceil(x[mine] / max(side, pairs / x[others])) for x in found}
+        return HotKeys({h: n for h, n in parts.items() if n > 1}, 1)
+
+    return cut("l", "r"), cut("r", "l")
+
+
 def _dealt(df: DataFrame, parts: Column) -> Column:
     # The task index separates equal rows; it does not depend on row order, so a task that
     # runs again after a lost executor gives its rows the same numbers.

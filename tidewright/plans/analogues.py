@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ from tidewright.operators.quality import (
     WARNING,
     Check,
     check_counts,
+    check_samples,
+    check_verdicts,
     childless_since,
     duplicate_keys,
     duplicate_uniques,
@@ -54,6 +57,7 @@ from tidewright.operators.reports import (
     table_row_counts,
 )
 from tidewright.operators.timed import Timed, timed
+from tidewright.plans.checks import checks_from_files
 from tidewright.plans.cycle import Warehouse
 from tidewright.session import work_folder
 from tidewright.sources.extract import delta, parquet_source, snapshot
@@ -452,6 +456,22 @@ def check_summary(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _order_checks(spark: SparkSession, folder: str) -> list[Check]:
+    files = Path(__file__).with_name("order_checks").as_uri()
+    tables = ("customer", "orders", "lineitem")
+    return checks_from_files(spark, files, parquet_source(spark, folder), tables)
+
+
+@_query
+def check_run(spark: SparkSession, folder: str) -> DataFrame:
+    return check_verdicts(_order_checks(spark, folder))
+
+
+@_query
+def check_run_samples(spark: SparkSession, folder: str) -> DataFrame:
+    return check_samples(_order_checks(spark, folder))
+
+
 @_query
 def check_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sample(check_orphan_rows(spark, folder), ["c_custkey"])

@@ -21,7 +21,7 @@ from tidewright.operators.quality import (
     run_checks,
 )
 from tidewright.operators.reports import changed_tables, table_row_counts
-from tidewright.plans.checks import warehouse_checks
+from tidewright.plans.checks import checks_from_files, warehouse_checks
 from tidewright.plans.warehouse import BUILDERS, Builder, actor_dim
 from tidewright.sources.extract import Source, delta, snapshot
 from tidewright.sources.runlog import (
@@ -55,7 +55,9 @@ class Warehouse:
 
     Tables of one step do not depend on each other, so their jobs are submitted from
     `parallel` threads and share the cluster. Each table is published by itself; a table that
-    fails keeps its former state, is written to the run log, and fails the step at its end.
+    fails keeps its former state, is written to the run log, and fails the step at its end. A
+    warehouse table that fails does not hold up the others: the cycle counts as gone through, and
+    the next one widens the window of that table alone until it is merged.
     """
 
     spark: SparkSession
@@ -82,21 +84,25 @@ class Warehouse:
         self._builders = dict(self.builders or BUILDERS)
 
     def _each(
-        self, step: str, cycle: Cycle, items: Sequence[Item], work: Callable[[Item], int]
+        self, step: str, cycle: Cycle, items: Sequence[Item], work: Callable[[Item], int],
+        windows: Mapping[str, Cycle] | None = None,
     ) -> list[tuple[Item, int]]:
+        """Does the work on every item. With `windows`, items that fail are owed theirs, and the
+        step is closed all the same."""
         run_id = uuid.uuid4().hex
+        own = windows or {}
 
         def one(item: Item) -> Line:
             try:
-                return Line(item.name, work(item))
+                return Line(item.name, work(item), cycle=own.get(item.name))
             except Exception as problem:  # noqa: BLE001 - kept in the log, raised below
-                return Line(item.name, None, FAILED, str(problem))
+                return Line(item.name, None, FAILED, str(problem), own.get(item.name))
 
         with ThreadPoolExecutor(max(1, self.parallel)) as pool:
             lines = list(pool.map(inheritable_thread_target(self.spark)(one), items))
         failed = [x for x in lines if x.status == FAILED]
-        if not failed:
-            lines.append(Line(STEP, len(items)))
+        if not failed or windows is not None:
+            lines.append(Line(STEP, len(items) - len(failed)))
         self.log.add(run_id, step, cycle, lines)
         if failed:
             raise CycleFailed(step + ": " + "; ".join(f"{x.table_name}: {x.message}"
@@ -154,11 +160,21 @@ class Warehouse:
         cycle = cycle or self.log.last_cycle(EXTRACT_LOAD)
         if cycle is None:
             raise ValueError("no cycle was extracted yet")
-        reach = cycle.reach_back(self.lookback)
+        owed = self.log.owed([spec.name for spec in self.targets])
+        self._merge(cycle, self.targets, owed)
+
+    def _merge(
+        self, cycle: Cycle, targets: Sequence[TargetSpec], owed: Mapping[str, Cycle]
+    ) -> None:
+        windows = {
+            name: Cycle(min(late.start, cycle.start), max(late.upto, cycle.upto))
+            for name, late in owed.items()
+        }
 
         def merge(spec: TargetSpec) -> int:
             delta_table = self.deltas.table(spec.name, spec.keys)
-            delta_table.replace(self._delta(spec, reach))
+            reach = windows.get(spec.name, cycle).reach_back(self.lookback)
+            delta_table.replace(self._delta(spec, reach).hint("rebalance"))
             return self.dw.table(spec.name, spec.keys).upsert(
                 delta_table.read(),
                 lambda merged, rows: require_keys_after_upsert(
@@ -166,7 +182,7 @@ class Warehouse:
                 ),
             )
 
-        self._each(TRANSFORM, cycle, self.targets, merge)
+        self._each(TRANSFORM, cycle, targets, merge, windows)
 
     def _delta(self, spec: TargetSpec, cycle: Cycle) -> DataFrame:
         builder = self._builders[spec.name]
@@ -177,14 +193,15 @@ class Warehouse:
     def run_cycle(self, cycle: Cycle) -> DataFrame:
         """One whole cycle. Running it again leaves the warehouse as it is."""
         changed = self.extract_load(cycle)
-        self.transform(cycle)
-        self.vacuum()
+        try:
+            self.transform(cycle)
+        finally:
+            self.vacuum()
         return changed
 
     def pending(self, as_of: datetime) -> list[Cycle]:
         """Closed cycles after the last one completed, oldest first."""
-        ends = [self.log.done_upto(step) for step in (TRANSFORM, FULL_LOAD)]
-        last = max((e for e in ends if e), default=None)
+        last = self.log.done_upto(TRANSFORM, FULL_LOAD)
         newest = last_closed_cycle(as_of, self.minutes)
         if last is None:
             return [newest]
@@ -199,20 +216,40 @@ class Warehouse:
         """Runs everything that is pending as one cycle.
 
         Source tables hold one version of a row, so one wide window brings the same rows as
-        its parts would one after the other.
+        its parts would one after the other. With nothing pending, tables that are owed a
+        window are tried again.
         """
         missed = self.pending(as_of)
         if not missed:
-            return None
+            return self.retry()
         cycle = Cycle(missed[0].start, missed[-1].upto)
         self.run_cycle(cycle)
         return cycle
 
-    def run_checks(self, as_of: datetime, checks: Sequence[Check] | None = None) -> CheckReport:
-        """Runs the checks and keeps the samples of those that found rows."""
-        report = run_checks(
-            self.spark, warehouse_checks(self.dw.read, as_of) if checks is None else checks
-        )
+    def retry(self) -> Cycle | None:
+        """Merges only the tables whose last merge failed, over the windows they lack."""
+        owed = self.log.owed([spec.name for spec in self.targets])
+        if not owed:
+            return None
+        cycle = Cycle(min(c.start for c in owed.values()), max(c.upto for c in owed.values()))
+        self._merge(cycle, [spec for spec in self.targets if spec.name in owed], owed)
+        return cycle
+
+    def run_checks(
+        self,
+        as_of: datetime,
+        checks: Sequence[Check] | None = None,
+        folder: str | None = None,
+    ) -> CheckReport:
+        """Runs the checks and keeps the samples of those that found rows.
+
+        With a folder, the checks are its SQL files, over the tables of the warehouse.
+        """
+        if folder is not None:
+            checks = checks_from_files(self.spark, folder, self.dw.read, self.dw.tables(), as_of)
+        elif checks is None:
+            checks = warehouse_checks(self.dw.read, as_of)
+        report = run_checks(self.spark, checks)
         Zone(self.spark, f"{self.root}/checks").table("samples").replace(report.samples)
         return report
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -29,6 +29,13 @@ class Line:
     n: int | None
     status: str = DONE
     message: str | None = None
+    # The window of this table, if it is not that of the step.
+    cycle: Cycle | None = None
+
+
+def _completed(lines: DataFrame, *steps: str) -> DataFrame:
+    whole = (F.col("table_name") == STEP) & (F.col("status") == DONE)
+    return lines.where(F.col("step").isin(*steps) & whole)
 
 
 class RunLog:
@@ -39,14 +46,15 @@ class RunLog:
         self.path = path
 
     def add(self, run_id: str, step: str, cycle: Cycle, lines: Sequence[Line]) -> None:
-        common = {
-            "run_id": run_id,
-            "step": step,
-            "cycle_from": cycle.start.isoformat(),
-            "cycle_upto": cycle.upto.isoformat(),
-            "logged_at": datetime.now().isoformat(),
-        }
-        text = "\n".join(json.dumps({**common, **vars(line)}) for line in lines)
+        common = {"run_id": run_id, "step": step, "logged_at": datetime.now().isoformat()}
+
+        def text_of(line: Line) -> str:
+            of = line.cycle or cycle
+            fields = {k: v for k, v in vars(line).items() if k != "cycle"}
+            bounds = {"cycle_from": of.start.isoformat(), "cycle_upto": of.upto.isoformat()}
+            return json.dumps({**common, **fields, **bounds})
+
+        text = "\n".join(map(text_of, lines))
         name = f"{step.replace('/', '-')}-{run_id}.json"
         Folder(self.spark, f"{self.path}/day={cycle.upto.date()}").create_text(name, text)
 
@@ -55,16 +63,43 @@ class RunLog:
             return self.spark.createDataFrame([], SCHEMA)
         return self.spark.read.schema(SCHEMA).json(self.path)
 
-    def _completed(self, step: str) -> DataFrame:
-        whole = (F.col("table_name") == STEP) & (F.col("status") == DONE)
-        return self.read().where((F.col("step") == step) & whole)
+    def _by_day(self) -> Iterator[DataFrame]:
+        """The lines of one day of cycles after the other, newest first; only days asked for are read."""
+        days = [n for n in Folder(self.spark, self.path).names() if n.startswith("day=")]
+        for day in sorted(days, reverse=True):
+            yield self.spark.read.schema(SCHEMA).json(f"{self.path}/{day}")
+
+    def done_upto(self, *steps: str) -> datetime | None:
+        """The end of the newest cycle that one of the steps (by default the transform) closed."""
+        for lines in self._by_day():
+            closed = _completed(lines, *(steps or (TRANSFORM,)))
+            upto = closed.agg(F.max("cycle_upto").alias("upto")).first()["upto"]
+            if upto:
+                return upto
+        return None
+
+    def owed(self, tables: Sequence[str]) -> dict[str, Cycle]:
+        """The window that each of the tables still lacks, for those whose newest merge failed.
 
-    def done_upto(self, step: str = TRANSFORM) -> datetime | None:
-        """The end of the newest cycle whose step was completed."""
-        return self._completed(step).agg(F.max("cycle_upto").alias("upto")).first()["upto"]
+        A later attempt covers what earlier ones lacked, so the newest line of a table tells all.
+        """
+        wanted, found = set(tables), {}
+        merged = (F.col("step") == TRANSFORM) | (
+            (F.col("step") == FULL_LOAD) & (F.col("status") == DONE))
+        order = F.struct("cycle_upto", "logged_at")
+        last = F.max_by(F.struct("status", "cycle_from", "cycle_upto"), order).alias("last")
+        for lines in self._by_day():
+            if not wanted:
+                break
+            of_tables = lines.where(merged & F.col("table_name").isin(list(wanted)))
+            for name, line in of_tables.groupBy("table_name").agg(last).collect():
+                wanted.discard(name)
+                if line["status"] == FAILED:
+                    found[name] = Cycle(line["cycle_from"], line["cycle_upto"])
+        return found
 
     def last_cycle(self, step: str) -> Cycle | None:
-        """The cycle whose step was completed last."""
+        """The cycle whose step was completed last, whichever day it covers."""
         last = F.max_by(F.struct("cycle_from", "cycle_upto"), "logged_at").alias("cycle")
-        found = self._completed(step).agg(last).first()["cycle"]
+        found = _completed(self.read(), step).agg(last).first()["cycle"]
         return Cycle(found["cycle_from"], found["cycle_upto"]) if found else None
