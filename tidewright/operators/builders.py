@@ -237,18 +237,17 @@ def bridge(
     `second`. The result has as many rows per entity as the product of its links, so an entity
     with many links on either side is spread as a grid over many tasks.
 
-    The delta form keeps pairs with any of the four inputs inside the cycle. While the touched
-    entities fit a broadcast, links of all other entities are dropped at the scans; pairs of
-    which no input changed are never formed. `min_rows` stands in for the sizes above which
-    keys count as hot, of rows and of pairs.
+    The delta form keeps pairs with any of the four inputs inside the cycle. On large tables,
+    while the touched entities fit a broadcast, links of all other entities are dropped at the
+    scans; pairs of which no input changed are never formed. `min_rows` stands in for the sizes
+    above which keys count as hot, of rows and of pairs.
     """
     n_first, n_second = row_counts(first.keys(on), second.keys(on))
-    if cycle is not None:
+    if cycle is not None and is_large(n_first + n_second, min_rows):
         touched = _touched((first, second), entity, other, on, other_on, cycle, limit)
         if touched is not None:
             first, entity, second = (_only(t, touched, on) for t in (first, entity, second))
-            if is_large(n_first + n_second, min_rows):
-                n_first, n_second = row_counts(first.keys(on), second.keys(on))
+            n_first, n_second = row_counts(first.keys(on), second.keys(on))
     hot_first = hot_keys(first.keys(on), [on], min_rows, n_first)
     hot_second = hot_keys(second.keys(on), [on], min_rows, n_second)
     hot_other = hot_keys(second.keys(other_on), [other_on], min_rows, n_second)

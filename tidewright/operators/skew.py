@@ -155,13 +155,14 @@ def hot_pairs(
     """
     pairs = max(1, PAIRS_PER_TASK if pairs is None else pairs)
 
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.dropna(subset=list(on)).select(key_hash(df, on).alias("h")).groupBy("h").agg(
-            F.count(F.lit(1)).alias(name))
+    def keyed(df: DataFrame, from_left: int) -> DataFrame:
+        return df.dropna(subset=list(on)).select(key_hash(df, on).alias("h"), F.lit(from_left).alias("l"))
 
+    # One count of both sides, combined map-side.
+    both = keyed(left, 1).union(keyed(right, 0)).groupBy("h").agg(
+        F.sum("l").alias("l"), F.sum(1 - F.col("l")).alias("r"))
     formed = F.col("l").cast("double") * F.col("r")
-    found = counted(left, "l").join(counted(right, "r"), "h").where(formed > pairs)
-    found = found.orderBy(formed.desc(), "h").limit(MOST_PAIRED).collect()
+    found = both.where(formed > pairs).orderBy(formed.desc(), "h").limit(MOST_PAIRED).collect()
     side = isqrt(pairs)
 
     def cut(mine: str, others: str) -> HotKeys:
