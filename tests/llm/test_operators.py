@@ -422,6 +422,32 @@ def test_pii(spark, docs, empty):
     assert pii.report(empty, nothing).count() == 0 and "1" not in nothing.verdicts()
 
 
+def test_pii_without_base_pattern(spark):
+    private = {
+        "email": ["jo.doe (at) host (dot) com", "jo at host dot com", "jo[at]mail[dot]host[dot]org", "jo @ host.net"],
+        "phone": ["(617) 555-0101", "617-555-0102", "617.555.0103 20", "06 12 34 56 78"],
+        "card": ["4111.1111.1111.1111", "5500/0000/0000/0004 12/27"], "ip": ["10 . 20 . 30 . 40", "192. 168. 10. 25"],
+    }
+    harmless = [
+        "token 681c0945612378e8b7", "order 617-555-0199", "order number 6175550199", "at 2024-01-17 10.22 all",
+        "lists 1. 2. 3. 4 of", "card 4111.1111.1111.1112", "version 1 . 2 . 3 . 4", "look at the dot matrix",
+        "found 10 . 20 . 300 . 4", "read more at example.com now", "order 123-4567890-1234567",
+    ]
+    texts = [f"la {i} {t} ri" for i in range(40) for t in harmless]
+    texts += ["jo@host.com and +1 (617) 555-0101, 4111 1111 1111 1111, 10.2.3.4"] * 3
+    kept = len(texts)
+    planted = [(k, t) for k, ts in private.items() for t in ts]
+    planted += [("phone", "6175550101"), ("email", "jo at host.com")]
+    hints = {"6175550101": "call ", "jo at host.com": "write to "}
+    texts += [f"so {hints.get(t, '')}{t} on" for _, t in planted]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.redacted(rows, pii.fit(rows)).collect()}
+    assert [clean[i] for i in range(kept - 3)] == texts[: kept - 3]
+    rest = {"617.555.0103 20": " 20", "5500/0000/0000/0004 12/27": " 12/27"}
+    for i, (kind, t) in enumerate(planted, kept):
+        assert clean[i] == f"so {hints.get(t, '')}<{kind.upper()}>{rest.get(t, '')} on"
+
+
 def test_boosting_separates_cells():
     cells = [(c, 50, 0) if pii.classes_of(c)[6] else (c, 0, 50) for c in range(0, pii.CELLS, 37)]
     prior, trees = pii.boosted(cells)

@@ -3,8 +3,10 @@
 Everything on the way from texts to spans is DataFrame expressions. Patterns with checks give the
 base spans. Looser generators propose overlapping candidates; each candidate's format and context
 fall into a few classes, so the whole corpus is counted in one aggregate with a bounded number
-of cells. Trees are boosted on those cells and thresholds calibrated on held-out counts, both on
-the driver, and what comes back to the tasks is one verdict per cell.
+of cells. A cell's evidence (its normalised form, what it touches, the nearest context word) says
+whether its candidates are personal data, whether or not a base pattern finds them too. Trees are
+boosted on those cells and thresholds calibrated on the counts of the negative ones, both on the
+driver, and what comes back to the tasks is one verdict per cell.
 
 Spans are code points, end exclusive.
 """
@@ -31,28 +33,64 @@ PATTERNS = {
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 BYTES = rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"
 
-# Generators of candidates. They are wide on purpose: spaced, masked and unprefixed forms.
-_AT = r"(?:\x20?@\x20?|\x20?[(\[]at[)\]]\x20?|\x20at\x20)"
-_DOT = r"(?:\.|\x20?[(\[]dot[)\]]\x20?|\x20dot\x20)"
-GENERATORS = {
-    "email": rf"(?<![\p{{L}}0-9._%+-])[\p{{L}}0-9._%+-]{{1,64}}{_AT}[\p{{L}}0-9-]{{1,63}}(?:{_DOT}[\p{{L}}0-9-]{{1,63}})++",
-    "ip": r"(?<![0-9])[0-9]{1,3}(?:\x20?\.\x20?[0-9]{1,3}){3}(?![0-9])",
-    "card": r"(?<![0-9])[0-9](?:[\x20./_-]{0,2}[0-9]){12,21}+(?![0-9])",
-    "phone": r"(?<![0-9])[+(]{0,2}[0-9](?:[\x20()./-]{0,3}[0-9]){6,14}+(?![0-9])",
-}
+# Generators of candidates. They are wide on purpose: spaced, masked and unprefixed forms. Those of
+# customary writing come first, so that a neighbouring number does not run into them.
+_AT = r"(?:\x20?@\x20?|\x20?[(\[{<](?i:at)[)\]}>]\x20?|\x20(?i:at)\x20)"
+_MASKED_DOT = r"(?:\x20?[(\[{<](?i:dot)[)\]}>]\x20?|\x20(?i:dot)\x20)"
+_DOT = rf"(?:\.|{_MASKED_DOT})"
+_NAME = r"[\p{L}0-9._%+-]{1,64}"
+_SEP = r"[\x20./-]{1,2}"
+_PHONE = (
+    rf"(?:(?:\+?1{_SEP}?)?(?:\([0-9]{{3}}\)[\x20./-]{{0,2}}|[0-9]{{3}}{_SEP})[0-9]{{3}}{_SEP}[0-9]{{4}}"
+    rf"|(?:\(0[1-9][0-9]{{0,3}}\)|0[1-9][0-9]{{0,3}})(?:{_SEP}[0-9]{{2,8}}){{1,5}}"
+    r"|00[1-9][0-9]{0,2}(?:[\x20()./-]{1,3}[0-9]{1,8}){1,6})"
+)
+_CARD = (
+    r"(?:[1-9][0-9]{3}([\x20./_-]{1,2})[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}"
+    r"|[1-9][0-9]{3}([\x20./_-]{1,2})[0-9]{6}\2[0-9]{4,5})"
+)
+GENERATORS = (
+    ("email", rf"(?<![\p{{L}}0-9._%+-]){_NAME}(?:{_MASKED_DOT}{_NAME}){{0,3}}{_AT}"
+              rf"[\p{{L}}0-9-]{{1,63}}(?:{_DOT}[\p{{L}}0-9-]{{1,63}})++"),
+    ("ip", r"(?<![0-9])[0-9]{1,3}(?:\x20?\.\x20?[0-9]{1,3}){3}(?![0-9])"),
+    ("card", rf"(?<![0-9]){_CARD}(?![0-9])"),
+    ("card", r"(?<![0-9])[0-9](?:[\x20./_-]{0,2}[0-9]){12,21}+(?![0-9])"),
+    ("phone", rf"(?<![0-9]){_PHONE}(?![0-9])"),
+    ("phone", r"(?<![0-9])[+(]{0,2}[0-9](?:[\x20()./-]{0,3}[0-9]){6,14}+(?![0-9])"),
+)
 
 # What a candidate is told by; the number of cells is the product of the numbers of classes.
 FEATURES = {
     "kind": len(KINDS), "digits": 6, "groups": 4, "separators": 4, "before": 5, "after": 4,
-    "check": 2, "word": 3,
+    "check": 3, "word": 3,
 }
 CELLS = math.prod(FEATURES.values())
 CONTEXT = 24
-_PRIVATE = r"(?i)(?:phone|tel|call|fax|mobile|card|visa|credit|mail|contact|write|address|\bip\b|host|server)"
-_TECHNICAL = r"(?i)(?:version|license|token|password|key|isbn|sku|serial|\bid\b|hash|figure|section)"
+# Context words of each kind, and those of numbers that are no personal data; the nearest counts.
+_PRIVATE = {
+    "email": r"e-?mail|mail|courriel|correo|contact|write|reach|reply|address",
+    "ip": r"ip|host|server|client|node|address|ping|ssh",
+    "card": r"card|carte|tarjeta|karte|visa|mastercard|amex|credit|debit|payment",
+    "phone": r"phone|telephone|téléphone|teléfono|telefon|tel|tél|call|dial|fax|mobile|cell|contact|reach",
+}
+_TECHNICAL = (
+    r"version|release|licen[sc]e|token|password|secret|key|isbn|ean|upc|sku|serial|id|uuid|hash|sha|"
+    r"figure|section|chapter|order|invoice|tracking|ticket|account|ref|reference|batch|item|build|"
+    r"commit|session|timestamp"
+)
+_TLD = (
+    r"\.(?:com|org|net|edu|gov|mil|int|info|biz|name|pro|dev|app|xyz|example|test|eu|uk|us|de|fr|es|it"
+    r"|nl|be|ch|at|au|ca|cn|jp|kr|in|br|mx|ar|cl|co|io|ai|me|tv|ru|pl|cz|se|no|dk|fi|pt|gr|ie|nz|za)$"
+)
+# Words before 'at' that are no names of mailboxes.
+_NO_NAME = (
+    r"^(?:us|me|him|her|them|it|you|we|is|are|be|visit|look|see|found|available|online|here|out|more|"
+    r"directly|hosted|site|website|page)@"
+)
+_DATE = r"^\(?(?:(?:19|20)[0-9]{2}[\x20./-][0-9]{1,2}[\x20./-]|[0-9]{1,2}[\x20./-][0-9]{1,2}[\x20./-](?:19|20)[0-9]{2}(?![0-9]))"
 
 ROUNDS, SHRINK, LEAF_WEIGHT = 60, 0.3, 1.0
-# A kind's threshold lets through at most this share of its held-out negatives (or none).
+# A kind's threshold lets through at most this share of its negatives (or none).
 MAX_FALSE_SHARE = 0.001
 
 
@@ -108,7 +146,7 @@ def _worth(kind: str, text: Column) -> Column:
 
 
 _NONE = "cast(array() as array<struct<start: int, kind: int, end: int>>)"
-_NO_CANDIDATES = _NONE.replace("end: int", "end: int, cell: int")
+_NO_CANDIDATES = _NONE.replace("end: int", "end: int, rank: int, cell: int")
 
 
 def base_spans(text: Column) -> Column:
@@ -128,75 +166,118 @@ def _class(value: Column, bounds: Sequence[int]) -> Column:
     return sum((F.when(value >= b, 1).otherwise(0) for b in bounds), F.lit(0))
 
 
+def _check(kind: str, match: Column) -> Column:
+    """0 where the normalised form is none of the kind, 2 where the writing is customary, else 1."""
+    digits = _digits(match)
+    n = F.length(digits)
+    if kind == "email":
+        address = F.lower(F.regexp_replace(F.regexp_replace(match, _AT, "@"), _DOT, "."))
+        valid = address.rlike(r"^[\p{L}0-9._%+-]++@[\p{L}0-9-]++(?:\.[\p{L}0-9-]++)++$") & (
+            address.rlike(r"\.\p{L}{2,24}$"))
+        known = address.rlike(_TLD)
+        spoken = match.rlike(r"\x20(?i:at)\x20")
+        clear = match.rlike(r"[(\[{<](?i:at)[)\]}>]") | (known & (~spoken | match.rlike(_MASKED_DOT)))
+        return F.when(~valid | (spoken & (~known | address.rlike(_NO_NAME))), 0).when(clear, 2).otherwise(1)
+    if kind == "ip":
+        valid = F.regexp_replace(match, r"\x20", "").rlike(BYTES)
+        even = match.rlike(r"^[0-9]+(\x20?\.\x20?)[0-9]+\1[0-9]+\1[0-9]+$")
+        # A list is numbered like '1. 2. 3. 4'.
+        listed = match.rlike(r"\.\x20[0-9]|[0-9]\x20\.") & ~match.rlike(r"\x20\.\x20|[0-9]{3}")
+        return F.when(~valid, 0).when(even & ~listed, 2).otherwise(1)
+    if kind == "card":
+        valid = n.between(13, 19) & ~digits.startswith("0")
+        usual = (n > 13) & match.rlike(rf"^(?:{_CARD}|[0-9]+)$")
+        return F.when(F.when(valid, luhn(digits)).otherwise(False), F.when(usual, 2).otherwise(1)).otherwise(0)
+    usual = match.rlike(rf"^(?:{_PHONE}|\+.*)$")
+    return F.when(~n.between(10, 15) | match.rlike(_DATE), 0).when(usual, 2).otherwise(1)
+
+
 def _cell(kind: int, text: Column, span: Column) -> Column:
     """The number of the candidate's cell, from its format and its context."""
-    match = span["match"]
-    digits = _digits(match)
+    name, match = KINDS[kind], span["match"]
     near = F.substring(text, F.greatest(span["start"] - CONTEXT, F.lit(0)) + 1,
                        F.least(span["start"], F.lit(CONTEXT)))
-    last = F.substring(near, F.greatest(F.length(near), F.lit(1)), F.lit(1))
-    following = F.substring(text, span["end"] + 1, F.lit(1))
+    following = F.substring(text, span["end"] + 1, F.lit(4))
     stripped = F.length(F.regexp_replace(match, r"[^\x20()./_@-]", ""))
-    check = luhn(digits) if KINDS[kind] == "card" else (
-        match.rlike(BYTES) if KINDS[kind] == "ip" else match.rlike(r"^[^\x20]*$|^\+?[0-9 ().-]+$"))
+    word = F.regexp_extract(
+        near, rf"(?is)^.*(?<![\p{{L}}])({_PRIVATE[name]}|{_TECHNICAL})s?(?![\p{{L}}])", 1)
+    goes_on = r"(?:\.|\x20\.\x20)" if name == "ip" else r"[./_-]"
     values = {
         "kind": F.lit(kind),
-        "digits": _class(F.length(digits), (1, 7, 10, 13, 17)),
+        "digits": _class(F.length(_digits(match)), (1, 7, 10, 13, 17)),
         "groups": _class(F.size(F.regexp_extract_all(match, F.lit("[0-9]+"), F.lit(0))), (2, 4, 6)),
         "separators": _class(stripped, (1, 3, 5)),
-        "before": F.when(last == "", 0).when(last.rlike(r"\s"), 1).when(last.rlike(r"[\p{L}]"), 2)
-                   .when(last.rlike("[\"'=:/#]"), 3).otherwise(4),
-        "after": F.when(following == "", 0).when(following.rlike(r"[\s.,;!?)]"), 1)
-                  .when(following.rlike(r"[\p{L}]"), 2).otherwise(3),
-        "check": F.when(check, 1).otherwise(0),
-        "word": F.when(near.rlike(_TECHNICAL), 2).when(near.rlike(_PRIVATE), 1).otherwise(0),
+        "before": F.when(near == "", 0).when(near.rlike(r"[\p{L}0-9]$"), 2)
+                   .when(near.rlike(rf"[0-9]{goes_on}$|[.+-]$"), 4)
+                   .when(near.rlike(r"[=/#@&$€_\\]$"), 3).otherwise(1),
+        "after": F.when(following == "", 0).when(following.rlike(r"^[\p{L}0-9]"), 2)
+                  .when(following.rlike(rf"^{goes_on}[0-9]|^[-_/@=#%]"), 3).otherwise(1),
+        "check": _check(name, match),
+        "word": F.when(word == "", 0).when(word.rlike(rf"(?i)^(?:{_PRIVATE[name]})$"), 1).otherwise(2),
     }
     cell = F.lit(0)
-    for name, classes in FEATURES.items():
-        cell = cell * classes + values[name]
+    for feature, classes in FEATURES.items():
+        cell = cell * classes + values[feature]
     return cell
 
 
+def evidence(cell: int) -> bool | None:
+    """Whether a cell's candidates are personal data, as far as form and context tell.
+
+    A customary form needs no context, another valid one the nearest context word. Numbers that run
+    on (parts of tokens and longer numbers), fail their check, or follow a technical word are none.
+    Of a card number after a technical word neither is known.
+    """
+    c = dict(zip(FEATURES, classes_of(cell), strict=True))
+    kind, check, word = KINDS[c["kind"]], c["check"], c["word"]
+    if kind == "email":
+        return check == 2 or (check == 1 and word == 1)
+    runs_on = c["before"] in (2, 4) or c["after"] in (2, 3) or (c["before"] == 3 and word != 1)
+    if not runs_on and kind == "card" and check == 2 and word == 2:
+        return None
+    return not runs_on and ((check == 2 and word != 2) or (check == 1 and word == 1))
+
+
 def candidates(text: Column) -> Column:
-    """All generators' spans: array of (start, kind number, end, cell)."""
+    """All generators' spans: array of (start, kind number, end, rank of the generator, cell)."""
 
-    def of(number: int, kind: str) -> Column:
-        spans = F.transform(found(text, GENERATORS[kind]), lambda s: F.struct(
+    def of(rank: int, kind: str, pattern: str) -> Column:
+        number = KINDS.index(kind)
+        spans = F.transform(found(text, pattern), lambda s: F.struct(
             s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end"),
-            _cell(number, text, s).alias("cell")))
+            F.lit(rank).alias("rank"), _cell(number, text, s).alias("cell")))
         # Only texts with both words or signs can hold a masked address.
         masked = text.rlike(_AT) & text.rlike(_DOT)
         worth = masked if kind == "email" else _worth(kind, text)
         return F.when(worth, spans).otherwise(F.expr(_NO_CANDIDATES))
 
-    return F.concat(*[of(i, k) for i, k in enumerate(KINDS)])
+    return F.concat(*[of(i, k, p) for i, (k, p) in enumerate(GENERATORS)])
 
 
 def _meets(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
-def counted(docs: DataFrame) -> list[tuple[int, int, int, int]]:
-    """Per cell and half of the corpus: candidates that meet a base span of their kind, and others.
+def counted(docs: DataFrame) -> list[tuple[int, int, int]]:
+    """Per cell the candidates that evidence tells to be personal data, and those that are none.
 
-    The halves are told by a hash of the text. At most 2 * CELLS rows come back. Candidates that
-    meet only base spans of other kinds teach nothing about their own and are left out.
+    At most CELLS rows come back. Candidates that meet only base spans of other kinds teach nothing
+    about their own and are left out, and what a base pattern has found is no negative.
     """
     text = F.col("text")
     spans = docs.select("text").where(text.isNotNull()).select(
-        F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half"),
-        base_spans(text).alias("base"), candidates(text).alias("candidates"),
-    )
+        base_spans(text).alias("base"), candidates(text).alias("candidates"))
     told = F.transform(F.col("candidates"), lambda c: F.struct(
         c["cell"].alias("cell"),
-        F.exists("base", lambda b: _meets(b, c) & (b["kind"] == c["kind"])).alias("good"),
+        F.exists("base", lambda b: _meets(b, c) & (b["kind"] == c["kind"])).alias("own"),
         F.exists("base", lambda b: _meets(b, c)).alias("taken")))
-    rows = spans.select("half", F.explode(told).alias("c")).where("c.good or not c.taken")
-    cells = rows.groupBy("half", "c.cell").agg(
-        F.sum(F.col("c.good").cast("long")).alias("good"),
-        F.sum((~F.col("c.good")).cast("long")).alias("bad"),
-    )
-    return [(r["half"], r["cell"], r["good"], r["bad"]) for r in cells.collect()]
+    rows = spans.select(F.explode(told).alias("c")).where("c.own or not c.taken")
+    cells = rows.groupBy("c.cell").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((~F.col("c.taken")).cast("long")).alias("free"))
+    known = [(r["cell"], evidence(r["cell"]), r["n"], r["free"]) for r in cells.collect()]
+    counts = [(cell, n if good else 0, 0 if good else free)
+              for cell, good, n, free in known if good is not None]
+    return sorted((cell, good, bad) for cell, good, bad in counts if good or bad)
 
 
 def classes_of(cell: int) -> tuple[int, ...]:
@@ -265,8 +346,11 @@ class Model:
 
 
 def boosted(cells: list[tuple[int, int, int]]) -> tuple[float, tuple[Split, ...]]:
-    """Trees for (cell, good, bad) counts by gradient boosting of the logistic loss."""
-    data = [(classes_of(c), g, b) for c, g, b in sorted(cells)]
+    """Trees for (cell, good, bad) counts by gradient boosting of the logistic loss.
+
+    Counts weigh by their logarithm, so that a rare form is learned beside a very common one.
+    """
+    data = [(classes_of(c), math.log2(1 + g), math.log2(1 + b)) for c, g, b in sorted(cells)]
     good, bad = sum(d[1] for d in data), sum(d[2] for d in data)
     prior = math.log((good + 1) / (bad + 1))
     margins, trees = [prior] * len(data), []
@@ -287,25 +371,28 @@ def boosted(cells: list[tuple[int, int, int]]) -> tuple[float, tuple[Split, ...]
 
 
 def fit(docs: DataFrame) -> Model:
-    """Trees from one half of the corpus, thresholds from the other.
+    """Trees and thresholds from the cells of the corpus.
 
-    A kind's threshold is the lowest probability at which the share of its held-out negatives is
-    within `MAX_FALSE_SHARE`; a kind without held-out negatives or positives selects nothing.
+    A kind's threshold is the lowest probability from 0.5 on at which the share of its negatives is
+    within `MAX_FALSE_SHARE`; a kind without positives selects nothing. Verdicts are for the rows
+    counted here, so the share is that of the corpus itself and not an estimate.
     """
     rows = counted(docs)
-    prior, trees = boosted([(c, g, b) for half, c, g, b in rows if half == 0])
+    prior, trees = boosted(rows)
     model = Model(prior, trees, (2.0,) * len(KINDS))
     thresholds = []
     for kind in range(len(KINDS)):
-        held = [(model.probability(c), g, b) for half, c, g, b in rows
-                if half == 1 and classes_of(c)[0] == kind]
-        negatives, positives = sum(b for _, _, b in held), sum(g for _, g, _ in held)
+        told = [(model.probability(c), g, b) for c, g, b in rows if classes_of(c)[0] == kind]
+        negatives, positives = sum(b for _, _, b in told), sum(g for _, g, _ in told)
         chosen, passed = 2.0, 0
-        for p in sorted({p for p, _, _ in held}, reverse=True):
-            passed += sum(b for q, _, b in held if q == p)
-            if not negatives or not positives or passed > MAX_FALSE_SHARE * negatives:
+        for p in sorted({p for p, _, _ in told if p >= 0.5}, reverse=True):
+            passed += sum(b for q, _, b in told if q == p)
+            if not positives or passed > MAX_FALSE_SHARE * negatives:
                 break
-            chosen = max(p, 0.5)
+            chosen = p
+        # Nothing false from 0.5 on: cells without evidence are told by the trees alone.
+        else:
+            chosen = 0.5 if positives else 2.0
         thresholds.append(chosen)
     return Model(prior, trees, tuple(thresholds))
 
@@ -314,7 +401,7 @@ def with_spans(docs: DataFrame, model: Model) -> DataFrame:
     """Adds `base` and `spans`: arrays of (start, kind number, end) in that order.
 
     `spans` has the base spans and the selected candidates that meet no base span and no selected
-    candidate of a kind listed before theirs. A NULL text counts as empty.
+    candidate of a generator listed before theirs. A NULL text counts as empty.
     """
     text, marks = F.coalesce("text", F.lit("")), F.lit(model.verdicts())
     chosen = F.filter(candidates(text), lambda c: F.substring(marks, c["cell"] + 1, F.lit(1)) == "1")
@@ -322,7 +409,7 @@ def with_spans(docs: DataFrame, model: Model) -> DataFrame:
     free = F.filter("__chosen", lambda c: ~F.exists("__base", lambda b: _meets(b, c)))
     told = told.withColumn("__chosen", free)
     first = F.filter("__chosen", lambda c: ~F.exists(
-        "__chosen", lambda o: _meets(o, c) & (o["kind"] < c["kind"])))
+        "__chosen", lambda o: _meets(o, c) & (o["rank"] < c["rank"])))
     added = F.transform(first, lambda c: F.struct(
         c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
     return told.withColumn("__spans", F.sort_array(F.concat("__base", added)))
