@@ -1,7 +1,8 @@
 """From raw documents to token ids, in five stages that each write and reread Parquet.
 
 Quality rules reject documents, one document of each group of near copies stays, personal data is
-replaced, the rest is put in the mixed order of its sources, and every text is encoded.
+replaced, the rest is put in the mixed order of its sources, and every text is encoded. The result
+tells each document's position in the mixed order.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewright.llm import lsh_forest, mixing, pii, quality_forest, transducer
 from tidewright.llm.queries import OTHER_WEIGHT, WEIGHTS, tokenizer_file
-from tidewright.llm.shared import bound_batches, ship_package, stored, table
+from tidewright.llm.shared import bound_batches, in_file_order, ship_package, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -42,10 +43,13 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids and of the decoded text."""
+    """doc_id, n_tokens, the digests of the ids and of the decoded text, and the mixed position.
+
+    The position is read back from the files of the stage before, whose order is the mixture's.
+    """
     ship_package(spark)
     bound_batches(spark)
-    return transducer.digests(docs, tokenizer_file())
+    return transducer.digests(in_file_order(docs, "position"), tokenizer_file(), also=["position"])
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -4,10 +4,12 @@ import os
 
 import pytest
 from compare import assert_same, open_tables
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tidewright.llm import mixing
 from tidewright.llm.oracles import ORACLES
-from tidewright.llm.queries import QUERIES
+from tidewright.llm.queries import OTHER_WEIGHT, QUERIES, WEIGHTS
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -27,3 +29,26 @@ def test_pipeline(spark):
 
     assert set(found) == {r.class_id for r in lsh_forest.near_copies(left).collect()}
     assert all(r.n_tokens > 0 for r in found.values())
+
+
+def test_pipeline_tells_the_mixed_order(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    # One source holds half of the rows, and files are small, so that Spark packs several in a task.
+    docs = docs.selectExpr("doc_id", "text", "lang", "if(doc_id % 2 = 0, 'src0', source) source", "n_chars")
+    stages = dict(corpus_pipeline.STAGES)
+    mixed = stages["mixing sources"](spark, docs, FOLDER)
+    mixed.write.option("maxRecordsPerFile", 7).parquet(f"{tmp_path}/mixed")
+    read = spark.read.parquet(f"{tmp_path}/mixed")
+    found = stages["BPE encoding"](spark, read, FOLDER)
+    order = [r.doc_id for r in sorted(found.collect(), key=lambda r: r.position)]
+    assert sorted(r.position for r in found.collect()) == list(range(docs.count()))
+    key = F.xxhash64("doc_id")
+    brute = mixing.scheduled(docs.select("doc_id", "source"), [key, F.col("doc_id")],
+                             WEIGHTS, OTHER_WEIGHT)
+    assert order == [r.doc_id for r in brute.orderBy("position").collect()]
+    # Without the stage the order is another one.
+    docs.write.parquet(f"{tmp_path}/plain")
+    plain = stages["BPE encoding"](spark, spark.read.parquet(f"{tmp_path}/plain"), FOLDER)
+    assert order != [r.doc_id for r in plain.orderBy("position").collect()]
+    unwritten = stages["BPE encoding"](spark, mixed, FOLDER)
+    assert order == [r.doc_id for r in unwritten.orderBy("position").collect()]

@@ -85,6 +85,26 @@ def number_rows(
     return found.select(*[F.col(f"`{c}`") for c in df.columns], place, *more)
 
 
+def in_file_order(df: DataFrame, name: str) -> DataFrame:
+    """Adds each row's place (from 0) in the files the frame reads, in the order they were written.
+
+    Spark numbers the files of a write by partition; what reads them packs them by size. A row's
+    place is that in its file after the rows of the files before, found from one small row per
+    file. A frame that is more than a plain read is written first.
+    """
+    if df._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        df = stored(df, "ordered")
+    path = F.col("_metadata.file_path")
+    placed = df.select("*", path.alias("__path"), F.col("_metadata.row_index").alias("__row"))
+    part = F.regexp_extract("__path", r"/part-([0-9]+)[^/]*$", 1).try_cast("long")
+    sizes = df.select(path.alias("__path")).groupBy("__path").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy(part, "__path").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__path", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    found = placed.join(broadcast_if_small(starts), "__path")
+    place = (F.col("__before") + F.col("__row")).cast("long").alias(name)
+    return found.select(*[F.col(f"`{c}`") for c in df.columns], place)
+
+
 BATCH_ROWS = 1000
 
 

@@ -14,7 +14,7 @@ import json
 import os
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -448,8 +448,12 @@ def encoded(docs: DataFrame, tokenizer_file: str, limit: int = LEXICON_WORDS) ->
     return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
-def digests(docs: DataFrame, tokenizer_file: str, limit: int = LEXICON_WORDS) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row, without moving the ids."""
+def digests(docs: DataFrame, tokenizer_file: str, limit: int = LEXICON_WORDS,
+            also: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row, without moving the ids.
+
+    The long columns named in `also` come along.
+    """
     encoder = sent_encoder(docs, tokenizer_file, limit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -458,12 +462,14 @@ def digests(docs: DataFrame, tokenizer_file: str, limit: int = LEXICON_WORDS) ->
             sums = coder.digests(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sums[0], pa.int64()),
-                 pa.array(sums[1], pa.string()), pa.array(sums[2], pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                 pa.array(sums[1], pa.string()), pa.array(sums[2], pa.string()),
+                 *[batch.column(c) for c in also]],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *also],
             )
         coder.forget()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also)
+    more = "".join(f", {c} long" for c in also)
     return rows.mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}"
     )
