@@ -39,7 +39,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, put in the order in which their sources' blocks are scheduled."""
-    return mixing.mixed(docs, WEIGHTS, OTHER_WEIGHT)
+    return mixing.mixed(docs, WEIGHTS, OTHER_WEIGHT, shared=True)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

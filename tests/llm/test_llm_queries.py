@@ -44,7 +44,7 @@ def test_pipeline_tells_the_mixed_order(spark, tmp_path):
     assert sorted(r.position for r in found.collect()) == list(range(docs.count()))
     key = F.xxhash64("doc_id")
     brute = mixing.scheduled(docs.select("doc_id", "source"), [key, F.col("doc_id")],
-                             WEIGHTS, OTHER_WEIGHT)
+                             WEIGHTS, OTHER_WEIGHT, shared=True)
     assert order == [r.doc_id for r in brute.orderBy("position").collect()]
     # Without the stage the order is another one.
     docs.write.parquet(f"{tmp_path}/plain")

@@ -197,6 +197,33 @@ def test_mixing(spark, docs, empty):
         mixing.checked({"a": 0}, 1)
 
 
+def test_mixing_schedules_every_source(spark):
+    # x is not listed and holds a third of all rows; a source is called like the default.
+    sizes = {"a": 150, "x": 200, "y": 100, "other": 90, None: 60}
+    names = [s for s, n in sizes.items() for _ in range(n)]
+    rows = spark.createDataFrame(list(enumerate(names)), "doc_id long, source string")
+    group = {**{s: s for s in sizes}, None: "(other)"}
+    for shared, weights in (False, [4, 2, 2, 2, 2]), (True, [8, 1, 1, 1, 1]):
+        share = dict(zip(group.values(), weights, strict=True))
+        assert mixing.weights_of(list(share), {"a": 4}, 2, shared) == share
+        found = mixing.scheduled(rows, [F.col("doc_id")], {"a": 4}, 2, 7, shared).orderBy("position").collect()
+        assert [r.position for r in found] == list(range(600)) and len({r.doc_id for r in found}) == 600
+        assert all(r.mix_group == group[r.source] and r.release <= r.slot < r.deadline for r in found)
+        blocks = list(dict.fromkeys((r.slot, r.mix_group, r.phase) for r in found))
+        assert [s for s, _, _ in blocks] == list(range(len(blocks)))
+        done, total = Counter(), sum(share.values())
+        for t, g in enumerate((g for _, g, phase in blocks if phase == 0), 1):
+            done[g] += 1
+            assert all(abs(done[s] - t * w / total) < 1 for s, w in share.items())
+
+
+def test_mixing_of_many_sources(spark):
+    rows = spark.range(6000).selectExpr("id as doc_id", "concat('s', id % 1500) as source")
+    found = mixing.scheduled(rows, [F.col("doc_id")], {"s0": 9}, 10, 2).orderBy("position").collect()
+    assert [r.position for r in found] == list(range(6000)) and len({r.doc_id for r in found}) == 6000
+    assert all(r.release <= r.slot < r.deadline for r in found) and len({r.mix_group for r in found}) == 1500
+
+
 def _grams(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()

@@ -6,126 +6,162 @@ the released one with the earliest deadline; all deadlines are met, so after any
 each source is less than one block from its share. The schedule repeats every W slots, so one
 period, made from the weights alone, places any number of blocks by arithmetic.
 
-When a source has no block left, a new phase shares the slots among the others by their weights.
-No row is dropped or repeated.
+Every source found has a weight and a schedule of its own, also one without a listed weight and a
+NULL source. When a source has no block left, a new phase shares the slots among the others by
+their weights. No row is dropped or repeated.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+import math
+from collections.abc import Collection, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.shared import broadcast_if_small, number_rows
+from tidewright.llm.shared import BROADCAST_BYTES, broadcast_if_small, number_rows
 
 BLOCK_ROWS = 32
-# Weights are whole numbers; the periods that are sent to the tasks have at most this many slots
-# per source.
+# Weights are whole numbers, the listed ones and the default together at most this.
 MOST_TOTAL = 10_000
+# The key of the default weight, and the name that a NULL source goes by.
 OTHER = "other"
 
 
 def checked(weights: Mapping[str, int], other: int) -> dict[str, int]:
-    """The weights with that of all sources not named; whole positive numbers of a bounded sum."""
+    """The weights with the default of sources not named; whole positive numbers of a bounded sum."""
     full = {**weights, OTHER: other} if OTHER not in weights else dict(weights)
     if any(not isinstance(w, int) or w < 1 for w in full.values()) or sum(full.values()) > MOST_TOTAL:
         raise ValueError(f"weights must be whole, positive and at most {MOST_TOTAL} in sum")
     return full
 
 
-def period(weights: Mapping[str, int]) -> list[str]:
+def weights_of(sources: Collection[str], weights: Mapping[str, int], other: int = 1,
+               shared: bool = False) -> dict[str, int]:
+    """The weight of each source found: its listed weight, or else `other`.
+
+    With `shared`, the sources not listed have equal parts of `other`: all weights are multiplied
+    by their number, and then by what keeps them whole and least.
+    """
+    full = checked(weights, other)
+    listed = {s: w for s, w in weights.items() if s != OTHER}
+    rest = sum(s not in listed for s in sources)
+    times = rest if shared and rest else 1
+    found = {s: listed[s] * times if s in listed else full[OTHER] for s in sources}
+    least = math.gcd(*found.values()) if shared else 1
+    return {s: w // least for s, w in found.items()}
+
+
+def _slots(weights: Mapping[str, int]) -> Iterator[str]:
     """The source of each slot of one period, by earliest deadline first; ties go by name."""
     total = sum(weights.values())
     done = dict.fromkeys(weights, 0)
     waiting = [(0, s) for s in weights]
     heapq.heapify(waiting)
     ready: list[tuple[int, str]] = []
-    slots = []
     for slot in range(total):
         while waiting and waiting[0][0] <= slot:
             _, s = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(done[s] + 1) * total // weights[s]), s))
         _, s = heapq.heappop(ready)
-        slots.append(s)
+        yield s
         done[s] += 1
         if done[s] < weights[s]:
             heapq.heappush(waiting, (done[s] * total // weights[s], s))
-    return slots
 
 
-def phases(weights: Mapping[str, int], blocks: Mapping[str, int]) -> list[dict]:
+def period(weights: Mapping[str, int]) -> list[str]:
+    """The source of each slot of one period."""
+    return list(_slots(weights))
+
+
+def phases(weights: Mapping[str, int], blocks: Mapping[str, int]) -> Iterator[dict]:
     """For each phase its first slot, its period, and the blocks each source has run before it.
 
-    There is at most one phase per weight.
+    There is at most one phase per weight. Of a period only the slots up to the phase's end are
+    made, so that there are no more of them than blocks, however many sources there are.
     """
     left = {s: n for s, n in blocks.items() if n}
-    before, slot, found = dict.fromkeys(blocks, 0), 0, []
+    before, slot = dict.fromkeys(blocks, 0), 0
     while left:
         shares = {s: weights[s] for s in left}
-        slots = period(shares)
+        total = sum(shares.values())
+        # In each whole period a source runs as many blocks as its weight. All sources have at
+        # least a block left after so many, and one runs out in the period that follows.
+        whole = min((n - 1) // shares[s] for s, n in left.items())
+        rest = {s: n - whole * shares[s] for s, n in left.items()}
         at: dict[str, list[int]] = {s: [] for s in shares}
+        length = 0
+        slots = _slots(shares)
         for i, s in enumerate(slots):
             at[s].append(i)
-        # The first slot after the last block of the source that runs out first.
-        length = min((n - 1) // shares[s] * len(slots) + at[s][(n - 1) % shares[s]] + 1
-                     for s, n in left.items())
-        whole, rest = divmod(length, len(slots))
-        ran = {s: whole * shares[s] + sum(i < rest for i in at[s]) for s in shares}
-        found.append({"slot": slot, "slots": len(slots), "before": {s: before[s] for s in shares},
-                      "ran": ran, "at": at, "weights": shares})
-        slot += length
+            if len(at[s]) == rest[s]:
+                length = i + 1
+                break
+        ran = {s: whole * shares[s] + len(at[s]) for s in shares}
+        if whole:
+            for i, s in enumerate(slots, length):
+                at[s].append(i)
+        yield {"slot": slot, "slots": total, "before": {s: before[s] for s in shares},
+               "ran": ran, "at": at, "weights": shares}
+        slot += whole * total + length
         for s in shares:
             before[s] += ran[s]
             left[s] -= ran[s]
         left = {s: n for s, n in left.items() if n}
-    return found
-
-
-def group_of(source: Column, weights: Mapping[str, int]) -> Column:
-    named = [s for s in weights if s != OTHER]
-    return F.when(source.isin(named), source).otherwise(F.lit(OTHER))
 
 
 def scheduled(rows: DataFrame, order: list[Column], weights: Mapping[str, int], other: int = 1,
-              block_rows: int = BLOCK_ROWS) -> DataFrame:
+              block_rows: int = BLOCK_ROWS, shared: bool = False) -> DataFrame:
     """Adds to narrow rows with a `source`: mix_group, block, phase, release, deadline, slot, position.
 
-    Sources without a weight (and a NULL source) form one group with weight `other`. Rows of a
-    group are cut into blocks by `order`; `position` is the row's place in the mixed order, from 0.
-    Release and deadline are slots too. Rows equal in `order` may swap their places.
+    Every source is a group of its own; one without a listed weight has the weight `other`, or with
+    `shared` an equal part of it (`weights_of`). A NULL source is called OTHER, in brackets if a
+    source has that name, and its weight is never a listed one. Rows of a group are cut into
+    blocks by `order`; `position` is the row's place in the mixed order, from 0. Release and
+    deadline are slots too. Rows equal in `order` may swap their places.
     """
-    full = checked(weights, other)
-    grouped = rows.withColumn("mix_group", group_of(F.col("source"), full))
-    placed = number_rows(grouped, order, "__row", "mix_group")
-    # At most one row per weight.
-    sizes = {r["mix_group"]: r["n"] for r in placed.groupBy("mix_group").agg(
+    checked(weights, other)
+    placed = number_rows(rows, order, "__row", "source")
+    # One small row per source.
+    counted = {r["source"]: r["n"] for r in placed.groupBy("source").agg(
         F.count(F.lit(1)).alias("n")).collect()}
+    unnamed = OTHER
+    while unnamed in counted or (unnamed in weights and unnamed != OTHER):
+        unnamed = f"({unnamed})"
+    placed = placed.withColumn("mix_group", F.coalesce("source", F.lit(unnamed)))
+    sizes = {unnamed if s is None else s: n for s, n in counted.items()}
+    full = weights_of(sizes, weights, other, shared)
     blocks = {s: -(-n // block_rows) for s, n in sizes.items()}
-    plan = phases(full, blocks)
     spark = rows.sparkSession
-    spans, slots, ends = [], [], []
-    for i, p in enumerate(plan):
+    spans, slots, short = [], [], 0
+    for i, p in enumerate(phases(full, blocks)):
         for s, w in p["weights"].items():
-            spans.append((s, i, p["before"][s], p["ran"][s], p["slot"], p["slots"], w))
-            slots += [(s, i, j, at) for j, at in enumerate(p["at"][s])]
-            if p["before"][s] + p["ran"][s] == blocks[s]:
-                n = p["ran"][s] - 1
-                last = p["slot"] + n // w * p["slots"] + p["at"][s][n % w]
-                ends.append((last, blocks[s] * block_rows - sizes[s]))
+            if p["ran"][s]:
+                spans.append((s, i, p["before"][s], p["ran"][s], p["slot"], p["slots"], w, short))
+                slots += [(s, i, j, at) for j, at in enumerate(p["at"][s])]
+        # A phase ends with the last block of a group, which may be short; rows after it move up.
+        short += sum(blocks[s] * block_rows - sizes[s] for s in p["weights"]
+                     if p["before"][s] + p["ran"][s] == blocks[s])
     span = spark.createDataFrame(
-        spans, "__g string, phase int, __before long, __ran long, __slot long, __slots long, __w long")
+        spans, "__g string, phase int, __before long, __ran long, __slot long, __slots long, __w long,"
+        " __short long")
     slot = spark.createDataFrame(slots, "__s string, __p int, __j long, __at long")
     block = F.floor(F.col("__row") / block_rows).cast("long")
     own = F.col("block") - F.col("__before")
     w, total = F.col("__w"), F.col("__slots")
-    # Both tables follow from the weights: at most (weights)^2 rows, and weights * MOST_TOTAL.
+
+    def small(table: DataFrame, found: list[tuple]) -> DataFrame:
+        return F.broadcast(table) if len(found) * 64 <= BROADCAST_BYTES else table
+
+    # Both tables follow from the weights and blocks, and have no more rows than there are blocks
+    # and slots in the periods that are run through.
     found = placed.withColumn("block", block).join(
-        F.broadcast(span),
+        small(span, spans),
         (F.col("mix_group") == F.col("__g")) & (own >= 0) & (own < F.col("__ran")),
     ).withColumn("__own", own).join(
-        F.broadcast(slot),
+        small(slot, slots),
         (F.col("mix_group") == F.col("__s")) & (F.col("phase") == F.col("__p"))
         & (F.col("__own") % w == F.col("__j")),
     )
@@ -134,10 +170,7 @@ def scheduled(rows: DataFrame, order: list[Column], weights: Mapping[str, int],
         return F.call_function("div", a, b)
 
     run = F.col("__slot") + div(F.col("__own"), w) * total + F.col("__at")
-    # A group's last block may be short; rows after it move up.
-    short = sum((F.when(F.col("slot") > last, missing).otherwise(0) for last, missing in ends if missing),
-                F.lit(0))
-    place = F.col("slot") * block_rows + F.col("__row") % block_rows - short
+    place = F.col("slot") * block_rows + F.col("__row") % block_rows - F.col("__short")
     return found.withColumn("slot", run).select(
         *[F.col(f"`{c}`") for c in rows.columns], "mix_group", "block", "phase",
         (F.col("__slot") + div(F.col("__own") * total, w)).alias("release"),
@@ -147,7 +180,7 @@ def scheduled(rows: DataFrame, order: list[Column], weights: Mapping[str, int],
 
 
 def mixed(docs: DataFrame, weights: Mapping[str, int], other: int = 1,
-          block_rows: int = BLOCK_ROWS) -> DataFrame:
+          block_rows: int = BLOCK_ROWS, shared: bool = False) -> DataFrame:
     """The rows themselves, sorted by their place in the mixed order over all partitions.
 
     Places are found on narrow rows; whole rows then move by the key of their place and by ranges
@@ -157,7 +190,7 @@ def mixed(docs: DataFrame, weights: Mapping[str, int], other: int = 1,
     key = F.struct("doc_id", "source", F.xxhash64("text").alias("text"))
     narrow = docs.select(key.alias("__key")).distinct().select("__key.*")
     order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("text")]
-    places = scheduled(narrow, order, weights, other, block_rows).select(
+    places = scheduled(narrow, order, weights, other, block_rows, shared).select(
         F.struct("doc_id", "source", "text").alias("__key"), F.col("position").alias("__position"))
     joined = docs.withColumn("__key", key).join(broadcast_if_small(places), "__key")
     dealt = joined.repartitionByRange("__position").sortWithinPartitions("__position")

@@ -24,7 +24,8 @@ from tidewright.llm.shared import ship_package, table
 from tidewright.session import work_folder
 
 SHARDS = 24
-# Target weights of the sources; all sources not named share the last weight.
+# Target weights of the sources; sources not named have equal parts of the last weight, a NULL
+# source too.
 WEIGHTS = {"src0": 6, "src1": 3, "src2": 3, "src3": 2}
 OTHER_WEIGHT = 10
 TOP = 10
@@ -76,7 +77,8 @@ def op3_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mixing.scheduled(rows, [F.xxhash64("doc_id"), F.col("doc_id")], WEIGHTS, OTHER_WEIGHT)
+    return mixing.scheduled(rows, [F.xxhash64("doc_id"), F.col("doc_id")], WEIGHTS, OTHER_WEIGHT,
+                            shared=True)
 
 
 @query
