@@ -266,6 +266,15 @@ def test_near_copies(spark, docs, empty, monkeypatch):
     assert lsh_forest.near_copies(empty).count() == 0 and lsh_forest.one_of_each(empty).count() == 0
 
 
+def test_repeats_without_a_word_stay(spark):
+    # Rows equal in doc_id and text, once with words and once without.
+    texts = [words(40), words(40), None, None, "  ", "  ", words(30)]
+    rows = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = rows.union(rows.where("doc_id = 3"))
+    found = Counter(r.text for r in lsh_forest.one_of_each(rows).collect())
+    assert found == Counter({t: 1 for t in texts if t and t != "  "}) + Counter({None: 2, "  ": 2})
+
+
 def test_components(spark):
     draw = random.Random(3)
     edges = [(draw.randrange(200), draw.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)]

@@ -343,7 +343,11 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t")).distinct()
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))
     kept = hashed.join(broadcast_if_small(gone), same, "left_anti")
-    again = told.groupBy("doc_id", "text_hash").count().where("count > 1")
+    again = told.groupBy("doc_id", "text_hash").count().where("count > 1").select(
+        F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"))
     if not again.isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "text_hash"])
+        # Rows that are not among the repeats found, such as texts without a word, stay as they are.
+        again = broadcast_if_small(again)
+        once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text_hash"])
+        kept = kept.join(again, same, "left_anti").unionByName(once)
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
