@@ -138,6 +138,17 @@ def test_forest_isolates_what_is_rare():
     assert (scores > threshold).tolist() == (~good).tolist()
 
 
+def test_mislabelled_rows_leave_a_rule_on():
+    draw = np.random.default_rng(2)
+    rows = np.abs(draw.normal(size=(4_300, 8))) * 0.01
+    rows[:300, 0] = draw.uniform(1, 3, 300)
+    good = np.arange(4_300) >= 300
+    rows[[900, 1900], 0] = 3.0, 2.5
+    scores = quality_forest.grow(rows, quality_forest.ranges(rows[good])).scores(rows)
+    rejected = scores > quality_forest.calibrated(scores, good)
+    assert rejected[:300].all() and set(np.flatnonzero(rejected[300:]) + 300) <= {900, 1900}
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 97, 1000])
 def test_feistel_is_a_permutation(spark, n):
     walk = feistel.walk_length(spark, n, 3)

@@ -31,7 +31,7 @@ TREES = 200
 ROWS_PER_TREE = 256
 # Share of good labelled rows a threshold may reject.
 MAX_GOOD_REJECTED = 0.0005
-# A rule's range ends so much beyond the largest value of a good labelled row.
+# A rule's range ends so much beyond the largest value of the good labelled rows, without that share.
 RANGE_FACTOR, RANGE_MARGIN = 1.25, 0.02
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -142,9 +142,14 @@ class Forest:
         return 2.0 ** (-total / len(self.feature) / self.norm)
 
 
-def ranges(good: np.ndarray) -> np.ndarray:
-    """The end of each rule's range, from the ratios of good rows."""
-    return good.max(axis=0) * RANGE_FACTOR + RANGE_MARGIN
+def ranges(good: np.ndarray, max_good_rejected: float = MAX_GOOD_REJECTED) -> np.ndarray:
+    """The end of each rule's range, from the ratios of good rows.
+
+    The share of good rows that a threshold may reject may lie beyond, so that a few mislabelled
+    or odd ones do not switch a rule off and the threshold decides on them.
+    """
+    last = len(good) - 1 - int(len(good) * max_good_rejected)
+    return np.sort(good, axis=0)[last] * RANGE_FACTOR + RANGE_MARGIN
 
 
 def grow(ratios: np.ndarray, limits: np.ndarray, trees: int = TREES, rows: int = ROWS_PER_TREE,
