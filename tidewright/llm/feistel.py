@@ -61,14 +61,19 @@ def walk_length(spark: SparkSession, n: int, seed: int = 0) -> int:
     """Applications after which every number from 0 to n-1 has walked back inside.
 
     Only the a * b - n numbers outside can prolong a walk (fewer than the root of n), so they
-    alone are followed.
+    alone are followed. Some of them may lie on cycles that never come inside; no walk that begins
+    inside meets those. Once a step takes no more numbers back inside, only such cycles are left.
     """
     a, b = sides(n)
     outside, steps = spark.range(n, a * b).select(F.col("id").alias("x")), 1
-    while outside.count():
+    left = a * b - n
+    while left:
         x = F.col("x")
         outside = outside.select(permuted(x, n, seed).alias("x")).where(x >= n)
-        steps += 1
+        still = outside.count()
+        if still == left:
+            break
+        left, steps = still, steps + 1
     return steps
 
 
