@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewright.llm.shared import broadcast_if_small, stored
+from tidewright.llm.shared import broadcast_if_small, own_names, stored
 from tidewright.llm.words import words_of
 
 GRAM = 5
@@ -341,13 +341,16 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_hash") == F.col("__t"))
     gone = told.join(first, same, "left_anti").select(
         F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t")).distinct()
-    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    kept = hashed.join(broadcast_if_small(gone), same, "left_anti")
+    # The operator's own columns bear names that no column of the input has.
+    row_id, row_text = own_names(docs, "row_id", "row_text")
+    hashed = docs.withColumns({row_id: F.col("doc_id").cast("long"), row_text: F.xxhash64("text")})
+    match = F.col(row_id).eqNullSafe(F.col("__d")) & (F.col(row_text) == F.col("__t"))
+    kept = hashed.join(broadcast_if_small(gone), match, "left_anti")
     again = told.groupBy("doc_id", "text_hash").count().where("count > 1").select(
         F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"))
     if not again.isEmpty():
         # Rows that are not among the repeats found, such as texts without a word, stay as they are.
         again = broadcast_if_small(again)
-        once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text_hash"])
-        kept = kept.join(again, same, "left_anti").unionByName(once)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+        once = kept.join(again, match, "left_semi").dropDuplicates([row_id, row_text])
+        kept = kept.join(again, match, "left_anti").unionByName(once)
+    return kept.drop(row_id, row_text)

@@ -27,6 +27,18 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def own_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted column names, lengthened where the frame has a column of that name already."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 BROADCAST_BYTES = 24 << 20
 # What a row takes beside its strings, for the fields these operators send.
 _ROW_BYTES = 64
@@ -90,19 +102,22 @@ def in_file_order(df: DataFrame, name: str) -> DataFrame:
 
     Spark numbers the files of a write by partition; what reads them packs them by size. A row's
     place is that in its file after the rows of the files before, found from one small row per
-    file. A frame that is more than a plain read is written first.
+    file. A frame that is more than a plain read is written first. A column called `name` gives way.
     """
     if df._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
         df = stored(df, "ordered")
     path = F.col("_metadata.file_path")
-    placed = df.select("*", path.alias("__path"), F.col("_metadata.row_index").alias("__row"))
-    part = F.regexp_extract("__path", r"/part-([0-9]+)[^/]*$", 1).try_cast("long")
-    sizes = df.select(path.alias("__path")).groupBy("__path").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy(part, "__path").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("__path", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    found = placed.join(broadcast_if_small(starts), "__path")
-    place = (F.col("__before") + F.col("__row")).cast("long").alias(name)
-    return found.select(*[F.col(f"`{c}`") for c in df.columns], place)
+    kept = [c for c in df.columns if c.lower() != name.lower()]
+    of, row, begins = own_names(df, "file_of_row", "row_of_file", "rows_before")
+    placed = df.select(*[F.col(f"`{c}`") for c in kept], path.alias(of),
+                       F.col("_metadata.row_index").alias(row))
+    part = F.regexp_extract(of, r"/part-([0-9]+)[^/]*$", 1).try_cast("long")
+    sizes = df.select(path.alias(of)).groupBy(of).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy(part, of).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(of, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(begins))
+    found = placed.join(broadcast_if_small(starts), of)
+    place = (F.col(begins) + F.col(row)).cast("long").alias(name)
+    return found.select(*[F.col(f"`{c}`") for c in kept], place)
 
 
 BATCH_ROWS = 1000
