@@ -52,3 +52,10 @@ def test_pipeline_tells_the_mixed_order(spark, tmp_path):
     assert order != [r.doc_id for r in plain.orderBy("position").collect()]
     unwritten = stages["BPE encoding"](spark, mixed, FOLDER)
     assert order == [r.doc_id for r in unwritten.orderBy("position").collect()]
+
+
+def test_position_of_the_input_gives_way(spark):
+    rows = spark.createDataFrame([(1, "stone river", "x", 3), (2, None, "y", 4)],
+                                 "doc_id long, text string, position string, row_of_file int")
+    found = dict(corpus_pipeline.STAGES)["BPE encoding"](spark, rows, FOLDER)
+    assert sorted(r.position for r in found.collect()) == [0, 1]

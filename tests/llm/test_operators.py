@@ -156,6 +156,46 @@ def test_feistel_is_a_permutation(spark, n):
     assert sorted(r.p for r in rows.collect()) == list(range(n))
 
 
+def _plain_rounds(x, n, seed):
+    """One application of the rounds, in plain Python."""
+    a, b = feistel.sides(n)
+    left, right = divmod(x, b)
+    for i, key in enumerate(feistel.keyed(seed)):
+        mixed = (right * feistel.MULTIPLIER + key) % feistel.PRIME
+        left, right = right, (left + mixed * mixed % feistel.PRIME) % (b if i % 2 else a)
+    return left * b + right
+
+
+def test_walks_from_inside_end_for_all_small_tables():
+    endless = set()
+    for seed in (0, 3):
+        for n in range(1001):
+            a, b = feistel.sides(n)
+            outside, steps = set(range(n, a * b)), 1
+            while outside:
+                still = {y for x in outside if (y := _plain_rounds(x, n, seed)) >= n}
+                if len(still) == len(outside):
+                    endless.add(n)
+                    break
+                outside, steps = still, steps + 1
+            # The same rule on numbers from inside: after so many steps all are back inside.
+            at = list(range(n))
+            for step in range(steps):
+                at = [x if step and x < n else _plain_rounds(x, n, seed) for x in at]
+            assert sorted(at) == list(range(n)), n
+    assert len(endless) > 10
+
+
+@pytest.mark.parametrize(("n", "seed"), [(0, 0), (37, 0), (50, 0), (104, 0), (307, 0), (64, 5)])
+def test_walk_length_ends_where_a_cycle_stays_outside(spark, n, seed):
+    walk = feistel.walk_length(spark, n, seed)
+    rows = spark.range(n).select(
+        "id", feistel.permuted(F.col("id"), n, seed).alias("one"),
+        feistel.place(F.col("id"), n, walk, seed).alias("p")).collect()
+    assert sorted(r.p for r in rows) == list(range(n))
+    assert all(r.one == _plain_rounds(r.id, n, seed) for r in rows)
+
+
 def test_shards(docs, empty):
     order = [F.col("doc_id"), F.col("__text")]
     found = feistel.sharded(feistel.measured(docs), order, 4).collect()
@@ -286,6 +326,14 @@ def test_repeats_without_a_word_stay(spark):
     assert found == Counter({t: 1 for t in texts if t and t != "  "}) + Counter({None: 2, "  ": 2})
 
 
+def test_columns_with_the_operators_names_stay(spark):
+    text = words(40)
+    rows = spark.createDataFrame([(i, text, 5, 6, 7) for i in range(3)],
+                                 "doc_id int, text string, text_hash int, row_text int, row_id int")
+    kept = lsh_forest.one_of_each(rows)
+    assert kept.schema == rows.schema and [tuple(r) for r in kept.collect()] == [(0, text, 5, 6, 7)]
+
+
 def test_components(spark):
     draw = random.Random(3)
     edges = [(draw.randrange(200), draw.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)]
@@ -373,22 +421,38 @@ def test_salvage(compressed):
     assert gaps[0] == (0, 4) and sum(n for _, n in gaps) + sum(len(members[i]) for i in pages) == len(data)
 
 
-def test_top_k(spark):
+def test_top_k(spark, monkeypatch):
     draw = np.random.default_rng(4)
     rows = [(i, draw.normal(size=5).astype(float).tolist(), 0) for i in range(300)]
     rows[7] = (7, rows[200][1], 0)
     rows += [(300, None, 0), (301, [1.0, None, 1.0, 1.0, 1.0], 0), (302, [float("nan")] * 5, 0),
-             (303, [float("inf")] * 5, 0), (None, [1.0] * 5, 0), (304, [0.5], 0), (5, rows[5][1], 0)]
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int")
-    whole = {}
+             (303, [float("inf")] * 5, 0), (None, [1.0] * 5, 0), (304, [0.5], 0), (5, rows[5][1], 0),
+             (5, [4.0] * 5, 0), (100, [-1.0, 2.0, 3.0, 0.0, 1.0], 0)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int").withColumn(
+        "row", F.lit(0))
+    whole = []
     for i, v, _ in rows:
         if i is not None and v and all(x is not None and np.isfinite(x) for x in v):
-            whole[i] = np.pad(np.floor(np.array(v) * 1024).astype(int), (0, 5 - len(v)))
-    want = set()
-    for q in (i for i in whole if i % 100 == 0):
-        best = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q)[:10]
-        want |= {(q, r, i, -s) for r, (s, i) in enumerate(best, 1)}
-    assert {tuple(r) for r in top_k.nearest(table, F.col("vec_id") % 100 == 0).collect()} == want
+            whole.append((i, np.pad(np.floor(np.array(v) * 1024).astype(int), (0, 5 - len(v)))))
+
+    def brute(k):
+        want = Counter()
+        for at, (q, w) in enumerate(whole):
+            if q % 100 == 0:
+                best = sorted((-int(w @ v), i) for j, (i, v) in enumerate(whole) if j != at)[:k]
+                want.update((q, r, i, -s) for r, (s, i) in enumerate(best, 1))
+        return want
+
+    is_query = F.col("vec_id") % 100 == 0
+    assert Counter(tuple(r) for r in top_k.nearest(table, is_query).collect()) == brute(10)
+    for name, small in (("LEAST_ROWS", 16), ("QUERY_ROWS", 2), ("SCORE_CELLS", 32)):
+        monkeypatch.setattr(top_k, name, small)
+    monkeypatch.setattr(top_k, "SHARE", 10**6)
+    for runs in (1, 2, 3):
+        found = top_k.nearest(table, is_query, 3, runs).collect()
+        assert Counter(tuple(r) for r in found) == brute(3)
+    assert {r.rank for r in top_k.nearest(table, is_query, 500).where("query_id = 0").collect()} == set(
+        range(1, len(whole)))
     assert top_k.nearest(table.limit(0), F.col("vec_id") % 100 == 0).count() == 0
     assert top_k.nearest(table.where("vec_id in (0, 1)"), F.col("vec_id") == 0).count() == 1
 
