@@ -56,6 +56,11 @@ class _WordHashes(dict):
 _HASHES = _WordHashes()
 
 
+def forget_words() -> None:
+    """Frees the hashes of words, which an idle worker would keep otherwise."""
+    _HASHES.clear()
+
+
 def grams(text: str | None, n: int = GRAM) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the n-grams of words; a shorter text is one gram."""
     words = words_of(text or "")

@@ -118,4 +118,35 @@ ORACLES = {
         FROM scored
         QUALIFY rank <= 10
     """,
+    "op12_bayes_dedup": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0b\f\r]+'),
+                lambda w: w <> '') AS w FROM documents
+        ),
+        shingle AS (
+            SELECT DISTINCT doc_id, unnest(CASE
+                WHEN len(w) = 0 THEN []
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+            END) AS g FROM worded
+        ),
+        size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+        link AS (
+            SELECT x, y FROM (
+                SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+                FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL)
+            JOIN size s ON s.doc_id = x JOIN size t ON t.doc_id = y
+            WHERE 100 * k >= 85 * (s.n + t.n - k)
+        ),
+        reach(doc_id, root) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION
+            SELECT link.y, reach.root FROM reach JOIN link ON link.x = reach.doc_id
+            WHERE reach.root < link.y
+        ),
+        least AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM documents d JOIN least USING (doc_id) LEFT JOIN size USING (doc_id)
+    """,
 }

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm import (
+    bayes_dedup,
     feistel,
     lsh_forest,
     mixing,
+    periodic,
     pii,
     quality_forest,
     roles,
@@ -19,6 +21,7 @@ from tidewright.llm import (
     top_k,
     transducer,
     warc,
+    whitening,
 )
 from tidewright.llm.shared import ship_package, table
 from tidewright.session import work_folder
@@ -113,3 +116,19 @@ def op9_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.report(docs, pii.fit(docs))
+
+
+@query
+def op11_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query
+def op12_bayes_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bayes_dedup.linked(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_repair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(table(spark, sf_dir, "documents"), periodic.planted)
