@@ -127,26 +127,81 @@ def test_quality(spark, docs, empty):
     assert quality_forest.verdicts(empty, None).count() == 0
 
 
+def _labelled_ratios(n, bad, seed=1):
+    draw = np.random.default_rng(seed)
+    rows = np.abs(draw.normal(size=(n, 8))) * 0.01
+    good = np.arange(n) >= bad
+    rows[:bad, 0] = draw.uniform(1, 3, bad)
+    rows[: bad // 2, [0, 1]] = rows[: bad // 2, [1, 0]]
+    return rows, good
+
+
 def test_forest_isolates_what_is_rare():
-    draw = np.random.default_rng(1)
-    rows = np.abs(draw.normal(size=(600, 8))) * 0.01
-    rows[:30, 0] += 3
-    good = np.arange(600) >= 30
-    limits = quality_forest.ranges(rows[good])
-    scores = quality_forest.grow(rows, limits).scores(rows)
+    rows, good = _labelled_ratios(600, 30)
+    scores = quality_forest.grow(rows, good).scores(rows)
     threshold = quality_forest.calibrated(scores, good)
     assert (scores > threshold).tolist() == (~good).tolist()
 
 
+def test_scores_are_mean_path_lengths():
+    rows, good = _labelled_ratios(300, 20)
+    forest = quality_forest.grow(rows, good, trees=30, rows=64)
+    for row, score in zip(rows, forest.scores(rows), strict=True):
+        total = 0.0
+        for feature, cut, child, path in zip(forest.feature, forest.cut, forest.child, forest.path, strict=True):
+            at = 0
+            while feature[at] >= 0:
+                at = child[at] + int(row[feature[at]] >= cut[at])
+            total += path[at]
+        assert abs(score - 2 ** (-total / 30 / forest.norm)) < 1e-12
+    # A leaf's path is its depth, and what a tree of its rows would add.
+    one = quality_forest.grow(rows, good, trees=1, rows=64)
+    depth = {0: 0}
+    for node in range(len(one.feature[0])):
+        if node in depth and one.feature[0][node] >= 0:
+            depth[int(one.child[0][node])] = depth[int(one.child[0][node]) + 1] = depth[node] + 1
+    leaves = [n for n in depth if one.feature[0][n] < 0]
+    assert max(depth.values()) <= 6 and len(leaves) > 4
+    assert all(depth[n] <= one.path[0][n] <= depth[n] + 2 * np.log(64) for n in leaves)
+
+
+def test_the_forest_decides_not_the_ranges():
+    rows, good = _labelled_ratios(4_000, 300)
+    forest = quality_forest.grow(rows, good)
+    threshold = quality_forest.calibrated(forest.scores(rows), good)
+    top = rows[good].max(axis=0)
+    several = np.zeros(8)
+    several[:2] = top[:2] * 0.99
+    beyond = np.zeros(8)
+    beyond[5] = top[5] * 1.05
+    inside, outside = forest.scores(np.array([several, beyond]))
+    # Unusual in two ratios, but within the range of each: rejected. Barely beyond one: kept.
+    assert inside > outside and outside <= threshold
+    rare = rows.copy()
+    rare[:150, :2] = top[:2] * 0.9
+    forest = quality_forest.grow(rare, good)
+    threshold = quality_forest.calibrated(forest.scores(rare), good)
+    assert forest.scores(several[None])[0] > threshold >= forest.scores(beyond[None])[0]
+
+
 def test_mislabelled_rows_leave_a_rule_on():
-    draw = np.random.default_rng(2)
-    rows = np.abs(draw.normal(size=(4_300, 8))) * 0.01
-    rows[:300, 0] = draw.uniform(1, 3, 300)
-    good = np.arange(4_300) >= 300
+    rows, good = _labelled_ratios(4_300, 300, 2)
     rows[[900, 1900], 0] = 3.0, 2.5
-    scores = quality_forest.grow(rows, quality_forest.ranges(rows[good])).scores(rows)
+    scores = quality_forest.grow(rows, good).scores(rows)
     rejected = scores > quality_forest.calibrated(scores, good)
-    assert rejected[:300].all() and set(np.flatnonzero(rejected[300:]) + 300) <= {900, 1900}
+    assert rejected[:300].mean() > 0.95 and set(np.flatnonzero(rejected[300:]) + 300) <= {900, 1900}
+
+
+def test_quality_of_held_out_rows(spark):
+    """Labelled rows that take no part in the fit: nearly all bad ones go, nearly all good ones stay."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    shown = labels.where("xxhash64(doc_id) % 2 = 0")
+    found = quality_forest.verdicts(docs, quality_forest.fit(docs, shown)).join(
+        labels.where("quality is not null and xxhash64(doc_id) % 2 <> 0"), "doc_id").where("not base_failed")
+    bad, good = found.where("quality = 0"), found.where("quality = 1")
+    assert bad.where("not kept").count() >= 0.9 * bad.count() > 0
+    assert good.where("kept").count() >= 0.99 * good.count()
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 97, 1000])

@@ -1,10 +1,11 @@
 """Quality rules with an isolation forest over their statistics.
 
-Rules count things in each whole text, and each rule's excess is what its statistic has beyond
-the range of good labelled rows. A forest of trees with random splits, grown on the excesses of
-a bounded sample of labelled rows, gives each text the mean length of its paths: texts that few
-splits set apart are anomalous. The ranges and the score at which a text is rejected come from
-the labelled rows.
+Rules count things in each whole text, and their ratios are the forest's features. Trees are grown
+on good labelled rows by random splits: a feature, drawn by how well it alone tells good and bad
+labelled rows apart, and a cut anywhere in the box of all labelled rows, not only where the good
+ones lie. So a text that a few splits set apart from all good rows has short paths in most trees,
+whether one ratio is extreme or several are unusual together. The mean path length decides; the score
+at which a text is rejected comes from labelled rows that took no part in growing the trees.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ TREES = 200
 ROWS_PER_TREE = 256
 # Share of good labelled rows a threshold may reject.
 MAX_GOOD_REJECTED = 0.0005
-# A rule's range ends so much beyond the largest value of the good labelled rows, without that share.
-RANGE_FACTOR, RANGE_MARGIN = 1.25, 0.02
+# What a feature weighs at least in the draw of splits, beside the share of bad rows it tells apart.
+LEAST_WEIGHT = 0.03
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 RATIOS = [
@@ -119,12 +120,10 @@ class Forest:
     child: np.ndarray
     path: np.ndarray
     norm: float
-    limits: np.ndarray
     threshold: float = 1.0
 
     def scores(self, ratios: np.ndarray) -> np.ndarray:
         """Between 0 and 1; the shorter the paths the higher."""
-        ratios = np.maximum(ratios - self.limits, 0)
         total = np.zeros(len(ratios))
         rows = np.arange(len(ratios))
         for feature, cut, child, path in zip(
@@ -142,45 +141,50 @@ class Forest:
         return 2.0 ** (-total / len(self.feature) / self.norm)
 
 
-def ranges(good: np.ndarray, max_good_rejected: float = MAX_GOOD_REJECTED) -> np.ndarray:
-    """The end of each rule's range, from the ratios of good rows.
+def weights(ratios: np.ndarray, good: np.ndarray, max_good_rejected: float = MAX_GOOD_REJECTED
+            ) -> np.ndarray:
+    """How much each feature counts in the draw of splits.
 
-    The share of good rows that a threshold may reject may lie beyond, so that a few mislabelled
-    or odd ones do not switch a rule off and the threshold decides on them.
+    The share of bad rows above all good ones but the share that may be rejected, and a little more,
+    so that no feature is left out.
     """
-    last = len(good) - 1 - int(len(good) * max_good_rejected)
-    return np.sort(good, axis=0)[last] * RANGE_FACTOR + RANGE_MARGIN
+    good_rows, bad_rows = np.sort(ratios[good], axis=0), ratios[~good]
+    top = good_rows[len(good_rows) - 1 - int(len(good_rows) * max_good_rejected)]
+    beyond = (bad_rows > top).mean(axis=0) if len(bad_rows) else np.zeros(ratios.shape[1])
+    return beyond + LEAST_WEIGHT
 
 
-def grow(ratios: np.ndarray, limits: np.ndarray, trees: int = TREES, rows: int = ROWS_PER_TREE,
+def grow(ratios: np.ndarray, good: np.ndarray, trees: int = TREES, rows: int = ROWS_PER_TREE,
          seed: int = 11) -> Forest:
-    """A forest of random splits of the excesses over `limits`.
+    """A forest of random splits around the good rows, within the box of all rows.
 
-    Each tree takes its own `rows` rows and is no deeper than their log2.
+    Each tree takes its own `rows` good rows and is no deeper than their log2. A side of a split
+    may hold none of them: what lies there is told apart at that depth.
     """
-    ratios = np.maximum(ratios - limits, 0)
     draw = np.random.default_rng(seed)
-    rows = min(rows, len(ratios))
+    inside, weight = ratios[good], weights(ratios, good)
+    rows = min(rows, len(inside))
     depth_limit = max(1, int(np.ceil(np.log2(max(rows, 2)))))
     grown = []
     for _ in range(trees):
-        sample = ratios[draw.choice(len(ratios), rows, replace=False)]
+        sample = inside[draw.choice(len(inside), rows, replace=False)]
         feature, cut, child, path = [-1], [0.0], [0], [0.0]
-        todo = [(0, sample, 0)]
+        todo = [(0, sample, 0, ratios.min(axis=0), ratios.max(axis=0))]
         while todo:
-            node, part, depth = todo.pop()
-            low, high = part.min(axis=0), part.max(axis=0)
+            node, part, depth, low, high = todo.pop()
             usable = np.flatnonzero(high > low)
-            if depth >= depth_limit or not len(usable):
+            if depth >= depth_limit or len(part) < 2 or not len(usable):
                 path[node] = depth + float(_expected_path(len(part)))
                 continue
-            f = int(draw.choice(usable))
+            share = weight[usable]
+            f = int(draw.choice(usable, p=share / share.sum()))
             at = draw.uniform(low[f], high[f])
-            at = at if at > low[f] else high[f]
             feature[node], cut[node], child[node] = f, at, len(feature)
             goes = part[:, f] >= at
-            for side in (part[~goes], part[goes]):
-                todo.append((len(feature), side, depth + 1))
+            below, above = high.copy(), low.copy()
+            below[f] = above[f] = at
+            for side, bounds in ((part[~goes], (low, below)), (part[goes], (above, high))):
+                todo.append((len(feature), side, depth + 1, *bounds))
                 feature.append(-1), cut.append(0.0), child.append(0), path.append(0.0)
         grown.append((feature, cut, child, path))
     widest = max(len(g[0]) for g in grown)
@@ -189,7 +193,7 @@ def grow(ratios: np.ndarray, limits: np.ndarray, trees: int = TREES, rows: int =
         return np.array([g[i] + [g[i][-1]] * (widest - len(g[i])) for g in grown], kind)
 
     norm = max(float(_expected_path(rows)), 1.0)
-    return Forest(padded(0, int), padded(1, float), padded(2, int), padded(3, float), norm, limits)
+    return Forest(padded(0, int), padded(1, float), padded(2, int), padded(3, float), norm)
 
 
 def calibrated(scores: np.ndarray, good: np.ndarray,
@@ -207,8 +211,9 @@ def calibrated(scores: np.ndarray, good: np.ndarray,
 
 
 def labelled_statistics(docs: DataFrame, labels: DataFrame, limit: int = LABELLED_ROWS):
-    """Statistics and labels of at most `limit` labelled rows, taken by a hash of their doc_id.
+    """Statistics, labels and halves of at most `limit` labelled rows, taken by a hash of their doc_id.
 
+    The half comes from a hash of the statistics, so texts of the same statistics share one.
     Rows with a NULL doc_id or quality are left out, and a doc_id with both labels counts as bad.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
@@ -227,22 +232,33 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, limit: int = LABELLE
 
     rows = texts.mapInArrow(measure, "quality int, found array<double>")
     # Several rows may share a doc_id; a limit on them as well keeps the driver's share bounded.
-    kept = rows.orderBy(F.xxhash64("found"), "quality").limit(limit).toArrow()
+    hashed = rows.withColumn("half", F.pmod(F.shiftright(F.xxhash64("found"), 20), F.lit(2)))
+    kept = hashed.orderBy(F.xxhash64("found"), "quality").limit(limit).toArrow()
     width = len(COUNTS) + len(RATIOS)
     found = np.array(kept.column("found").to_pylist(), float).reshape(kept.num_rows, width)
-    return found, kept.column("quality").to_numpy() > 0
+    return found, kept.column("quality").to_numpy() > 0, kept.column("half").to_numpy() > 0
+
+
+def both_kinds(good: np.ndarray) -> bool:
+    return bool(good.any() and not good.all())
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = LABELLED_ROWS) -> Forest | None:
-    """A forest with its threshold, from labelled rows that pass the base rules; None without any."""
-    found, good = labelled_statistics(docs, labels, limit)
+    """A forest with its threshold, from labelled rows that pass the base rules; None without a good one.
+
+    One half of the rows grows the trees, the other calibrates. A half without good or without bad
+    rows gives way to all rows, as few labels leave no choice.
+    """
+    found, good, half = labelled_statistics(docs, labels, limit)
     passed = ~base_failed(found)
-    found, good = found[passed], good[passed]
+    ratios, good, half = found[passed][:, len(COUNTS) :], good[passed], half[passed]
     if not good.any():
         return None
-    ratios = found[:, len(COUNTS) :]
-    forest = grow(ratios, ranges(ratios[good]))
-    return replace(forest, threshold=calibrated(forest.scores(ratios), good))
+    every = np.ones(len(good), bool)
+    grows = ~half if both_kinds(good[~half]) else every
+    tells = half if both_kinds(good[half]) else every
+    forest = grow(ratios[grows], good[grows])
+    return replace(forest, threshold=calibrated(forest.scores(ratios[tells]), good[tells]))
 
 
 def judge(texts: list[str | None], forest: Forest | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
