@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tidewright.llm.lsh_forest import DEPTH as ROWS
 from tidewright.llm.lsh_forest import TREES as BANDS
 from tidewright.llm.lsh_forest import components, forget_words, grams, signature
-from tidewright.llm.shared import broadcast_if_small, number_rows, stored
+from tidewright.llm.shared import broadcast_if_small, lean, number_rows, stored
 from tidewright.operators.skew import NONE_HOT, HotKeys, hot_keys, spread_join
 
 # Linked are sets with 100 * intersection >= PERCENT * union.
@@ -225,7 +225,7 @@ def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
         F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_text"), "node")
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_text"))
     texts = _keyed(docs).join(broadcast_if_small(wanted), same).select("node", "text")
-    found = texts.mapInArrow(_gram_bytes, "node long, grams binary")
+    found = texts.mapInArrow(lean(_gram_bytes), "node long, grams binary")
     # Rows repeated with their id and text give their class several times.
     return stored(found.groupBy("node").agg(F.first("grams").alias("grams")), "sets")
 
@@ -374,7 +374,7 @@ def linked(docs: DataFrame) -> DataFrame:
     A pair at the limit itself is missed with a chance of about 3 in 10 million by the bands and of
     MISS or so by each batch; links found are exact.
     """
-    signed = stored(_keyed(docs).mapInArrow(_signed, _SIGNED), "signed")
+    signed = stored(_keyed(docs).mapInArrow(lean(_signed), _SIGNED), "signed")
     classes = stored(signed.where("set_key is not null").groupBy("set_key").agg(
         F.min(F.struct("doc_id", "text_hash", "size", "sig")).alias("r"), F.min("doc_id").alias("least"),
     ).select("set_key", F.monotonically_increasing_id().alias("node"), "r.*", "least"), "classes")
@@ -394,7 +394,7 @@ def linked(docs: DataFrame) -> DataFrame:
     known = sets.union(more)
     laid = cells.join(labelled, "node").join(known, "node").repartition("hub", "one", "two")
     edges = stored(laid.sortWithinPartitions("hub", "one", "two", "side", "node").mapInArrow(
-        _compared, "a long, b long"), "edges")
+        lean(_compared), "a long, b long"), "edges")
     over = components(edges).select(F.col("node").alias("comp"), "root")
 
     # Each class with its component, those without links by themselves.

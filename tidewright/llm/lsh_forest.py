@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewright.llm.shared import broadcast_if_small, own_names, stored
+from tidewright.llm.shared import broadcast_if_small, lean, own_names, stored
 from tidewright.llm.words import words_of
 
 GRAM = 5
@@ -280,7 +280,7 @@ def _verify(docs: DataFrame, classes: DataFrame, clusters: DataFrame, similarity
         "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         "block", "node", "n", "text")
     ready = cells.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high", "node")
-    return stored(ready.mapInArrow(lambda b: _verified(b, similarity), _VERIFIED), "links")
+    return stored(ready.mapInArrow(lean(lambda b: _verified(b, similarity)), _VERIFIED), "links")
 
 
 def near_copies(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
@@ -291,7 +291,7 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
     that links lead to (NULL counts as none). A text without a word (or NULL) has no links and is
     a class of its own: its class_id is its doc_id.
     """
-    signed = stored(_keyed(docs).mapInArrow(_signed, _SIGNED), "signed")
+    signed = stored(_keyed(docs).mapInArrow(lean(_signed), _SIGNED), "signed")
     worded = signed.where("set_key is not null")
     classes = stored(worded.groupBy("set_key").agg(
         F.min(F.struct("doc_id", "text_hash", "bytes", "sig")).alias("r"), F.count(F.lit(1)).alias("n"),

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.llm.shared import lean
 from tidewright.llm.words import slices, words_of
 
 LEAST_WORDS, LEAST_PERIODS = 24, 3
@@ -314,7 +315,7 @@ def detected(docs: DataFrame, prepare: Prepare | None = None) -> DataFrame:
                 ["doc_id", "runs", "collapsed"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, f"doc_id long, runs {_RUNS}, collapsed string")
+    return rows.mapInArrow(lean(run), f"doc_id long, runs {_RUNS}, collapsed string")
 
 
 def _beats(a: Column, b: Column) -> Column:

@@ -422,7 +422,7 @@ def _written(spans: str) -> Column:
 
 
 def report(docs: DataFrame, model: Model) -> DataFrame:
-    """Per row: doc_id, base spans of each kind, their digest, and all spans."""
+    """Per row: doc_id, base spans of each kind, their digest, and all spans with their number."""
     told = with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
 
     def count(number: int) -> Column:
@@ -431,7 +431,7 @@ def report(docs: DataFrame, model: Model) -> DataFrame:
     counts = [count(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
     return told.select(
         "doc_id", *counts, F.sha2(_written("__base").cast("binary"), 256).alias("base_sha256"),
-        _written("__spans").alias("spans"),
+        _written("__spans").alias("spans"), F.size("__spans").cast("long").alias("n_spans"),
     )
 
 

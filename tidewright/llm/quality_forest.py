@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.llm.shared import lean
 from tidewright.llm.words import words_of
 
 MIN_WORDS = 50
@@ -230,7 +231,7 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, limit: int = LABELLE
                 [batch.column("quality").cast(pa.int32()), pa.array(list(found))], ["quality", "found"]
             )
 
-    rows = texts.mapInArrow(measure, "quality int, found array<double>")
+    rows = texts.mapInArrow(lean(measure), "quality int, found array<double>")
     # Several rows may share a doc_id; a limit on them as well keeps the driver's share bounded.
     hashed = rows.withColumn("half", F.pmod(F.shiftright(F.xxhash64("found"), 20), F.lit(2)))
     kept = hashed.orderBy(F.xxhash64("found"), "quality").limit(limit).toArrow()
@@ -292,7 +293,7 @@ def verdicts(docs: DataFrame, forest: Forest | None) -> DataFrame:
     longs = ", ".join(f"{c} long" for c in COUNTS)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(
-        run, f"doc_id long, {longs}, base_failed boolean, score double, kept boolean"
+        lean(run), f"doc_id long, {longs}, base_failed boolean, score double, kept boolean"
     )
 
 
@@ -304,4 +305,4 @@ def keep_good(docs: DataFrame, forest: Forest | None) -> DataFrame:
             text = batch.column(batch.schema.get_field_index("text"))
             yield batch.filter(pa.array(judge(text.to_pylist(), forest)[2]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -23,7 +23,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.shared import write_bytes
+from tidewright.llm.shared import lean, write_bytes
 from tidewright.llm.words import Chunks, Recent, slices
 from tidewright.session import work_folder
 
@@ -330,11 +330,6 @@ class Encoder:
         self.written: Recent[tuple[bytes, ...]] = Recent(CACHED_CHUNKS)
         self.forms = {i: (f" {i}".encode(), f" {t}".encode()) for i, t in rules.names.items()}
 
-    def forget(self) -> None:
-        """Lets go of what was remembered; an idle worker keeps its memory otherwise."""
-        for known in (self.pieces, self.packed, self.written):
-            known.clear()
-
     def _pack(self, ids: list[int]) -> tuple[bytes, ...]:
         return (np.array(ids, "<i4").tobytes(),)
 
@@ -398,15 +393,12 @@ def compile_lexicon(docs: DataFrame, rules: Rules, limit: int = LEXICON_WORDS) -
     return Lexicon.compiled(dict(zip(chosen, rules.merged(chosen), strict=True)))
 
 
-_OPEN: dict[str, Encoder] = {}
-
-
 def _encoder(rules_text: str, file_name: str) -> Encoder:
-    """One encoder per worker process, over the executor's copy of the automaton's file."""
-    if file_name not in _OPEN:
-        _OPEN.clear()
-        _OPEN[file_name] = Encoder(Rules(rules_text), Lexicon.mapped(SparkFiles.get(file_name)))
-    return _OPEN[file_name]
+    """A task's encoder, over the executor's copy of the automaton's file.
+
+    Reading the rules takes a tenth of a second, so a worker does not hold them between tasks.
+    """
+    return Encoder(Rules(rules_text), Lexicon.mapped(SparkFiles.get(file_name)))
 
 
 def sent_encoder(docs: DataFrame, tokenizer_file: str, limit: int = LEXICON_WORDS):
@@ -442,10 +434,9 @@ def encoded(docs: DataFrame, tokenizer_file: str, limit: int = LEXICON_WORDS) ->
                  pa.array([coder.decode(i) for i in map(np.ndarray.tolist, ids)], pa.string())],
                 ["doc_id", "ids", "decoded"],
             )
-        coder.forget()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return rows.mapInArrow(lean(run), "doc_id long, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, tokenizer_file: str, limit: int = LEXICON_WORDS,
@@ -466,10 +457,9 @@ def digests(docs: DataFrame, tokenizer_file: str, limit: int = LEXICON_WORDS,
                  *[batch.column(c) for c in also]],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *also],
             )
-        coder.forget()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also)
     more = "".join(f", {c} long" for c in also)
     return rows.mapInArrow(
-        run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}"
+        lean(run), f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}"
     )
