@@ -6,7 +6,7 @@ from test_queries import FOLDER
 
 import __spark_entry__ as entry
 from tidewright.operators import builders, change, quality, skew, timed
-from tidewright.sources import zones
+from tidewright.sources import sketches, zones
 
 PREFIXES = ("dim_", "fact_bridge", "upsert_", "delete_", "check_", "cycle_", "zone_", "newest_")
 NAMES = [n for n in sorted(entry.queries()) if n.startswith(PREFIXES)]
@@ -28,7 +28,11 @@ def large_world(spark, monkeypatch):
             monkeypatch.setattr(module, "broadcast_if_small", lambda df, *limit: df)
     for module in (builders, timed):
         monkeypatch.setattr(module, "measured_bytes", lambda *frames: [1 << 60] * len(frames))
-    monkeypatch.setattr(zones, "KEY_BYTES", 0)
+    monkeypatch.setattr(zones, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(zones, "INLINE_PLACES", 3)
+    monkeypatch.setattr(zones, "FILE_BYTES", 4096)
+    monkeypatch.setattr(zones, "SKETCH_ROWS", 1)
+    monkeypatch.setattr(sketches, "are_small", lambda *frames, **limit: False)
     before = {name: spark.conf.get(name) for name in SETTINGS}
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)

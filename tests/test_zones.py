@@ -28,12 +28,16 @@ def merged(target, source, width):
 
 
 @pytest.mark.parametrize("keys", [["k"], ["k", "j"]])
-@pytest.mark.parametrize("key_bytes", [None, 0])
-def test_merges_equal_their_sequence(spark, folder, monkeypatch, keys, key_bytes):
+@pytest.mark.parametrize(("places", "joined"), [(4000, False), (5, False), (0, True)])
+def test_merges_equal_their_sequence(spark, folder, monkeypatch, keys, places, joined):
+    """Places of dead rows in the manifest, beside it, and joined without a broadcast."""
     rng = random.Random(len(keys))
-    if key_bytes is not None:
-        monkeypatch.setattr(zones, "KEY_BYTES", key_bytes)
-        monkeypatch.setattr(ZoneTable, "_tidy", lambda self, manifest: None)
+    monkeypatch.setattr(zones, "INLINE_PLACES", places)
+    monkeypatch.setattr(ZoneTable, "_tidy", lambda self, manifest: None)
+    if joined:
+        monkeypatch.setattr(zones, "MAX_PLACES", 0)
+        monkeypatch.setattr(zones, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(zones, "FILE_BYTES", 64)
     table = ZoneTable(spark, f"{folder}/t", keys)
     want = rows(rng, 40)
     table.replace(spark.createDataFrame(want, SCHEMA))
@@ -42,6 +46,7 @@ def test_merges_equal_their_sequence(spark, folder, monkeypatch, keys, key_bytes
         assert table.upsert(spark.createDataFrame(delta, SCHEMA)) == size
         want = merged(want, delta, len(keys))
         assert bag(table.read()) == Counter(want)
+        assert table.current().live_rows() == len(want)
     assert len(table.current().segments) == 4
     table.fold()
     assert len(table.current().segments) == 2 and bag(table.read()) == Counter(want)
@@ -49,10 +54,129 @@ def test_merges_equal_their_sequence(spark, folder, monkeypatch, keys, key_bytes
     table.upsert(spark.createDataFrame(delta, SCHEMA))
     want = merged(want, delta, len(keys))
     assert bag(table.read()) == Counter(want)
+    table.vacuum(keep=1)
+    assert bag(table.read()) == Counter(want)
     table.compact()
     assert len(table.current().segments) == 1 and bag(table.read()) == Counter(want)
 
 
+def files_read(df):
+    """The files that scanning a frame opens, by their names."""
+    return {f.rsplit("/", 1)[-1] for f in df.inputFiles()}
+
+
+def clustered(spark, folder, monkeypatch, rows=20_000):
+    """A table of many files, by ranges of key bucket and time."""
+    monkeypatch.setattr(zones, "FILE_BYTES", 16_000)
+    table = ZoneTable(spark, f"{folder}/t", ["k"], "ts")
+    hours = "timestamp_ntz '2024-01-01' + make_dt_interval(0, cast(id % 5000 as int))"
+    df = spark.range(rows).selectExpr("id as k", f"{hours} as ts", "id as v")
+    df.write.parquet(f"{folder}/source")
+    table.replace(spark.read.parquet(f"{folder}/source"))
+    return table, df
+
+
+def test_a_window_opens_few_files(spark, folder, monkeypatch):
+    table, df = clustered(spark, folder, monkeypatch)
+    files = [f for s in table.current().segments for f in s.files]
+    assert len(files) >= 9
+    cycle = Cycle.of("2024-03-01", "2024-03-02")
+    inside = "ts >= '2024-03-01' and ts < '2024-03-02'"
+    near = table.read_within(cycle)
+    assert len(files_read(near)) <= len(files) // 2
+    assert bag(near.where(inside)) == bag(df.where(inside))
+    # A merge changes times: rows that moved out of the window are dead, those that moved in are found.
+    moved = df.where("k % 1000 = 7").withColumn("ts", F.expr("timestamp_ntz '2024-03-01 05:00:00'"))
+    table.upsert(moved)
+    want = df.where("k % 1000 <> 7").union(moved).where(inside)
+    near = table.read_within(cycle)
+    assert bag(near.where(inside)) == bag(want) and bag(table.read().where(inside)) == bag(want)
+    assert len(files_read(near)) < len(files_read(table.read()))
+    later = table.read_within(Cycle.of("2030-01-01", "2030-02-01"))
+    assert later.count() == 0 and not files_read(later)
+
+
+def test_a_merge_looks_into_few_files(spark, folder, monkeypatch):
+    table, df = clustered(spark, folder, monkeypatch)
+    files = [f for s in table.current().segments for f in s.files]
+    looked = []
+    live = ZoneTable._live
+
+    def spy(self, manifest, segments, wanted=lambda file: True, placed=False):
+        if placed:
+            looked.append({f.name for s in segments for f in s.files if wanted(f)})
+        return live(self, manifest, segments, wanted, placed)
+
+    monkeypatch.setattr(ZoneTable, "_live", spy)
+    table.upsert(df.where("k = 11"))
+    assert 0 < len(looked[-1]) <= len(files) // 2
+    table.upsert(df.where("k = 12").withColumn("k", F.lit(10**9)))
+    assert looked[-1] == set()
+    # No key is joined when the table is read, and untouched files are read as they are.
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert table.read().count() == 20_001
+    dirty = [f for s in table.current().segments for f in s.files if f.dead]
+    assert len(dirty) == 1
+
+
+def test_zone_maps_tell_the_files_apart(spark, folder, monkeypatch):
+    table, df = clustered(spark, folder, monkeypatch, 3000)
+    for f in table.current().segments[0].files:
+        path = f"{folder}/t/{table.current().segments[0].path}/{f.name}"
+        r = spark.read.parquet(path).selectExpr(
+            "count(*) n", "min(k) k0", "max(k) k1", "min(ts) t0", "max(ts) t1").first()
+        assert (f.rows, f.key) == (r.n, (r.k0, r.k1))
+        assert f.ts == tuple(x.strftime("%Y-%m-%d %H:%M:%S.%f") for x in (r.t0, r.t1))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_unique_keys_as_a_full_check_finds_them(spark, folder, monkeypatch, seed):
+    monkeypatch.setattr(zones, "SKETCH_ROWS", 1)
+    rng = random.Random(seed)
+    table = ZoneTable(spark, f"{folder}/t", ["k"], uniques=[("a", "b")])
+    schema = "k int, a string, b int"
+    want = [(k, f"n{k}", rng.choice([None, k])) for k in range(30)]
+    table.replace(spark.createDataFrame(want, schema))
+    refused = 0
+    for _ in range(6):
+        delta = [(k, f"n{rng.choice([k, rng.randrange(60)])}", rng.choice([None, rng.randrange(60), k]))
+                 for k in rng.sample(range(60), 4)]
+        after = merged(want, delta, 1)
+        values = Counter(r[1:] for r in after if None not in r[1:])
+        try:
+            table.upsert(spark.createDataFrame(delta, schema))
+            assert max(values.values()) == 1
+            want = after
+        except ConstraintViolation:
+            assert max(values.values()) > 1
+            refused += 1
+        assert bag(table.read()) == Counter(want)
+    # A sure collision, and one with a row that the same merge replaces.
+    taken = next(r for r in want if r[2] is not None)
+    with pytest.raises(ConstraintViolation):
+        table.upsert(spark.createDataFrame([(999, *taken[1:])], schema))
+    table.upsert(spark.createDataFrame([(taken[0], "else", 1), (999, *taken[1:])], schema))
+    assert table.read().where("k = 999").count() == 1
+
+
+def test_segments_without_the_value_are_not_read(spark, folder, monkeypatch):
+    monkeypatch.setattr(zones, "SKETCH_ROWS", 1)
+    table = ZoneTable(spark, f"{folder}/t", ["k"], uniques=[("name",)])
+    named = spark.range(3000).selectExpr("id as k", "concat('n', id) as name")
+    table.replace(named)
+    found = []
+    holders = ZoneTable.holders
+    monkeypatch.setattr(ZoneTable, "holders", lambda *a: found.append(holders(*a)) or found[-1])
+    table.upsert(spark.createDataFrame([(5000, "fresh")], "k bigint, name string"))
+    assert found[-1] == []
+    table.upsert(spark.createDataFrame([(5001, None)], "k bigint, name string"))
+    assert found[-1] == []
+    with pytest.raises(ConstraintViolation):
+        table.upsert(spark.createDataFrame([(5002, "n17")], "k bigint, name string"))
+    assert [s.rows for s in found[-1]] == [3000]
+
+
 def test_merging_writes_the_delta_only(spark, folder):
     table = ZoneTable(spark, f"{folder}/t", ["id"])
     table.replace(spark.range(1000))
@@ -66,11 +190,9 @@ def test_reader_does_not_shuffle_the_base(spark, folder):
     table = ZoneTable(spark, f"{folder}/t", ["id"])
     table.replace(spark.range(1000))
     table.upsert(spark.range(5))
-    plan = table.read()._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     table.upsert(spark.range(3, 9))
     plan = table.read()._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan
+    assert "Join" not in plan and "Exchange" not in plan
 
 
 def test_filters_reach_the_segments(spark, folder):
@@ -132,7 +254,7 @@ def test_many_deltas_are_folded(spark, folder, monkeypatch):
     table.upsert(spark.range(3))
     table.upsert(spark.range(2, 5))
     assert [s.rows for s in table.current().segments] == [1000, 5]
-    assert table.current().segments[0] == base and table.read().count() == 1000
+    assert table.current().segments[0].path == base.path and table.read().count() == 1000
     assert len(table.vacuum(keep=1)) == 2 and table.read().count() == 1000
 
 
@@ -146,14 +268,13 @@ def test_large_deltas_compact(spark, folder, monkeypatch):
     assert [s.rows for s in table.current().segments] == [105]
 
 
-def test_keys_too_large_to_broadcast_compact(spark, folder, monkeypatch):
-    monkeypatch.setattr(zones, "KEY_BYTES", 100)
+def test_many_places_compact(spark, folder, monkeypatch):
+    monkeypatch.setattr(zones, "INLINE_PLACES", 2)
+    monkeypatch.setattr(zones, "MAX_PLACES", 10)
     table = ZoneTable(spark, f"{folder}/t", ["id"])
     table.replace(spark.range(1000))
-    table.upsert(spark.range(3))
-    # Six rows are too many, but they hold the same three keys.
-    table.upsert(spark.range(3))
-    assert [s.rows for s in table.current().segments] == [1000, 3]
+    table.upsert(spark.range(6))
+    assert len(table.current().dead) == 1 and table.read().count() == 1000
     table.upsert(spark.range(990, 1010))
     assert len(table.current().segments) == 1 and table.read().count() == 1010
 

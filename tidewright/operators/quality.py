@@ -40,7 +40,7 @@ def duplicate_uniques(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return duplicate_keys(df.dropna(subset=list(columns)), columns)
 
 
-def _refuse(found: DataFrame, what: str) -> None:
+def refuse(found: DataFrame, what: str) -> None:
     sample = found.limit(SAMPLE_ROWS).collect()
     if sample:
         raise ConstraintViolation(f"{what}: " + "; ".join(str(r.asDict()) for r in sample))
@@ -56,10 +56,10 @@ def require_keys(
     df: DataFrame, keys: Sequence[str], uniques: Sequence[Sequence[str]] = (), name: str = "table"
 ) -> None:
     """Refuses a whole table that breaks its primary key or one of its unique keys."""
-    _refuse(primary_key_violations(df, keys), f"{name}: duplicate or NULL primary key")
+    refuse(primary_key_violations(df, keys), f"{name}: duplicate or NULL primary key")
     for columns in uniques:
         found = duplicate_uniques(df.select(*columns), columns)
-        _refuse(found, f"{name}: duplicate {list(columns)}")
+        refuse(found, f"{name}: duplicate {list(columns)}")
 
 
 def require_keys_after_upsert(
@@ -73,15 +73,16 @@ def require_keys_after_upsert(
 
     A primary key can then only break inside the delta. A unique key can only break at a value
     the delta holds, so the merged table is reduced to those values before it is counted; if
-    they do not fit a broadcast, all of its values are counted.
+    they do not fit a broadcast, all of its values are counted. Zone tables check their unique keys
+    themselves, as they know which segments may hold a value.
     """
-    _refuse(primary_key_violations(delta, keys), f"{name}: duplicate or NULL primary key")
+    refuse(primary_key_violations(delta, keys), f"{name}: duplicate or NULL primary key")
     for columns in uniques:
         at_risk = merged.select(*columns)
         values = delta.select(*columns).dropna()
         if are_small(values):
             at_risk = at_risk.join(F.broadcast(values), list(columns), "left_semi")
-        _refuse(duplicate_uniques(at_risk, columns), f"{name}: duplicate {list(columns)}")
+        refuse(duplicate_uniques(at_risk, columns), f"{name}: duplicate {list(columns)}")
 
 
 def orphans(

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,19 +19,22 @@ class Timed:
     """Rows with the change times of every input they were made from.
 
     Where `df` is costly to make, `probe` may name a frame with the same key columns, and at
-    least as many rows per key, in which hot keys can be looked for instead.
+    least as many rows per key, in which hot keys can be looked for instead. `near` hands out the
+    part of `df` that may have changed in a cycle, if its source can tell that without reading it.
     """
 
     df: DataFrame
     ts: tuple[str, ...]
     probe: DataFrame | None = None
+    near: Callable[[Cycle], DataFrame] | None = None
 
     def keys(self, *on: str) -> DataFrame:
         return (self.df if self.probe is None else self.probe).select(*on)
 
     def changed(self, cycle: Cycle) -> DataFrame:
         """Rows with any input inside the cycle."""
-        return self.df.where(any_in_cycle(self.ts, cycle))
+        rows = self.df if self.near is None else self.near(cycle)
+        return rows.where(any_in_cycle(self.ts, cycle))
 
     def unchanged(self, cycle: Cycle) -> DataFrame:
         rest = self.df
@@ -54,6 +57,27 @@ def timed(df: DataFrame, ts: str, name: str, columns: Sequence[str] | None = Non
     return Timed(df.select(*kept, F.col(ts).alias(name)), (name,))
 
 
+def timed_table(
+    source: Callable[[str], DataFrame], table: str, ts: str, name: str,
+    columns: Sequence[str] | None = None, renamed: tuple[str, str] | None = None,
+) -> Timed:
+    """`timed` for a table of a source; one that knows its files' times reads only those near a cycle."""
+
+    def of(df: DataFrame) -> Timed:
+        return timed(df.withColumnRenamed(*renamed) if renamed else df, ts, name, columns)
+
+    whole, within = of(source(table)), getattr(source, "within", None)
+    if within is None:
+        return whole
+    return replace(whole, near=lambda cycle: of(within(table, cycle)).df)
+
+
+def table_in_cycle(source: Callable[[str], DataFrame], table: str, cycle: Cycle | None) -> DataFrame:
+    """A table, or the part of it that may hold rows of a cycle."""
+    within = getattr(source, "within", None)
+    return source(table) if cycle is None or within is None else within(table, cycle)
+
+
 def combine(
     left: Timed,
     right: Timed,

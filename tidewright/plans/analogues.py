@@ -56,7 +56,7 @@ from tidewright.operators.reports import (
     schema_ddl,
     table_row_counts,
 )
-from tidewright.operators.timed import Timed, timed
+from tidewright.operators.timed import Timed, timed, timed_table
 from tidewright.plans.checks import checks_from_files
 from tidewright.plans.cycle import Warehouse
 from tidewright.session import work_folder
@@ -510,10 +510,10 @@ CUSTOMERS = TableSpec("customer", ("c_custkey",), "c_ts")
 
 
 def _order_dim(read, cycle: Cycle | None = None) -> DataFrame:
-    orders = read("orders").withColumnRenamed("o_custkey", "c_custkey")
     return lookup(
-        timed(orders, "o_orderdate", "order_ts", ["o_orderkey", "o_orderstatus", "c_custkey"]),
-        timed(read("customer"), "c_ts", "customer_ts", ["c_custkey", "c_name"]),
+        timed_table(read, "orders", "o_orderdate", "order_ts",
+                    ["o_orderkey", "o_orderstatus", "c_custkey"], renamed=("o_custkey", "c_custkey")),
+        timed_table(read, "customer", "c_ts", "customer_ts", ["c_custkey", "c_name"]),
         ["c_custkey"],
         ["o_orderkey", "o_orderstatus", "c_custkey", "c_name"],
         "last_update",

@@ -119,11 +119,11 @@ class Warehouse:
 
         def copy(spec: TableSpec) -> int:
             n = self.raw.table(spec.name, spec.keys).replace(snapshot(self.source(spec.name)))
-            self.staging.table(spec.name, spec.keys).replace(self.raw.read(spec.name))
+            self.staging.table(spec.name, spec.keys, spec.ts).replace(self.raw.read(spec.name))
             return n
 
         def build(spec: TargetSpec) -> int:
-            return self.dw.table(spec.name, spec.keys).replace(
+            return self.dw.table(spec.name, spec.keys, uniques=spec.uniques).replace(
                 self._builders[spec.name](self.raw.read, None),
                 lambda df: require_keys(df, spec.keys, spec.uniques, spec.name),
             )
@@ -147,7 +147,7 @@ class Warehouse:
         changed = [spec for spec, n in counted if n > 0]
         self._each(
             EXTRACT_LOAD, cycle, changed,
-            lambda spec: self.staging.table(spec.name, spec.keys)
+            lambda spec: self.staging.table(spec.name, spec.keys, spec.ts)
             .upsert(self.raw.read(spec.name)),
         )
         return changed_tables({s.name: (self.raw.read(s.name), s.keys) for s in self.sources})
@@ -175,10 +175,11 @@ class Warehouse:
             delta_table = self.deltas.table(spec.name, spec.keys)
             reach = windows.get(spec.name, cycle).reach_back(self.lookback)
             delta_table.replace(self._delta(spec, reach).hint("rebalance"))
-            return self.dw.table(spec.name, spec.keys).upsert(
+            # The table checks its unique keys itself, in the segments that may hold a new value.
+            return self.dw.table(spec.name, spec.keys, uniques=spec.uniques).upsert(
                 delta_table.read(),
                 lambda merged, rows: require_keys_after_upsert(
-                    merged, rows, spec.keys, spec.uniques, spec.name
+                    merged, rows, spec.keys, name=spec.name
                 ),
             )
 
@@ -187,8 +188,8 @@ class Warehouse:
     def _delta(self, spec: TargetSpec, cycle: Cycle) -> DataFrame:
         builder = self._builders[spec.name]
         if builder is actor_dim and self.qualifier_scope == GROUP_SCOPE:
-            return actor_dim(self.staging.read, cycle, self.dw.read(spec.name))
-        return builder(self.staging.read, cycle)
+            return actor_dim(self.staging, cycle, self.dw.read(spec.name))
+        return builder(self.staging, cycle)
 
     def run_cycle(self, cycle: Cycle) -> DataFrame:
         """One whole cycle. Running it again leaves the warehouse as it is."""

@@ -14,7 +14,7 @@ from tidewright.operators.builders import (
     qualifier,
     snowflake,
 )
-from tidewright.operators.timed import timed
+from tidewright.operators.timed import table_in_cycle, timed_table
 from tidewright.sources.extract import Source
 
 Builder = Callable[[Source, Cycle | None], DataFrame]
@@ -22,7 +22,7 @@ TS = "last_update"
 
 
 def category_dim(source: Source, cycle: Cycle | None = None) -> DataFrame:
-    return passthrough(source("category"), TS, cycle)
+    return passthrough(table_in_cycle(source, "category", cycle), TS, cycle)
 
 
 def actor_dim(
@@ -32,17 +32,18 @@ def actor_dim(
 
     Without `current`, a cycle numbers only the actors it changed.
     """
+    # Given the dimension, members of a touched group may have changed long ago.
+    actors = source("actor") if current is not None else table_in_cycle(source, "actor", cycle)
     return qualifier(
-        source("actor"), "actor_id", ["first_name", "last_name"], TS, cycle, current
+        actors, "actor_id", ["first_name", "last_name"], TS, cycle, current
     )
 
 
 def film_dim(source: Source, cycle: Cycle | None = None) -> DataFrame:
-    film = timed(source("film"), TS, "film_ts")
-    language = source("language").withColumnRenamed("name", "language")
     return lookup(
-        film,
-        timed(language, TS, "language_ts", ["language_id", "language"]),
+        timed_table(source, "film", TS, "film_ts"),
+        timed_table(source, "language", TS, "language_ts", ["language_id", "language"],
+                    renamed=("name", "language")),
         ["language_id"],
         ["film_id", "title", "description", "release_year", "language", "rental_duration",
          "rental_rate", "length", "replacement_cost", "rating"],
@@ -53,11 +54,12 @@ def film_dim(source: Source, cycle: Cycle | None = None) -> DataFrame:
 
 def store_dim(source: Source, cycle: Cycle | None = None, both: bool = False) -> DataFrame:
     """Stores with their address flattened; `both` selects the narrower delta form."""
-    store = timed(source("store"), TS, "store_ts", ["store_id", "manager_staff_id", "address_id"])
-    city = timed(source("city"), TS, "city_ts", ["city_id", "city", "country_id"])
-    country = timed(source("country"), TS, "country_ts", ["country_id", "country"])
-    address = timed(
-        source("address"), TS, "address_ts",
+    store = timed_table(
+        source, "store", TS, "store_ts", ["store_id", "manager_staff_id", "address_id"])
+    city = timed_table(source, "city", TS, "city_ts", ["city_id", "city", "country_id"])
+    country = timed_table(source, "country", TS, "country_ts", ["country_id", "country"])
+    address = timed_table(
+        source, "address", TS, "address_ts",
         ["address_id", "address", "address2", "district", "postal_code", "phone", "city_id"],
     )
     return snowflake(
@@ -74,10 +76,10 @@ def store_dim(source: Source, cycle: Cycle | None = None, both: bool = False) ->
 def film_fact(source: Source, cycle: Cycle | None = None) -> DataFrame:
     """One row per film, actor and category."""
     return bridge(
-        timed(source("film_actor"), TS, "film_actor_ts", ["film_id", "actor_id"]),
-        timed(source("film"), TS, "film_ts", ["film_id"]),
-        timed(source("film_category"), TS, "film_category_ts", ["film_id", "category_id"]),
-        timed(source("category"), TS, "category_ts", ["category_id"]),
+        timed_table(source, "film_actor", TS, "film_actor_ts", ["film_id", "actor_id"]),
+        timed_table(source, "film", TS, "film_ts", ["film_id"]),
+        timed_table(source, "film_category", TS, "film_category_ts", ["film_id", "category_id"]),
+        timed_table(source, "category", TS, "category_ts", ["category_id"]),
         "film_id",
         "category_id",
         ["film_id", "actor_id", "category_id"],
@@ -87,7 +89,7 @@ def film_fact(source: Source, cycle: Cycle | None = None) -> DataFrame:
 
 
 def inventory_fact(source: Source, cycle: Cycle | None = None) -> DataFrame:
-    return passthrough(source("inventory"), TS, cycle)
+    return passthrough(table_in_cycle(source, "inventory", cycle), TS, cycle)
 
 
 BUILDERS: Mapping[str, Builder] = {
