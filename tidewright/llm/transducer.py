@@ -32,7 +32,7 @@ from tidewright.session import work_folder
 LEXICON_WORDS = 100_000
 LEXICON_LENGTH = 40
 # Pieces and chunks a task remembers (twice as many at most).
-CACHED_CHUNKS = 60_000
+CACHED_CHUNKS = 30_000
 # Text worked on at a time; each distinct chunk of it is held in three forms.
 SLICE_BYTES = 4 << 20
 
