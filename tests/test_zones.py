@@ -120,6 +120,15 @@ def test_a_merge_looks_into_few_files(spark, folder, monkeypatch):
     assert len(dirty) == 1
 
 
+def test_rows_of_some_keys_come_from_few_files(spark, folder, monkeypatch):
+    table, df = clustered(spark, folder, monkeypatch)
+    table.upsert(df.where("k = 11").withColumn("v", F.lit(-1)))
+    found = table.matching(spark.createDataFrame([(11, 1), (12, 1), (10**7, 2), (None, 3)], "k bigint, x int"))
+    assert sorted((r.k, r.v) for r in found.collect()) == [(11, -1), (12, 12)]
+    assert len(files_read(table.matching(spark.range(11, 12).toDF("k")))) < len(files_read(table.read()))
+    assert table.matching(spark.createDataFrame([(None,)], "k bigint")).count() == 0
+
+
 def test_zone_maps_tell_the_files_apart(spark, folder, monkeypatch):
     table, df = clustered(spark, folder, monkeypatch, 3000)
     for f in table.current().segments[0].files:

@@ -19,6 +19,7 @@ from tidewright.operators.sizing import (
     fit,
     measured_bytes,
     row_counts,
+    seems_small,
 )
 from tidewright.operators.skew import (
     hot_groups,
@@ -154,6 +155,21 @@ def snowflake(
             joined = spread_join(changed, any_changed, on, hot_left=hot)
         return joined.select(*columns, time)
 
+    tables = [table for table, _ in lookups]
+    if all(seems_small(t.df, limit) for t in tables):
+        # One job measures the lookups, their changes and those of the rows.
+        measured = measured_bytes(
+            changed, *[t.changed(cycle) for t in tables], *[t.df for t in tables])
+        of_rows, of_changes = measured[0], measured[1 : 1 + len(tables)]
+        if not any(of_changes):
+            # No lookup changed: nothing but the changed rows is read.
+            few = F.broadcast(changed) if fit([of_rows], limit) else changed
+            return _down_the_chain(few, lookups, bounded=True).select(*columns, time)
+        if fit(measured[1 + len(tables) :], limit):
+            flat = _flat_of_small(lookups).as_one(_FLAT_TS)
+            joined = rows.df.join(F.broadcast(flat.df), list(on))
+            return joined.where(any_in_cycle((*rows.ts, _FLAT_TS), cycle)).select(*columns, flat_time)
+
     # The newest lookup time can only lie inside the cycle if one of them does.
     any_changed = Timed(_changed_chain(nearest, chain, cycle, limit), lookup_ts)
     flat_changed = any_changed.as_one(_FLAT_TS).changed(cycle)
@@ -177,12 +193,24 @@ def _changed_chain(
     return join_changed(nearest, flatten(rest, following), on, cycle, limit=limit)
 
 
+def _flat_of_small(lookups: Sequence[tuple[Timed, Sequence[str]]]) -> Timed:
+    """The flattened chain of lookups that were measured to fit a broadcast together."""
+    (nearest, _), chain = lookups[0], lookups[1:]
+    flat, ts = nearest.df, nearest.ts
+    for following, keys in chain:
+        flat, ts = flat.join(F.broadcast(following.df), list(keys)), ts + following.ts
+    return Timed(flat, ts)
+
+
 def _down_the_chain(
-    few: DataFrame, lookups: Sequence[tuple[Timed, Sequence[str]]]
+    few: DataFrame, lookups: Sequence[tuple[Timed, Sequence[str]]], bounded: bool = False
 ) -> DataFrame:
-    """A small set of rows joined to each lookup in turn, so that only their entries are met."""
+    """A small set of rows joined to each lookup in turn, so that only their entries are met.
+
+    With `bounded` the caller has seen to its hints.
+    """
     (nearest, on), chain = lookups[0], lookups[1:]
-    joined = F.broadcast(few).join(nearest.df, list(on))
+    joined = (few if bounded else F.broadcast(few)).join(nearest.df, list(on))
     for following, keys in chain:
         joined = joined.join(following.df, list(keys))
     return joined

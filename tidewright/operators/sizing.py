@@ -44,6 +44,17 @@ def measured_bytes(*frames: DataFrame) -> list[int | None]:
     return [found.get(i) for i in range(len(frames))]
 
 
+def seems_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether Catalyst's estimate, which costs no job, leaves it worth measuring the whole frame."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
+
+
+def read_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of what a frame reads: the sum of its sources, as joins have none of use."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
 def fit(sizes: Sequence[int | None], limit: int = BROADCAST_BYTES) -> bool:
     """True when frames of these sizes together fit a broadcast of `limit` bytes."""
     return all(s is not None for s in sizes) and sum(sizes) <= limit

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.windows import Cycle, any_in_cycle, in_cycle, newest, not_in_cycle
-from tidewright.operators.sizing import BROADCAST_BYTES, fit, measured_bytes
+from tidewright.operators.sizing import BROADCAST_BYTES, fit, measured_bytes, seems_small
 from tidewright.operators.skew import NONE_HOT, HotKeys, hot_keys, spread_join
 
 
@@ -102,11 +102,13 @@ def join_changed(
     """Joined rows in which the left or the right row changed in the cycle.
 
     A filter `left changed or right changed` above the join reaches neither scan, so the join
-    would read, shuffle and pair everything first. Two forms avoid that:
+    would read, shuffle and pair everything first. Three forms avoid that:
 
-    * Both changed sets fit a broadcast of `limit` bytes: changed left rows against all right
-      rows, plus unchanged left rows against changed right rows. Both window filters reach
-      their scans and no large table is shuffled. A side without changes is left out.
+    * The right side as a whole fits a broadcast of `limit` bytes, and some of it changed: every left
+      row has to be looked at, so it is, once, against all right rows.
+    * Both changed sets fit: changed left rows against all right rows, plus unchanged left rows
+      against changed right rows. Both window filters reach their scans and no large table is
+      shuffled. A side without changes is left out, and then only the changes are read.
     * Otherwise (and without a limit) one shuffled join in which pairs of two unchanged rows
       never meet: a left row asks either for all right rows or for the changed ones only.
 
@@ -116,7 +118,12 @@ def join_changed(
     on = list(on)
     if limit is not None:
         changes = left.changed(cycle), right.changed(cycle)
-        sizes = measured_bytes(*changes)
+        whole = [right.df] if seems_small(right.df, limit) else []
+        measured = measured_bytes(*changes, *whole)
+        sizes, whole_size = measured[:2], measured[2:]
+        if whole and fit(whole_size, limit) and sizes[1]:
+            joined = left.df.join(F.broadcast(right.df), on)
+            return joined.where(any_in_cycle(left.ts + right.ts, cycle))
         if fit(sizes, limit):
             from_left = F.broadcast(changes[0]).join(right.df, on)
             from_right = left.unchanged(cycle).join(F.broadcast(changes[1]), on)

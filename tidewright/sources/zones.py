@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from tidewright.functions.windows import Cycle
 from tidewright.operators.change import aligned
 from tidewright.operators.quality import duplicate_uniques, refuse
-from tidewright.operators.sizing import BROADCAST_BYTES, are_small
+from tidewright.operators.sizing import BROADCAST_BYTES, are_small, read_bytes
 from tidewright.operators.skew import hot_keys, key_hash, spread_join
 from tidewright.sources import sketches
 from tidewright.sources.files import Folder
@@ -42,7 +42,7 @@ MAX_DELTA_SHARE = 0.2
 MIN_DELTA_ROWS = 1_000_000
 MAX_PLACES = 4_000_000
 # Places kept in the manifest itself, and the files they may lie in; readers get them as literals.
-INLINE_PLACES, INLINE_FILES = 4_000, 64
+INLINE_PLACES, INLINE_FILES = 2_000, 64
 # Key buckets a file's range is told by, and the size of file that segments are cut into.
 BUCKETS = 4096
 FILE_BYTES = 256 << 20
@@ -204,10 +204,10 @@ class ZoneTable:
     def _laid_out(self, df: DataFrame, keys: Sequence[str], kind: str) -> DataFrame:
         """Large frames by ranges of key bucket and change time, about `FILE_BYTES` a file.
 
-        The size is Catalyst's estimate and only decides the layout. A time that many rows share is
-        split by the key's hash.
+        The size is that of the frame's sources and only decides the layout. A time that many rows
+        share is split by the key's hash.
         """
-        estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        estimate = read_bytes(df)
         files = ceil(estimate / FILE_BYTES)
         if files <= 1 or estimate > 1 << 50 or not (keys or self._has_ts(df.schema)):
             # Rows of a delta lie scattered over the splits of a large scan; even them out so
@@ -329,7 +329,9 @@ class ZoneTable:
             alive = F.lit(True)
             for _, f in files:
                 if f.dead:
-                    alive = F.when(file == f.name, ~place.isin(list(f.dead))).otherwise(alive)
+                    # One text for all places; a literal each would be a call each.
+                    listed_there = F.expr(f"_metadata.row_index IN ({','.join(map(str, f.dead))})")
+                    alive = F.when(file == f.name, ~listed_there).otherwise(alive)
             return scan(files).where(alive)
 
         parts = []
@@ -358,44 +360,67 @@ class ZoneTable:
 
     # Merging
 
-    def _replaced(self, manifest: Manifest, segment: Segment, written: DataFrame) -> DataFrame:
-        """Places of live rows whose key the delta holds, from files that may hold it.
+    def _matching(self, manifest: Manifest, fresh: DataFrame, small: bool,
+                  span: tuple[int, int] | None) -> DataFrame:
+        """Live rows whose key is among `fresh`, with their places, from files that may hold it.
 
-        A key with a NULL equals no other, so such rows are never replaced.
+        `span` is the range of the first key, if known.
         """
         keys = list(manifest.keys)
-        fresh = written.select(*keys).dropna()
-        keyed = [f for f in segment.files if f.buckets]
         files = [f for s in manifest.segments for f in s.files]
-        narrow = any(f.buckets and f.buckets[1] - f.buckets[0] < BUCKETS // 2 for f in files)
         hit: list[int] | None = None
-        if narrow:
+        if any(f.buckets and f.buckets[1] - f.buckets[0] < BUCKETS // 2 for f in files):
             # At most `BUCKETS` numbers.
             found = fresh.select(self._bucket(fresh, keys).alias("b")).distinct()
             hit = sorted(r["b"] for r in found.collect())
-        span = None
-        if keyed and all(f.key for f in keyed):
-            span = min(f.key[0] for f in keyed), max(f.key[1] for f in keyed)
 
         def may_hold(file: DataFile) -> bool:
-            if file.buckets is None or not keyed or not _overlap(file.key, span):
+            if file.buckets is None or not _overlap(file.key, span):
                 return False
             return hit is None or any(file.buckets[0] <= b <= file.buckets[1] for b in hit)
 
         old = self._live(manifest, manifest.segments, may_hold, placed=True)
         if span is not None:
             old = old.where(F.col(f"`{keys[0]}`").between(*span))
-        old = old.select(*keys, "__file", "__place")
+        if small:
+            return old.join(F.broadcast(fresh), keys, "left_semi")
+        hot = hot_keys(old.select(*keys).dropna(), keys)
+        return spread_join(old.dropna(subset=keys), fresh.distinct(), keys, "left_semi", hot)
+
+    def _replaced(self, manifest: Manifest, segment: Segment, written: DataFrame) -> DataFrame:
+        """Places of live rows whose key the delta holds.
+
+        A key with a NULL equals no other, so such rows are never replaced.
+        """
+        keys = list(manifest.keys)
+        fresh = written.select(*keys).dropna()
+        keyed = [f for f in segment.files if f.buckets]
+        if not keyed:
+            return self.spark.createDataFrame([], _PLACE)
+        spans = [f.key for f in keyed]
+        span = (min(k[0] for k in spans), max(k[1] for k in spans)) if all(spans) else None
         text = any(isinstance(manifest.schema[k].dataType, (T.StringType, T.BinaryType)) for k in keys)
         small = segment.rows * _KEY_WIDTH * len(keys) <= BROADCAST_BYTES and (
             not text or are_small(fresh))
-        if small:
-            met = old.join(F.broadcast(fresh), keys, "left_semi")
-        else:
-            hot = hot_keys(old.select(*keys).dropna(), keys)
-            met = spread_join(old.dropna(subset=keys), fresh.distinct(), keys, "left_semi", hot)
+        met = self._matching(manifest, fresh, small, span)
         return met.select(F.col("__file").alias("file"), F.col("__place").cast("bigint").alias("place"))
 
+    def matching(self, keys_of: DataFrame) -> DataFrame:
+        """The table's rows whose key occurs in another frame, from the files that may hold it."""
+        manifest = self._require()
+        first = manifest.keys[0]
+        fresh = keys_of.select(*manifest.keys).dropna()
+        whole = isinstance(manifest.schema[first].dataType, _WHOLE) and isinstance(
+            fresh.schema[first].dataType, _WHOLE)
+        span = None
+        if whole:
+            r = fresh.agg(F.min(first).alias("low"), F.max(first).alias("high")).first()
+            if r["low"] is None:
+                return self._live(manifest, ())
+            span = (r["low"], r["high"])
+        met = self._matching(manifest, fresh, are_small(fresh), span)
+        return met.select(*[f"`{f.name}`" for f in manifest.schema.fields])
+
     def _marked(self, manifest: Manifest, found: DataFrame) -> Manifest:
         """The manifest with more dead rows, in itself while they are few."""
         files = [f for s in manifest.segments for f in s.files]

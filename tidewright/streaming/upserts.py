@@ -23,14 +23,21 @@ def upsert_stream(
 
     Of the versions of a row in a batch and in the table the last by `order` stays, so batches
     may come out of order. The batch number is published together with the rows, so a batch that
-    runs again after a failure is skipped. Segments no longer needed are removed. Without `every` (such as "10 minutes") the query takes what is there and ends.
+    runs again after a failure is skipped. Segments no longer needed are removed. Without `every` (such
+    as "10 minutes") the query takes what is there and ends.
+
+    Only files of the table that may hold a key of the batch are read, and the batch is kept while
+    it is looked at.
     """
 
     def publish(batch: DataFrame, number: int) -> None:
-        keys = batch.select(*table.keys).distinct()
-        stored = table.read().join(keys, list(table.keys), "left_semi").select(*batch.columns)
-        rows = newest_per_key(batch.unionByName(stored), table.keys, order)
-        table.upsert(rows, batch=(name, number))
+        newest = newest_per_key(batch, table.keys, order).persist()
+        try:
+            stored = table.matching(newest).select(*batch.columns)
+            rows = newest_per_key(newest.unionByName(stored), table.keys, order)
+            table.upsert(rows, batch=(name, number))
+        finally:
+            newest.unpersist()
         table.vacuum()
 
     writer = stream.writeStream.foreachBatch(publish).queryName(name) \
