@@ -50,12 +50,14 @@ from tidewright.operators.quality import (
     orphans,
     sample,
 )
+from tidewright.operators.removals import removed
 from tidewright.operators.reports import (
     changed_tables,
     cycle_counts,
     schema_ddl,
     table_row_counts,
 )
+from tidewright.operators.signed import bridge_change, counted, signed, with_change
 from tidewright.operators.timed import Timed, timed, timed_table
 from tidewright.plans.checks import checks_from_files
 from tidewright.plans.cycle import Warehouse
@@ -391,6 +393,69 @@ def fact_bridge_delta(spark: SparkSession, folder: str) -> DataFrame:
     return _film_fact(spark, folder, HALF_YEAR)
 
 
+def _lines_without(lines: DataFrame, flag: str, start: str, upto: str) -> DataFrame:
+    """Lines but those of a return flag that were shipped in a window."""
+    gone = (F.col("l_returnflag") == flag) & in_cycle("l_shipdate", Cycle.of(start, upto))
+    return lines.where(~gone)
+
+
+@_query
+def fact_bridge_signed(spark: SparkSession, folder: str) -> DataFrame:
+    """The bridge after lines were added and others withdrawn, from the signed changes of its links.
+
+    Before, lines flagged N of spring 2000 were not there yet; after, those flagged A or R of 1994's
+    first half are gone.
+    """
+    lines = parquet_source(spark, folder)("lineitem")
+    after = _lines_without(_lines_without(lines, "A", "1994-01-01", "1994-07-01"),
+                           "R", "1994-01-01", "1994-07-01")
+    before = _lines_without(lines, "N", "2000-03-01", "2000-06-01")
+    spring, fall = Cycle.of("2000-03-01", "2000-06-01"), Cycle.of("1994-01-01", "1994-07-01")
+    added = lines.where((F.col("l_returnflag") == "N") & in_cycle("l_shipdate", spring))
+    withdrawn = lines.where(F.col("l_returnflag").isin("A", "R") & in_cycle("l_shipdate", fall))
+
+    def links(df: DataFrame, other: str, name: str) -> DataFrame:
+        return df.select(F.col("l_orderkey").alias("film_id"), F.col(other).alias(name))
+
+    def side(other: str, name: str) -> tuple[DataFrame, DataFrame]:
+        columns = ["film_id", name]
+        return (counted(links(after, other, name), columns),
+                signed(links(added, other, name), links(withdrawn, other, name), columns))
+
+    pair = ["film_id", "actor_id", "category_id"]
+    change = bridge_change(*side("l_partkey", "actor_id"), *side("l_suppkey", "category_id"), "film_id", pair)
+    old_first = counted(links(before, "l_partkey", "actor_id"), ["film_id", "actor_id"])
+    old_second = counted(links(before, "l_suppkey", "category_id"), ["film_id", "category_id"])
+    facts = old_first.join(old_second.withColumnRenamed("sign", "times"), "film_id").select(
+        *pair, (F.col("sign") * F.col("times")).alias("n"))
+    return with_change(facts, change, pair)
+
+
+@_query
+def removed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders in the copy that the source no longer has: urgent ones of four months."""
+    orders = parquet_source(spark, folder)("orders")
+    return removed(_without_urgent(orders), orders, ["o_orderkey"])
+
+
+def _without_urgent(orders: DataFrame) -> DataFrame:
+    gone = (F.col("o_orderpriority") == "1-URGENT") & in_cycle(
+        "o_orderdate", Cycle.of("1998-03-01", "1998-07-01"))
+    return orders.where(~gone)
+
+
+@_query
+def removals_published(spark: SparkSession, folder: str) -> DataFrame:
+    """A published table after a merge and after rows that left the source were removed from it."""
+    orders = parquet_source(spark, folder)("orders").select(
+        "o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    table = ZoneTable(spark, work_folder(spark, "zone"), ["o_orderkey"], "o_orderdate")
+    table.replace(_without_new(orders, "o_orderdate"))
+    table.upsert(delta(orders, "o_orderdate", HALF_YEAR))
+    table.remove(removed(_without_urgent(orders), table.read(), ["o_orderkey"]))
+    return table.read()
+
+
 # Constraints and checks
 
 

@@ -480,6 +480,25 @@ class ZoneTable:
         self._tidy(after)
         return segment.rows
 
+    def remove(self, keys_of: DataFrame) -> int:
+        """Removes the rows whose key occurs in a frame, and tells how many; nothing is rewritten.
+
+        A row with a NULL in its key equals no key and stays.
+        """
+        before = self._require()
+        if not before.keys:
+            raise ValueError(f"{self.path} has no merge key")
+        fresh = aligned(keys_of.select(*before.keys), T.StructType(
+            [before.schema[k] for k in before.keys])).dropna().distinct()
+        met = self._matching(before, fresh, are_small(fresh), None)
+        found = met.select(F.col("__file").alias("file"), F.col("__place").cast("bigint").alias("place"))
+        after = replace(self._marked(before, found), number=before.number + 1)
+        gone = before.live_rows() - after.live_rows()
+        if gone:
+            self._commit(after)
+            self._tidy(after)
+        return gone
+
     def holders(self, manifest: Manifest, segment: Segment, written: DataFrame, columns: Sequence[str]
                 ) -> list[Segment]:
         """The older segments that may hold a value of the delta in these columns."""
