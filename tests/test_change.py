@@ -1,7 +1,8 @@
+from decimal import Decimal
 from collections import Counter
 
 import pytest
-from helpers import bag
+from helpers import at, bag
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -91,12 +92,37 @@ def test_append_refuses_other_width(spark, schema):
         aligned(spark.createDataFrame([], schema), spark.createDataFrame([], "a int, b int").schema)
 
 
-@pytest.mark.parametrize("schema", ["a int, b string", "a bigint, b int", "a timestamp, b int"])
+@pytest.mark.parametrize("schema", ["a int, b string", "a double, b int", "a timestamp, b int", "a decimal(9,1), b int"])
 def test_append_refuses_other_types(spark, schema):
     with pytest.raises(TypeError):
         aligned(spark.createDataFrame([], schema), spark.createDataFrame([], "a int, b int").schema)
 
 
+def test_append_puts_values_into_the_columns_types(spark):
+    target = spark.createDataFrame([], "a int, b decimal(6,2), c timestamp_ntz, d string, e double")
+    rows = spark.sql("""
+        SELECT * FROM VALUES (2147483647L, 1234L, DATE '2024-02-29', 7, CAST(1.5 AS DECIMAL(9, 3))),
+                             (NULL, NULL, NULL, NULL, NULL) AS t(v, w, x, y, z)""")
+    got = append(target, rows)
+    assert got.schema == target.schema
+    assert bag(got) == Counter([(2147483647, Decimal("1234.00"), at("2024-02-29"), "7", 1.5), (None,) * 5])
+    rounded = spark.sql("SELECT 1 AS v, CAST(2.345 AS DECIMAL(9, 3)) AS w, DATE '2024-01-01', true, 1")
+    assert append(target, rounded).first()["b"] == Decimal("2.35")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_append_refuses_values_out_of_range(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        target = spark.createDataFrame([], "a int, b decimal(6,2)")
+        for row in ("2147483648L, 1", "1, 12345L"):
+            with pytest.raises(Exception, match="cannot hold"):
+                append(target, spark.sql(f"SELECT {row}")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_update_where(spark):
     t = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
     got = update_where(t, F.col("k") == 1, {"v": "z"})

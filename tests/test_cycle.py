@@ -14,7 +14,7 @@ from tidewright.plans.cycle import GROUP_SCOPE, CycleFailed, Warehouse
 from tidewright.sources.extract import base_tables, catalog_source, jdbc_source, parquet_source
 from tidewright.sources.runlog import FAILED, FULL_LOAD, TRANSFORM, Line, RunLog
 from tidewright.sources.specs import SOURCES, TARGETS, TableSpec, TargetSpec
-from tidewright.sources.zones import Zone
+from tidewright.sources.zones import Zone, ZoneTable
 
 FULL_LOAD_AT = at("2024-01-01")
 
@@ -313,3 +313,93 @@ def test_jdbc_options():
 def test_unknown_scope(spark, folder):
     with pytest.raises(ValueError):
         Warehouse(spark, folder, Shop({}), qualifier_scope="all")
+
+
+def test_what_left_the_source_leaves_the_warehouse(spark, folder):
+    shop = Shop(rental.tables(spark))
+    house = Warehouse(spark, folder, shop)
+    house.full_load(FULL_LOAD_AT)
+    shop.tables = rental.changed(shop.tables)
+    house.run_cycle(rental.CYCLE)
+    after = dict(shop.tables)
+    for name, gone in {"film_actor": "actor_id = 52 and film_id = 1", "film_category": "category_id = 4 and film_id = 41",
+                       "inventory": "inventory_id = 1", "store": "store_id = 2", "actor": "actor_id = 52",
+                       "payment": "payment_id = 1"}.items():
+        after[name] = after[name].where(f"not ({gone})")
+    shop.tables = after
+    found = house.remove_gone(at("2025-01-01"))
+    assert bag(found) == Counter([(n, 1) for n in (
+        "actor", "film_actor", "film_category", "inventory", "payment", "store")])
+    rebuilt = Warehouse(spark, f"{folder}/again", shop)
+    rebuilt.full_load(at("2025-01-01"))
+    for name in ("film_fact", "inventory_fact", "store_dim", "category_dim", "film_dim"):
+        assert bag(house.dw.read(name)) == bag(rebuilt.dw.read(name)), name
+    assert bag(house.dw.read("actor_dim"), "actor_id") == bag(rebuilt.dw.read("actor_dim"), "actor_id")
+    for spec in SOURCES:
+        assert bag(house.staging.read(spec.name)) == bag(shop(spec.name)), spec.name
+    assert house.remove_gone(at("2025-01-01")).count() == 0
+
+
+def test_an_unfinished_removal_is_taken_up(spark, folder, monkeypatch):
+    shop = Shop(rental.tables(spark))
+    house = Warehouse(spark, folder, shop)
+    house.full_load(FULL_LOAD_AT)
+    whole = shop.tables
+    shop.tables = {**whole, "inventory": whole["inventory"].where("inventory_id = 2"),
+                   "category": whole["category"].where("category_id <> 4")}
+    remove = ZoneTable.remove
+
+    def broken(self, keys_of):
+        if self.path.endswith("inventory_fact"):
+            raise OSError("lost")
+        return remove(self, keys_of)
+
+    monkeypatch.setattr(ZoneTable, "remove", broken)
+    with pytest.raises(CycleFailed, match="inventory_fact: lost"):
+        house.remove_gone(at("2025-01-01"))
+    monkeypatch.setattr(ZoneTable, "remove", remove)
+    # A row that came back meanwhile stays.
+    shop.tables = {**shop.tables, "inventory": whole["inventory"]}
+    assert bag(house.remove_gone(at("2025-01-01"))) == Counter([("category", 1)])
+    assert bag(house.dw.read("inventory_fact")) == bag(whole["inventory"])
+
+
+def test_all_base_tables_are_copied(spark, folder):
+    tables = rental.tables(spark)
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/shop/{name}.parquet")
+    spark.range(4).write.parquet(f"{folder}/shop/notes.parquet")
+    house = Warehouse(spark, f"{folder}/house", parquet_source(spark, f"{folder}/shop"))
+    house.full_load(FULL_LOAD_AT)
+    assert sorted(house.raw.tables()) == sorted([*tables, "notes"])
+    assert bag(house.raw.read("notes")) == bag(spark.range(4)) == bag(house.staging.read("notes"))
+    house.full_load(FULL_LOAD_AT)
+    house.run_cycle(rental.CYCLE)
+
+
+def test_a_cycle_reads_its_source_as_it_was_at_the_start(spark, folder):
+    def write(name, rows):
+        spark.createDataFrame(rows, "k bigint, last_update timestamp_ntz").write.mode("append").parquet(
+            f"{folder}/shop/{name}.parquet")
+
+    for name in ("a", "b"):
+        write(name, [(1, rental.INSIDE)])
+    source = parquet_source(spark, f"{folder}/shop")
+    specs = [TableSpec("a", ("k",)), TableSpec("b", ("k",))]
+    house = Warehouse(spark, f"{folder}/house", source, specs, [], parallel=1)
+    house.full_load(FULL_LOAD_AT)
+    assert house.staging.read("b").count() == 1
+    write("a", [(2, rental.INSIDE)])
+    write("b", [(2, rental.INSIDE)])
+    each = house._each
+
+    def late(step, cycle, items, work, windows=None):
+        # Rows that arrive while the cycle runs.
+        if step.endswith("/raw"):
+            write("b", [(3, rental.INSIDE)])
+        return each(step, cycle, items, work, windows)
+
+    house._each = late
+    assert bag(house.extract_load(rental.CYCLE), "table_name", "n") == Counter([("a", 2), ("b", 2)])
+    house._each = each
+    assert bag(house.extract_load(rental.CYCLE), "table_name", "n") == Counter([("a", 2), ("b", 3)])

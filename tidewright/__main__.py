@@ -5,6 +5,7 @@
     transform [FROM UPTO]     the second half; by default for the cycle extracted last
     cycle [FROM UPTO]         both halves
     catch-up                  everything since the last completed cycle, as one
+    remove-gone               remove what the source no longer has, by comparing keys
     checks                    run the checks; the exit code is 1 if one found an error
     status                    row counts of every zone
     schema                    statements that create the tables of the raw zone
@@ -19,18 +20,13 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import SparkSession
 
-from tidewright.functions.text import create_table_text
 from tidewright.functions.windows import Cycle, last_closed_cycle
+from tidewright.operators.reports import zone_schema
 from tidewright.plans.cycle import DELTA_SCOPE, GROUP_SCOPE, Warehouse
-from tidewright.sources.extract import (
-    Source,
-    base_tables,
-    catalog_source,
-    jdbc_source,
-    parquet_source,
-)
+from tidewright.sources.extract import Source, catalog_source, jdbc_source, parquet_source
 
-COMMANDS = ("full-load", "extract-load", "transform", "cycle", "catch-up", "checks", "status", "schema")
+COMMANDS = ("full-load", "extract-load", "transform", "cycle", "catch-up", "remove-gone", "checks",
+            "status", "schema")
 
 
 def _option(text: str) -> tuple[str, str]:
@@ -112,17 +108,14 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
 
     if args.command == "full-load":
         house.full_load(as_of)
-        if args.source_database:
-            known = {spec.name for spec in house.sources}
-            others = [t for t in base_tables(spark, args.source_database) if t not in known]
-            if others:
-                print("not copied, as no keys are stated for them:", ", ".join(others))
     elif args.command == "extract-load":
         house.extract_load(closed).show(truncate=False)
     elif args.command == "transform":
         house.transform(given)
     elif args.command == "cycle":
         house.run_cycle(closed).show(truncate=False)
+    elif args.command == "remove-gone":
+        house.remove_gone(as_of).show(truncate=False)
     elif args.command == "catch-up":
         print(house.catch_up(as_of) or "nothing to catch up")
     elif args.command == "checks":
@@ -131,8 +124,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         report.samples.show(truncate=False)
         return report.exit_code
     elif args.command == "schema":
-        for name in house.raw.tables():
-            print(create_table_text("raw", name, house.raw.read(name).schema))
+        for line in zone_schema(house.raw, "raw").orderBy("table_name").collect():
+            print(line["ddl"])
     else:
         for zone in (house.raw, house.staging, house.deltas, house.dw):
             if zone.tables():

@@ -18,9 +18,3 @@ def ddl_type(dtype: T.DataType) -> str:
     """The type name used when a schema is copied: user-defined types become text."""
     return "string" if isinstance(dtype, T.UserDefinedType) else dtype.simpleString()
 
-
-def create_table_text(zone: str, table: str, schema: T.StructType) -> str:
-    """The statement that recreates a table's columns, in their order, inside a zone."""
-    columns = ",".join(f"{f.name} {ddl_type(f.dataType)}" for f in schema.fields)
-    return f"CREATE TABLE {zone}.{table}({columns});"
-

@@ -12,38 +12,59 @@ from pyspark.sql import types as T
 from tidewright.operators.sizing import BROADCAST_BYTES, are_small
 from tidewright.operators.skew import any_null, hot_keys, spread_join
 
-_WIDER = {
-    T.ByteType: (T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType),
-    T.ShortType: (T.IntegerType, T.LongType, T.FloatType, T.DoubleType),
-    T.IntegerType: (T.LongType, T.DoubleType),
-    T.FloatType: (T.DoubleType,),
-}
+_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
+_INEXACT = (T.FloatType, T.DoubleType)
+_TIMES = (T.DateType, T.TimestampNTZType, T.TimestampType)
 
 
-def _fits(source: T.DataType, target: T.DataType) -> bool:
+def _assignable(source: T.DataType, target: T.DataType) -> bool:
+    """Whether a value of one type is put into a column of another without being asked to.
+
+    Numbers go into numbers, but not inexact into exact ones; a date goes into a time; anything goes
+    into text. Text is never read as something else.
+    """
     if source == target or isinstance(source, T.NullType):
         return True
-    if isinstance(source, T.DecimalType) and isinstance(target, T.DecimalType):
-        whole = target.precision - target.scale >= source.precision - source.scale
-        return whole and target.scale >= source.scale
-    return isinstance(target, _WIDER.get(type(source), ()))
+    if isinstance(target, T.StringType):
+        return isinstance(source, (*_EXACT, *_INEXACT, *_TIMES, T.BooleanType, T.StringType))
+    if isinstance(target, _EXACT):
+        # A fraction would be cut, not rounded, by a cast to a whole number.
+        cut = isinstance(source, T.DecimalType) and source.scale > 0
+        return isinstance(source, _EXACT) and not (cut and not isinstance(target, T.DecimalType))
+    if isinstance(target, _INEXACT):
+        return isinstance(source, (*_EXACT, *_INEXACT)) and not (
+            isinstance(source, T.DoubleType) and isinstance(target, T.FloatType))
+    return isinstance(target, (T.TimestampNTZType, T.TimestampType)) and isinstance(source, T.DateType)
+
+
+def _assigned(name: str, source: T.DataType, target: T.DataType) -> Column:
+    """The value in the column's type; one out of its range is an error, whatever the session says."""
+    column = F.col(f"`{name}`")
+    if source == target or not isinstance(target, _EXACT):
+        return column.cast(target)
+    value = column.try_cast(target)
+    refused = F.raise_error(F.concat(F.lit(f"{name}: {target.simpleString()} cannot hold "), column.cast("string")))
+    return F.when(column.isNotNull() & value.isNull(), refused.cast(target)).otherwise(value)
 
 
 def aligned(source: DataFrame, schema: T.StructType) -> DataFrame:
-    """`source` with its columns taken by position as the columns of `schema`."""
+    """`source` with its columns taken by position as the columns of `schema`, and put into their types."""
     if len(source.columns) != len(schema.fields):
         raise ValueError(f"{len(source.columns)} columns for {len(schema.fields)}")
     wrong = [
         f"{s.name} {s.dataType.simpleString()} -> {t.name} {t.dataType.simpleString()}"
         for s, t in zip(source.schema.fields, schema.fields, strict=True)
-        if not _fits(s.dataType, t.dataType)
+        if not _assignable(s.dataType, t.dataType)
     ]
     if wrong:
         raise TypeError("columns do not fit by position: " + "; ".join(wrong))
     renamed = source.toDF(*[f.name for f in schema.fields])
     if renamed.schema == schema:
         return renamed
-    return renamed.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in schema.fields])
+    return renamed.select(*[
+        _assigned(t.name, s.dataType, t.dataType).alias(t.name)
+        for s, t in zip(source.schema.fields, schema.fields, strict=True)
+    ])
 
 
 def append(target: DataFrame, source: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.text import report_name
 from tidewright.functions.windows import CYCLE_MINUTES, floor_to_cycle
+from tidewright.sources.extract import catalog_frame
+from tidewright.sources.zones import Zone
 
 
 def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -52,6 +54,13 @@ def schema_ddl(catalog: DataFrame, table: str, column: str, dtype: str, order: s
     )
 
 
+def zone_schema(zone: Zone, name: str) -> DataFrame:
+    """The definition of every table of a zone, from the published schemas."""
+    tables = {f"{name}.{t}": zone.read(t) for t in zone.tables()}
+    catalog = catalog_frame(zone.spark, tables)
+    return schema_ddl(catalog, "table_name", "column_name", "data_type", "ordinal_position")
+
+
 def cycle_counts(df: DataFrame, ts: str, minutes: int = CYCLE_MINUTES) -> DataFrame:
     """Rows that each cycle over `df` picks up, by the cycle's end."""
     end = floor_to_cycle(ts, minutes) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))

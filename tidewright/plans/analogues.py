@@ -56,6 +56,7 @@ from tidewright.operators.reports import (
     cycle_counts,
     schema_ddl,
     table_row_counts,
+    zone_schema,
 )
 from tidewright.operators.signed import bridge_change, counted, signed, with_change
 from tidewright.operators.timed import Timed, timed, timed_table
@@ -64,7 +65,7 @@ from tidewright.plans.cycle import Warehouse
 from tidewright.session import work_folder
 from tidewright.sources.extract import delta, parquet_source, snapshot
 from tidewright.sources.specs import TableSpec, TargetSpec
-from tidewright.sources.zones import ZoneTable
+from tidewright.sources.zones import Zone, ZoneTable
 from tidewright.streaming.upserts import upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +137,28 @@ def query_schema_ddl(spark: SparkSession, folder: str) -> DataFrame:
 
 
 
+@_query
+def zone_schema_ddl(spark: SparkSession, folder: str) -> DataFrame:
+    """Table definitions of a zone that three tables were copied to."""
+    read, zone = parquet_source(spark, folder), Zone(spark, work_folder(spark, "raw"))
+    for name in ("customer", "orders", "lineitem"):
+        zone.table(name).replace(snapshot(read(name)))
+    return zone_schema(zone, "raw")
+
+
+@_query
+def append_assigned(spark: SparkSession, folder: str) -> DataFrame:
+    """Appending by position into other types: whole numbers to decimals, dates to times, longs to ints."""
+    read = parquet_source(spark, folder)
+    orders = read("orders").select(
+        F.col("o_totalprice").cast("decimal(14,2)").alias("amount"), F.col("o_orderdate").alias("at"),
+        F.col("o_custkey").cast("int").alias("who"), F.col("o_orderstatus").alias("note"))
+    lines = read("lineitem").select(
+        F.col("l_orderkey").cast("bigint"), F.col("l_shipdate").cast("date"),
+        F.col("l_suppkey").cast("bigint"), F.col("l_linenumber").cast("bigint"))
+    return append(orders, lines)
+
+
 @_query
 def cycle_window(spark: SparkSession, folder: str) -> DataFrame:
     upto = floor_to_cycle("ts")
@@ -165,9 +188,8 @@ def query_delete_by_key(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def append_positional(spark: SparkSession, folder: str) -> DataFrame:
     read = parquet_source(spark, folder)
-    orders = delta(read("orders"), "o_orderdate", HALF_YEAR).select("o_orderkey", "o_custkey")
-    lines = delta(read("lineitem"), "l_shipdate", HALF_YEAR).select("l_orderkey", "l_partkey")
-    return append(orders, lines)
+    orders = read("orders").select("o_orderkey", "o_custkey")
+    return append(orders, read("lineitem").select("l_orderkey", "l_partkey"))
 
 
 @_query

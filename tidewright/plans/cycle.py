@@ -20,14 +20,17 @@ from tidewright.operators.quality import (
     require_keys_after_upsert,
     run_checks,
 )
+from tidewright.operators.removals import removed
 from tidewright.operators.reports import changed_tables, table_row_counts
+from tidewright.operators.sizing import broadcast_if_small
 from tidewright.plans.checks import checks_from_files, warehouse_checks
 from tidewright.plans.warehouse import BUILDERS, Builder, actor_dim
-from tidewright.sources.extract import Source, delta, snapshot
+from tidewright.sources.extract import Source, delta, pinned, snapshot
 from tidewright.sources.runlog import (
     EXTRACT_LOAD,
     FAILED,
     FULL_LOAD,
+    REMOVE,
     STEP,
     TRANSFORM,
     Line,
@@ -113,12 +116,18 @@ class Warehouse:
         """Copies every source table, builds the warehouse from the copy, and stages it.
 
         The staged copy is read from the raw one, not from the source again, so both are of
-        one moment.
+        one moment. A source that lists its base tables has all of them copied; those without a
+        stated key are replaced by the next full load, not merged.
         """
         cycle = last_closed_cycle(as_of, self.minutes)
+        listed = getattr(self.source, "tables", None)
+        known = {spec.name for spec in self.sources}
+        others = [TableSpec(n, ()) for n in listed() if n not in known] if callable(listed) else []
+        copied = [*self.sources, *others]
+        source = pinned(self.source, [spec.name for spec in copied])
 
         def copy(spec: TableSpec) -> int:
-            n = self.raw.table(spec.name, spec.keys).replace(snapshot(self.source(spec.name)))
+            n = self.raw.table(spec.name, spec.keys).replace(snapshot(source(spec.name)))
             self.staging.table(spec.name, spec.keys, spec.ts).replace(self.raw.read(spec.name))
             return n
 
@@ -128,7 +137,7 @@ class Warehouse:
                 lambda df: require_keys(df, spec.keys, spec.uniques, spec.name),
             )
 
-        self._each(FULL_LOAD + "/copy", cycle, self.sources, copy)
+        self._each(FULL_LOAD + "/copy", cycle, copied, copy)
         self._each(FULL_LOAD, cycle, self.targets, build)
 
     def extract_load(self, cycle: Cycle) -> DataFrame:
@@ -137,10 +146,10 @@ class Warehouse:
         Returns the changed tables with merge key and row count.
         """
         reach = cycle.reach_back(self.lookback)
-        frames = {s.name: self.source(s.name) for s in self.sources}
+        source = pinned(self.source, [spec.name for spec in self.sources])
 
         def extract(spec: TableSpec) -> int:
-            rows = delta(frames[spec.name], spec.ts, reach).hint("rebalance")
+            rows = delta(source(spec.name), spec.ts, reach).hint("rebalance")
             return self.raw.table(spec.name, spec.keys).replace(rows)
 
         counted = self._each(EXTRACT_LOAD + "/raw", cycle, self.sources, extract)
@@ -200,6 +209,51 @@ class Warehouse:
             self.vacuum()
         return changed
 
+    def remove_gone(self, as_of: datetime) -> DataFrame:
+        """Removes what the source no longer has from the staged copies and the warehouse.
+
+        Deltas never show a removed row, so this compares keys, by checksums of their ranges. The keys
+        that went are published first: a run that fails half way is repeated with the same effect.
+        Returns source tables with the number of rows that went. Rows of a warehouse table go with
+        the source rows they follow (`TargetSpec.follows`); members that stay keep their numbers.
+        """
+        cycle = last_closed_cycle(as_of, self.minutes)
+        source = pinned(self.source, [spec.name for spec in self.sources])
+        gone_zone = Zone(self.spark, f"{self.root}/stg/gone")
+
+        def find(spec: TableSpec) -> int:
+            lost = removed(snapshot(source(spec.name)), self.staging.read(spec.name), spec.keys)
+            fresh, table = lost.select(*spec.keys), gone_zone.table(spec.name)
+            if table.exists():
+                # What an unfinished run found is still to be taken, unless it came back.
+                owed = table.read().union(fresh).distinct()
+                fresh = removed(snapshot(source(spec.name)), owed, spec.keys)
+            return table.replace(fresh)
+
+        found = self._each(REMOVE + "/find", cycle, self.sources, find)
+        lost = [spec for spec, n in found if n]
+
+        def follow(spec: TargetSpec) -> int:
+            table, n = self.dw.table(spec.name, spec.keys, uniques=spec.uniques), 0
+            for name, columns in spec.follows:
+                if any(s.name == name for s in lost):
+                    keys = gone_zone.read(name).select(*columns)
+                    if set(columns) != set(spec.keys):
+                        keys = table.read().join(broadcast_if_small(keys), list(columns), "left_semi")
+                    n += table.remove(keys.select(*spec.keys))
+            return n
+
+        self._each(REMOVE + "/warehouse", cycle, [t for t in self.targets if t.follows], follow)
+
+        def forget(spec: TableSpec) -> int:
+            n = self.staging.table(spec.name, spec.keys, spec.ts).remove(gone_zone.read(spec.name))
+            gone_zone.table(spec.name).replace(gone_zone.read(spec.name).limit(0))
+            return n
+
+        counted = self._each(REMOVE, cycle, lost, forget)
+        return self.spark.createDataFrame(
+            sorted((spec.name, n) for spec, n in counted), "table_name string, n bigint")
+
     def pending(self, as_of: datetime) -> list[Cycle]:
         """Closed cycles after the last one completed, oldest first."""
         last = self.log.done_upto(TRANSFORM, FULL_LOAD)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,45 +10,103 @@ from pyspark.sql import types as T
 
 from tidewright.functions.text import ddl_type
 from tidewright.functions.windows import Cycle, in_cycle
+from tidewright.sources.files import Folder
 
 # A source hands out a table by its name.
 Source = Callable[[str], DataFrame]
 
 
-def parquet_source(spark: SparkSession, folder: str) -> Source:
+class ParquetSource:
     """Tables kept as `<folder>/<name>.parquet`."""
-    return lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
 
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark, self._folder = spark, folder
 
-def catalog_source(spark: SparkSession, database: str) -> Source:
+    def __call__(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+
+    def tables(self) -> list[str]:
+        names = Folder(self._spark, self._folder).names()
+        return [n.removesuffix(".parquet") for n in names if n.endswith(".parquet")]
+
+
+class CatalogSource:
     """Tables registered in a catalog database."""
-    return lambda name: spark.table(f"{database}.{name}")
 
+    def __init__(self, spark: SparkSession, database: str) -> None:
+        self._spark, self._database = spark, database
 
-def jdbc_source(
-    spark: SparkSession,
-    url: str,
-    properties: Mapping[str, str],
-    split: Mapping[str, tuple[str, str, str, int]] | None = None,
-    schema: str = "public",
-) -> Source:
+    def __call__(self, name: str) -> DataFrame:
+        return self._spark.table(f"{self._database}.{name}")
+
+    def tables(self) -> list[str]:
+        return base_tables(self._spark, self._database)
+
+
+class JdbcSource:
     """Tables of a relational database.
 
     `split` names, per table, the column, lower bound, upper bound and number of partitions
     of a parallel read. Window filters and column lists are pushed to the database by Spark.
     """
-    split = dict(split or {})
 
-    def read(name: str) -> DataFrame:
-        reader = spark.read.format("jdbc").options(url=url, dbtable=f"{schema}.{name}",
-                                                   preferTimestampNTZ="true", **properties)
-        if name in split:
-            column, low, high, parts = split[name]
+    def __init__(
+        self,
+        spark: SparkSession,
+        url: str,
+        properties: Mapping[str, str],
+        split: Mapping[str, tuple[str, str, str, int]] | None = None,
+        schema: str = "public",
+    ) -> None:
+        self._spark, self._schema, self._split = spark, schema, dict(split or {})
+        self._options = dict(url=url, preferTimestampNTZ="true", **properties)
+
+    def _reader(self, table: str):
+        return self._spark.read.format("jdbc").options(dbtable=table, **self._options)
+
+    def __call__(self, name: str) -> DataFrame:
+        reader = self._reader(f"{self._schema}.{name}")
+        if name in self._split:
+            column, low, high, parts = self._split[name]
             reader = reader.options(partitionColumn=column, lowerBound=low, upperBound=high,
                                     numPartitions=str(parts))
         return reader.load()
 
-    return read
+    def tables(self) -> list[str]:
+        """Base tables as the database's information schema lists them, views left out."""
+        listed = self._reader("information_schema.tables").load()
+        names = {c.lower(): c for c in listed.columns}
+        base = listed.where((F.col(names["table_schema"]) == self._schema)
+                            & (F.col(names["table_type"]) == "BASE TABLE"))
+        return sorted(r[0] for r in base.select(names["table_name"]).collect())
+
+
+def parquet_source(spark: SparkSession, folder: str) -> Source:
+    return ParquetSource(spark, folder)
+
+
+def catalog_source(spark: SparkSession, database: str) -> Source:
+    return CatalogSource(spark, database)
+
+
+def jdbc_source(
+    spark: SparkSession,
+    url: str,
+    properties: Mapping[str, str],
+    split: Mapping[str, tuple[str, str, str, int]] | None = None,
+    schema: str = "public",
+) -> Source:
+    return JdbcSource(spark, url, properties, split, schema)
+
+
+def pinned(source: Source, names: Iterable[str]) -> Source:
+    """The source's tables as they are now, for all steps that follow.
+
+    A frame over files lists them when it is made, so files that come later are not read; the frames of
+    all tables are made at once. A database has to offer its own snapshot.
+    """
+    frames = {name: source(name) for name in names}
+    return frames.__getitem__
 
 
 def base_tables(spark: SparkSession, database: str) -> list[str]:

@@ -14,7 +14,7 @@ from tidewright.functions.windows import Cycle
 from tidewright.sources.files import Folder
 
 DONE, FAILED = "done", "failed"
-EXTRACT_LOAD, TRANSFORM, FULL_LOAD = "extract_load", "transform", "full_load"
+EXTRACT_LOAD, TRANSFORM, FULL_LOAD, REMOVE = "extract_load", "transform", "full_load", "remove"
 SCHEMA = (
     "run_id string, step string, table_name string, n bigint, status string, message string, "
     "cycle_from timestamp_ntz, cycle_upto timestamp_ntz, logged_at timestamp_ntz, day string"
@@ -100,6 +100,15 @@ class RunLog:
 
     def last_cycle(self, step: str) -> Cycle | None:
         """The cycle whose step was completed last, whichever day it covers."""
+        names = Folder(self.spark, self.path)
+        days = [n for n in names.names() if n.startswith("day=")]
+        of_step = [f"{self.path}/{day}/{name}" for day in days
+                   for name in Folder(self.spark, f"{self.path}/{day}").names()
+                   if name.startswith(f"{step.replace('/', '-')}-")]
+        if not of_step:
+            return None
+        # Only files of the step are read, and of those the one line that closes it.
+        lines = _completed(self.spark.read.schema(SCHEMA).json(of_step), step)
         last = F.max_by(F.struct("cycle_from", "cycle_upto"), "logged_at").alias("cycle")
-        found = _completed(self.read(), step).agg(last).first()["cycle"]
+        found = lines.agg(last).first()["cycle"]
         return Cycle(found["cycle_from"], found["cycle_upto"]) if found else None

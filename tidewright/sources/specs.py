@@ -16,11 +16,16 @@ class TableSpec:
 
 @dataclass(frozen=True)
 class TargetSpec:
-    """A warehouse table: primary key and unique keys, both checked before a publish."""
+    """A warehouse table: primary key and unique keys, both checked before a publish.
+
+    `follows` names source tables, each with columns of its key that this table has under the same
+    names: rows go when the source's row with these values goes.
+    """
 
     name: str
     keys: tuple[str, ...]
     uniques: tuple[tuple[str, ...], ...] = ()
+    follows: tuple[tuple[str, tuple[str, ...]], ...] = ()
 
 
 # The source tables with merge key and change time.
@@ -44,10 +49,13 @@ SOURCES = (
 
 # The warehouse tables with primary and unique keys.
 TARGETS = (
-    TargetSpec("actor_dim", ("actor_id",), (("first_name", "last_name", "qualifier"),)),
-    TargetSpec("category_dim", ("category_id",), (("name",),)),
-    TargetSpec("film_dim", ("film_id",), (("title",),)),
-    TargetSpec("film_fact", ("film_id", "actor_id", "category_id")),
-    TargetSpec("inventory_fact", ("inventory_id",)),
-    TargetSpec("store_dim", ("store_id",)),
+    TargetSpec("actor_dim", ("actor_id",), (("first_name", "last_name", "qualifier"),),
+               (("actor", ("actor_id",)),)),
+    TargetSpec("category_dim", ("category_id",), (("name",),), (("category", ("category_id",)),)),
+    TargetSpec("film_dim", ("film_id",), (("title",),), (("film", ("film_id",)),)),
+    TargetSpec("film_fact", ("film_id", "actor_id", "category_id"), (),
+               (("film_actor", ("actor_id", "film_id")), ("film_category", ("film_id", "category_id")),
+                ("film", ("film_id",)), ("category", ("category_id",)))),
+    TargetSpec("inventory_fact", ("inventory_id",), (), (("inventory", ("inventory_id",)),)),
+    TargetSpec("store_dim", ("store_id",), (), (("store", ("store_id",)),)),
 )
