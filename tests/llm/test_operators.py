@@ -1,7 +1,9 @@
 """Each operator against a brute-force version, on rows with every awkward case."""
 
+import glob
 import hashlib
 import itertools
+import os
 import random
 import re
 import zlib
@@ -476,6 +478,26 @@ def test_salvage(compressed):
     assert gaps[0] == (0, 4) and sum(n for _, n in gaps) + sum(len(members[i]) for i in pages) == len(data)
 
 
+def test_archives_of_any_version_and_bounded_bytes(spark, folder, monkeypatch):
+    rows = [(i, f"u{i}", f"WARC/1.1 and WARC/1.9\r\npage {i} " * 3) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 12_000)
+    warc.write_archives(pages, f"{folder}/new")
+    assert len(list(glob.glob(f"{folder}/new/part-*"))) >= 5
+    found = warc.read_archives(spark, f"{folder}/new")
+    assert warc.gaps(found).count() == 0 and {r.page_id for r in found.collect()} == set(range(60))
+    # The same records as another writer's older version, one of an unknown version between them.
+    whole = b"".join(open(f, "rb").read() for f in sorted(glob.glob(f"{folder}/new/part-*")))
+    parts = whole.split(b"WARC/1.1\r\nWARC-Type")
+    told = [b"1.0", b"1.1", b"1.0", b"1.7"]
+    os.makedirs(f"{folder}/old")
+    with open(f"{folder}/old/a.warc", "wb") as f:
+        f.write(b"".join(b"WARC/" + told[i % 4] + b"\r\nWARC-Type" + p for i, p in enumerate(parts[1:])))
+    found = warc.read_archives(spark, f"{folder}/old")
+    kept = {r.page_id for r in warc.records(found).collect()}
+    assert len(kept) == 45 and {r.reason for r in warc.gaps(found).collect()} >= {"no version of a record"}
+
+
 def test_top_k(spark, monkeypatch):
     draw = np.random.default_rng(4)
     rows = [(i, draw.normal(size=5).astype(float).tolist(), 0) for i in range(300)]

@@ -13,7 +13,9 @@ from functools import wraps
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidewright.operators.sizing import are_small
 from tidewright.session import work_folder
 
 
@@ -44,13 +46,16 @@ def own_names(df: DataFrame, *wanted: str) -> list[str]:
 
 
 BROADCAST_BYTES = 24 << 20
-# What a row takes beside its strings, for the fields these operators send.
-_ROW_BYTES = 64
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """The frame, marked for a broadcast if its counted rows fit; for frames of numbers and keys."""
-    return F.broadcast(df) if df.count() * _ROW_BYTES <= limit else df
+    """The frame, marked for a broadcast if its measured bytes fit, text included."""
+    # Keys of several columns travel as a struct, which is measured by its fields.
+    structs = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StructType)]
+    flat = df.select(*[F.col(f"`{f.name}`") if f.name not in structs else F.col(f"`{f.name}`.*")
+                       for f in df.schema.fields])
+    names = [f"c{i}" for i in range(len(flat.columns))]
+    return F.broadcast(df) if are_small(flat.toDF(*names), limit=limit) else df
 
 
 def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:

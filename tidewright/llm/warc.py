@@ -22,14 +22,16 @@ from pyspark.sql import functions as F
 
 from tidewright.llm.shared import broadcast_if_small
 
-VERSION = b"WARC/1.1\r\n"
+# What the version lines of all records begin with, and what may follow; the last is written.
+VERSION, VERSIONS = b"WARC/1.", (b"0", b"1")
 MEMBER = b"\x1f\x8b\x08"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Pages carry no date of their own.
 DATE = "1970-01-01T00:00:00Z"
 RECORDS_PER_BATCH = 256
-RECORDS_PER_ARCHIVE = 20_000
+# An archive holds so many bytes of pages, by their mean size, and never more records than that.
+ARCHIVE_BYTES, RECORDS_PER_ARCHIVE = 64 << 20, 20_000
 
 
 def sha1_base32(data: bytes) -> str:
@@ -65,7 +67,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str,
         lines.append(f"WARC-Target-URI: {safe}")
     if revisit:
         lines += [f"WARC-Refers-To: {_uri(refers_to)}", f"WARC-Profile: {_PROFILE}"]
-    return VERSION + "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n"
+    return VERSION + VERSIONS[-1] + b"\r\n" + "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n"
 
 
 # Ends each record of a plain archive; in a compressed one an empty member stands between records.
@@ -106,7 +108,12 @@ def with_roles(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, compressed: bool = False) -> None:
-    """A record per page, in archives of bounded length; `compressed` makes a gzip member of each."""
+    """A record per page, in archives of bounded length; `compressed` makes a gzip member of each.
+
+    An archive is read by one task, so its length is bounded by bytes.
+    """
+    mean = pages.agg(F.avg(F.coalesce(F.octet_length("html"), F.lit(0))).alias("n")).first()["n"] or 0
+    per_archive = max(1, min(RECORDS_PER_ARCHIVE, int(ARCHIVE_BYTES / (mean + 1024))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -123,7 +130,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, compressed:
     end = _EMPTY_MEMBER.decode("latin-1") if compressed else _PLAIN_END
     # The sink writes a string's bytes as they are.
     rows.select(F.col("value").cast("string")).write.option("lineSep", end).option(
-        "encoding", "ISO-8859-1").option("maxRecordsPerFile", RECORDS_PER_ARCHIVE).text(path)
+        "encoding", "ISO-8859-1").option("maxRecordsPerFile", per_archive).text(path)
 
 
 @dataclass
@@ -191,7 +198,10 @@ class Salvage:
     def _plain(self) -> tuple[list[Record], int, int, str]:
         data, used = self.ahead[0], 1
         head, end, _ = data.partition(b"\r\n\r\n")
-        headers = _headers(head) if end else None
+        version, _, lines = head.partition(b"\r\n")
+        if version not in VERSIONS:
+            return [], 0, 0, "no version of a record"
+        headers = _headers(lines) if end else None
         if headers is None:
             return [], 0, 0, "no header"
         try:
