@@ -59,11 +59,13 @@ from tidewright.operators.reports import (
     zone_schema,
 )
 from tidewright.operators.signed import bridge_change, counted, signed, with_change
+from tidewright.operators.sizing import broadcast_if_small
 from tidewright.operators.timed import Timed, timed, timed_table
 from tidewright.plans.checks import checks_from_files
 from tidewright.plans.cycle import Warehouse
 from tidewright.session import work_folder
 from tidewright.sources.extract import delta, parquet_source, snapshot
+from tidewright.sources.references import References
 from tidewright.sources.specs import TableSpec, TargetSpec
 from tidewright.sources.zones import Zone, ZoneTable
 from tidewright.streaming.upserts import upsert_stream
@@ -543,6 +545,27 @@ def check_summary(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def check_maintained_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers without an order, by counts that a change to the orders kept up to date.
+
+    First the orders of spring 2000 are counted; then those of May come and those of March go.
+    """
+    read = parquet_source(spark, folder)
+    customers = read("customer")
+    orders = read("orders").withColumnRenamed("o_custkey", "c_custkey")
+
+    def placed(start: str, upto: str) -> DataFrame:
+        return delta(orders, "o_orderdate", Cycle.of(start, upto))
+
+    checks = References(spark, work_folder(spark, "references"), "c_custkey")
+    checks.start(customers, placed("2000-03-01", "2000-05-01"))
+    none = customers.where(F.lit(False))
+    checks.apply(1, none, none, placed("2000-05-01", "2000-06-01"), placed("2000-03-01", "2000-04-01"))
+    return customers.join(
+        broadcast_if_small(checks.childless()), ["c_custkey"], "left_semi").select(*customers.columns)
+
+
 def _order_checks(spark: SparkSession, folder: str) -> list[Check]:
     files = Path(__file__).with_name("order_checks").as_uri()
     tables = ("customer", "orders", "lineitem")
