@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewright.functions.windows import Cycle
 from tidewright.operators.quality import ERROR
 from tidewright.plans import warehouse
-from tidewright.plans.cycle import GROUP_SCOPE, CycleFailed, Warehouse
+from tidewright.plans.cycle import GROUP_SCOPE, STATE_SCOPE, CycleFailed, Warehouse
 from tidewright.sources.extract import base_tables, catalog_source, jdbc_source, parquet_source
 from tidewright.sources.runlog import FAILED, FULL_LOAD, TRANSFORM, Line, RunLog
 from tidewright.sources.specs import SOURCES, TARGETS, TableSpec, TargetSpec
@@ -156,6 +156,37 @@ def test_group_scope_equals_a_rebuild(spark, folder):
     assert bag(house.dw.read("actor_dim")) == bag(warehouse.actor_dim(shop))
 
 
+def test_state_scope_refuses_no_cycle(spark, folder, monkeypatch):
+    shop = Shop(rental.tables(spark))
+    house = Warehouse(spark, folder, shop, qualifier_scope=STATE_SCOPE)
+    house.full_load(FULL_LOAD_AT)
+    shop.tables = rental.changed(shop.tables)
+    shop.tables["actor"] = shop.tables["actor"].union(spark.createDataFrame(
+        [(201, "CLARA", "REED", rental.INSIDE), (202, "ANNA", "HILL", rental.INSIDE)],
+        rental.SCHEMAS["actor"]))
+    upsert, failed = ZoneTable.upsert, []
+
+    def fails_once(self, *args, **kwargs):
+        if self.path.endswith("/dw/actor_dim") and not failed:
+            failed.append(self)
+            raise OSError("lost")
+        return upsert(self, *args, **kwargs)
+
+    monkeypatch.setattr(ZoneTable, "upsert", fails_once)
+    with pytest.raises(CycleFailed, match="actor_dim.*lost"):
+        house.run_cycle(rental.CYCLE)
+    house.retry()
+
+    def numbers():
+        return {r.actor_id: (r.first_name, r.qualifier) for r in house.dw.read("actor_dim").collect()}
+
+    assert numbers() == {1: ("CLARA", 3), 52: ("CLARA", 1), 57: ("CLARA", 2), 201: ("CLARA", 4),
+                         202: ("ANNA", None)}
+    shop.tables["actor"] = shop.tables["actor"].where("actor_id not in (52, 57, 201)")
+    house.remove_gone(rental.CYCLE.upto)
+    assert numbers() == {1: ("CLARA", None), 202: ("ANNA", None)}
+
+
 def test_colliding_qualifier_is_refused_and_the_rest_published(spark, folder):
     shop = Shop(rental.tables(spark))
     house = Warehouse(spark, folder, shop)

@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 
 from tidewright.functions.windows import Cycle, last_closed_cycle
 from tidewright.operators.reports import zone_schema
-from tidewright.plans.cycle import DELTA_SCOPE, GROUP_SCOPE, Warehouse
+from tidewright.plans.cycle import DELTA_SCOPE, GROUP_SCOPE, STATE_SCOPE, Warehouse
 from tidewright.sources.extract import Source, catalog_source, jdbc_source, parquet_source
 
 COMMANDS = ("full-load", "extract-load", "transform", "cycle", "catch-up", "remove-gone", "checks",
@@ -65,7 +65,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--checks-folder", help="folder of warnings/*.sql and errors/*.sql")
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="default: now")
     parser.add_argument("--lookback-minutes", type=int, default=0)
-    parser.add_argument("--qualifier-scope", choices=(DELTA_SCOPE, GROUP_SCOPE),
+    parser.add_argument("--qualifier-scope", choices=(DELTA_SCOPE, GROUP_SCOPE, STATE_SCOPE),
                         default=DELTA_SCOPE)
     parser.add_argument("--parallel", type=int, default=4)
     found = parser.parse_args(argv)

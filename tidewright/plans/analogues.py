@@ -65,6 +65,7 @@ from tidewright.plans.checks import checks_from_files
 from tidewright.plans.cycle import Warehouse
 from tidewright.session import work_folder
 from tidewright.sources.extract import delta, parquet_source, snapshot
+from tidewright.sources.numbers import Numbering
 from tidewright.sources.references import References
 from tidewright.sources.specs import TableSpec, TargetSpec
 from tidewright.sources.zones import Zone, ZoneTable
@@ -285,6 +286,22 @@ def dim_qualifier_groups(spark: SparkSession, folder: str) -> DataFrame:
     return upsert(dw, _order_qualifier(orders, HALF_YEAR, current=dw), ["o_orderkey"])
 
 
+@_query
+def dim_qualifier_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbers from the state of each name group: newcomers get those after the highest.
+
+    Before the half year's changes, the orders of its first months have the lowest priority.
+    """
+    orders = parquet_source(spark, folder)("orders")
+    early = in_cycle("o_orderdate", Cycle(HALF_YEAR.start, MARCH))
+    before = _without_new(orders, "o_orderdate").withColumn(
+        "o_orderpriority", F.when(early, "5-LOW").otherwise(F.col("o_orderpriority")))
+    numbers = Numbering(spark, work_folder(spark, "numbers"), "o_orderkey", _NAMES, "o_orderdate")
+    numbers.start(_order_qualifier(before))
+    numbers.apply(delta(orders, "o_orderdate", HALF_YEAR))
+    return numbers.read()
+
+
 def _lines_with_priority(spark: SparkSession, folder: str, cycle: Cycle | None) -> DataFrame:
     read = parquet_source(spark, folder)
     lines = timed(read("lineitem"), "l_shipdate", "l_ts",

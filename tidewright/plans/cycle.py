@@ -23,9 +23,11 @@ from tidewright.operators.quality import (
 from tidewright.operators.removals import removed
 from tidewright.operators.reports import changed_tables, table_row_counts
 from tidewright.operators.sizing import broadcast_if_small
+from tidewright.operators.timed import rows_in_cycle, table_in_cycle
 from tidewright.plans.checks import checks_from_files, warehouse_checks
-from tidewright.plans.warehouse import BUILDERS, Builder, actor_dim
+from tidewright.plans.warehouse import ACTOR_NAMES, BUILDERS, TS, Builder, actor_dim
 from tidewright.sources.extract import Source, delta, pinned, snapshot
+from tidewright.sources.numbers import Numbering
 from tidewright.sources.runlog import (
     EXTRACT_LOAD,
     FAILED,
@@ -40,7 +42,7 @@ from tidewright.sources.specs import SOURCES, TARGETS, TableSpec, TargetSpec
 from tidewright.sources.zones import Zone
 
 Item = TypeVar("Item")
-DELTA_SCOPE, GROUP_SCOPE = "delta", "group"
+DELTA_SCOPE, GROUP_SCOPE, STATE_SCOPE = "delta", "group", "state"
 
 
 class CycleFailed(RuntimeError):
@@ -61,6 +63,10 @@ class Warehouse:
     fails keeps its former state, is written to the run log, and fails the step at its end. A
     warehouse table that fails does not hold up the others: the cycle counts as gone through, and
     the next one widens the window of that table alone until it is merged.
+
+    Members that share a name are numbered within a cycle's rows (`qualifier_scope` "delta"), anew in
+    each name group that a cycle touched ("group"), or after the highest number of the name, by a
+    state that each cycle is merged into ("state").
     """
 
     spark: SparkSession
@@ -77,7 +83,7 @@ class Warehouse:
     keep: int = 10
 
     def __post_init__(self) -> None:
-        if self.qualifier_scope not in (DELTA_SCOPE, GROUP_SCOPE):
+        if self.qualifier_scope not in (DELTA_SCOPE, GROUP_SCOPE, STATE_SCOPE):
             raise ValueError(f"unknown qualifier scope {self.qualifier_scope}")
         self.raw = Zone(self.spark, f"{self.root}/raw")
         self.staging = Zone(self.spark, f"{self.root}/stg/src")
@@ -85,6 +91,11 @@ class Warehouse:
         self.dw = Zone(self.spark, f"{self.root}/dw")
         self.log = RunLog(self.spark, f"{self.root}/_runs")
         self._builders = dict(self.builders or BUILDERS)
+        self._numbering = Numbering(
+            self.spark, f"{self.root}/stg/numbers/actor_dim", "actor_id", ACTOR_NAMES, TS)
+
+    def _by_state(self, spec: TargetSpec) -> bool:
+        return self.qualifier_scope == STATE_SCOPE and self._builders[spec.name] is actor_dim
 
     def _each(
         self, step: str, cycle: Cycle, items: Sequence[Item], work: Callable[[Item], int],
@@ -132,10 +143,13 @@ class Warehouse:
             return n
 
         def build(spec: TargetSpec) -> int:
-            return self.dw.table(spec.name, spec.keys, uniques=spec.uniques).replace(
+            n = self.dw.table(spec.name, spec.keys, uniques=spec.uniques).replace(
                 self._builders[spec.name](self.raw.read, None),
                 lambda df: require_keys(df, spec.keys, spec.uniques, spec.name),
             )
+            if self._by_state(spec):
+                self._numbering.start(self.dw.read(spec.name))
+            return n
 
         self._each(FULL_LOAD + "/copy", cycle, copied, copy)
         self._each(FULL_LOAD, cycle, self.targets, build)
@@ -185,12 +199,15 @@ class Warehouse:
             reach = windows.get(spec.name, cycle).reach_back(self.lookback)
             delta_table.replace(self._delta(spec, reach).hint("rebalance"))
             # The table checks its unique keys itself, in the segments that may hold a new value.
-            return self.dw.table(spec.name, spec.keys, uniques=spec.uniques).upsert(
+            n = self.dw.table(spec.name, spec.keys, uniques=spec.uniques).upsert(
                 delta_table.read(),
                 lambda merged, rows: require_keys_after_upsert(
                     merged, rows, spec.keys, name=spec.name
                 ),
             )
+            if self._by_state(spec):
+                self._numbering.settled()
+            return n
 
         self._each(TRANSFORM, cycle, targets, merge, windows)
 
@@ -198,6 +215,11 @@ class Warehouse:
         builder = self._builders[spec.name]
         if builder is actor_dim and self.qualifier_scope == GROUP_SCOPE:
             return actor_dim(self.staging, cycle, self.dw.read(spec.name))
+        if self._by_state(spec):
+            if not self._numbering.started():
+                self._numbering.start(self.dw.read(spec.name))
+            self._numbering.apply(rows_in_cycle(table_in_cycle(self.staging, "actor", cycle), TS, cycle))
+            return self._numbering.pending()
         return builder(self.staging, cycle)
 
     def run_cycle(self, cycle: Cycle) -> DataFrame:
@@ -241,6 +263,11 @@ class Warehouse:
                     if set(columns) != set(spec.keys):
                         keys = table.read().join(broadcast_if_small(keys), list(columns), "left_semi")
                     n += table.remove(keys.select(*spec.keys))
+                    if self._by_state(spec) and self._numbering.started():
+                        # Who is left alone under a name loses the number.
+                        self._numbering.apply(table.read().limit(0), keys)
+                        table.upsert(self._numbering.pending())
+                        self._numbering.settled()
             return n
 
         self._each(REMOVE + "/warehouse", cycle, [t for t in self.targets if t.follows], follow)

@@ -19,6 +19,7 @@ from tidewright.sources.extract import Source
 
 Builder = Callable[[Source, Cycle | None], DataFrame]
 TS = "last_update"
+ACTOR_NAMES = ("first_name", "last_name")
 
 
 def category_dim(source: Source, cycle: Cycle | None = None) -> DataFrame:
@@ -35,7 +36,7 @@ def actor_dim(
     # Given the dimension, members of a touched group may have changed long ago.
     actors = source("actor") if current is not None else table_in_cycle(source, "actor", cycle)
     return qualifier(
-        actors, "actor_id", ["first_name", "last_name"], TS, cycle, current
+        actors, "actor_id", ACTOR_NAMES, TS, cycle, current
     )
 
 
