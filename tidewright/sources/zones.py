@@ -107,6 +107,8 @@ class Manifest:
     batches: dict[str, int] = field(default_factory=dict)
     # Folders with places of dead rows, beside those in the files' own entries.
     dead: tuple[str, ...] = ()
+    # So many leading columns of the key decide where a row lies; 0 for all.
+    lead: int = 0
 
     def to_json(self) -> str:
         return json.dumps(
@@ -116,6 +118,7 @@ class Manifest:
                 "segments": [s.to_dict() for s in self.segments],
                 "batches": self.batches,
                 "dead": list(self.dead),
+                "lead": self.lead,
             }
         )
 
@@ -129,6 +132,7 @@ class Manifest:
             tuple(Segment.of(s) for s in d["segments"]),
             dict(d["batches"]),
             tuple(d["dead"]),
+            d.get("lead", 0),
         )
 
     def folders(self) -> set[str]:
@@ -146,6 +150,7 @@ class ZoneTable:
     That holds where a rename never replaces a file and shows at once, as on HDFS and local disks; an
     object store needs a committer or a lock of its own. `ts` names the column whose ranges let readers
     of a window leave files out; `uniques` are keys besides the merge key, checked with each merge.
+    With `lead`, rows that share so many leading columns of the key lie together, for `holding`.
     """
 
     def __init__(
@@ -155,10 +160,12 @@ class ZoneTable:
         keys: Sequence[str] = (),
         ts: str | None = None,
         uniques: Sequence[Sequence[str]] = (),
+        lead: int = 0,
     ) -> None:
         self.spark = spark
         self.path = path
         self.keys = tuple(keys)
+        self.lead = lead
         self.ts = ts
         self.uniques = tuple(tuple(u) for u in uniques)
         self._folder = Folder(spark, path)
@@ -201,11 +208,11 @@ class ZoneTable:
         return self.ts in schema.names and isinstance(
             schema[self.ts].dataType, (T.TimestampNTZType, T.DateType))
 
-    def _laid_out(self, df: DataFrame, keys: Sequence[str], kind: str) -> DataFrame:
+    def _laid_out(self, df: DataFrame, keys: Sequence[str], kind: str, lead: int = 0) -> DataFrame:
         """Large frames by ranges of key bucket and change time, about `FILE_BYTES` a file.
 
         The size is that of the frame's sources and only decides the layout. A time that many rows
-        share is split by the key's hash.
+        share is split by the key's hash, leading columns that many share by the hash of the row.
         """
         estimate = read_bytes(df)
         files = ceil(estimate / FILE_BYTES)
@@ -222,12 +229,17 @@ class ZoneTable:
         if self._has_ts(df.schema):
             order.append(F.col(f"`{self.ts}`"))
         order += [bucket] if keys else []
+        if lead:
+            order.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
         return df.repartitionByRange(files, *order).sortWithinPartitions(*order)
 
-    def _write(self, df: DataFrame, kind: str, keys: Sequence[str]) -> tuple[Segment, DataFrame]:
+    def _write(
+        self, df: DataFrame, kind: str, keys: Sequence[str], lead: int = 0
+    ) -> tuple[Segment, DataFrame]:
+        keys = keys[:lead] if lead else keys
         name = f"seg-{uuid.uuid4().hex[:16]}"
         path = f"{self.path}/{name}"
-        self._laid_out(df, keys, kind).write.mode("errorifexists").parquet(path)
+        self._laid_out(df, keys, kind, lead).write.mode("errorifexists").parquet(path)
         # Read back: what is counted is what was written, not what tasks said they would write.
         written = self.spark.read.schema(df.schema).parquet(path)
         files = self._mapped(written, keys)
@@ -266,12 +278,12 @@ class ZoneTable:
     def replace(self, df: DataFrame, check: Callable[[DataFrame], None] | None = None) -> int:
         """Publishes `df` as the whole table, after `check` has accepted what was written."""
         before = self.current()
-        segment, written = self._write(df, _BASE, self.keys)
+        segment, written = self._write(df, _BASE, self.keys, self.lead)
         if check:
             check(written)
         number = before.number + 1 if before else 1
         batches = before.batches if before else {}
-        self._commit(Manifest(number, df.schema, self.keys, (segment,), batches))
+        self._commit(Manifest(number, df.schema, self.keys, (segment,), batches, lead=self.lead))
         return segment.rows
 
     # Reading
@@ -364,14 +376,14 @@ class ZoneTable:
                   span: tuple[int, int] | None) -> DataFrame:
         """Live rows whose key is among `fresh`, with their places, from files that may hold it.
 
-        `span` is the range of the first key, if known.
+        `span` is the range of the first key, if known. `fresh` has the key's columns, or the leading ones.
         """
-        keys = list(manifest.keys)
+        keys, by = fresh.columns, manifest.keys[: manifest.lead] or manifest.keys
         files = [f for s in manifest.segments for f in s.files]
         hit: list[int] | None = None
         if any(f.buckets and f.buckets[1] - f.buckets[0] < BUCKETS // 2 for f in files):
             # At most `BUCKETS` numbers.
-            found = fresh.select(self._bucket(fresh, keys).alias("b")).distinct()
+            found = fresh.select(self._bucket(fresh, by).alias("b")).distinct()
             hit = sorted(r["b"] for r in found.collect())
 
         def may_hold(file: DataFile) -> bool:
@@ -408,8 +420,17 @@ class ZoneTable:
     def matching(self, keys_of: DataFrame) -> DataFrame:
         """The table's rows whose key occurs in another frame, from the files that may hold it."""
         manifest = self._require()
-        first = manifest.keys[0]
-        fresh = keys_of.select(*manifest.keys).dropna()
+        return self._found(manifest, keys_of.select(*manifest.keys).dropna())
+
+    def holding(self, leads_of: DataFrame) -> DataFrame:
+        """The rows whose leading key columns occur in another frame, from the files that may hold them."""
+        manifest = self._require()
+        if not manifest.lead:
+            raise ValueError(f"{self.path} is not laid out by leading columns")
+        return self._found(manifest, leads_of.select(*manifest.keys[: manifest.lead]).dropna())
+
+    def _found(self, manifest: Manifest, fresh: DataFrame) -> DataFrame:
+        first = fresh.columns[0]
         whole = isinstance(manifest.schema[first].dataType, _WHOLE) and isinstance(
             fresh.schema[first].dataType, _WHOLE)
         span = None
@@ -465,7 +486,7 @@ class ZoneTable:
             raise ValueError(f"{self.path} has no merge key")
         if batch and before.batches.get(batch[0], -1) >= batch[1]:
             return 0
-        segment, written = self._write(aligned(df, before.schema), _DELTA, before.keys)
+        segment, written = self._write(aligned(df, before.schema), _DELTA, before.keys, before.lead)
         batches = {**before.batches, batch[0]: batch[1]} if batch else before.batches
         after = replace(before, number=before.number + 1, batches=batches)
         if segment.rows:
@@ -542,7 +563,7 @@ class ZoneTable:
         base, *deltas = before.segments
         if len(deltas) < 2:
             return before
-        segment, _ = self._write(self._live(before, deltas), _DELTA, before.keys)
+        segment, _ = self._write(self._live(before, deltas), _DELTA, before.keys, before.lead)
         folders: tuple[str, ...] = ()
         if any(f.spilled for f in base.files):
             # Places in the base are written together; those in the deltas are gone with them.
@@ -558,7 +579,7 @@ class ZoneTable:
         before = self._require()
         if len(before.segments) == 1:
             return
-        segment, _ = self._write(self._live(before, before.segments), _BASE, before.keys)
+        segment, _ = self._write(self._live(before, before.segments), _BASE, before.keys, before.lead)
         self._commit(replace(before, number=before.number + 1, segments=(segment,), dead=()))
 
     def vacuum(self, keep: int = 5) -> list[str]:
