@@ -156,6 +156,17 @@ def test_group_scope_equals_a_rebuild(spark, folder):
     assert bag(house.dw.read("actor_dim")) == bag(warehouse.actor_dim(shop))
 
 
+@pytest.mark.parametrize("late", [False, True])
+def test_a_changed_city_finds_its_stores_by_the_index(spark, folder, late):
+    shop = Shop(rental.tables(spark))
+    Warehouse(spark, folder, shop, lookup_index=not late).full_load(FULL_LOAD_AT)
+    house = Warehouse(spark, folder, shop, lookup_index=True)
+    shop.tables = rental.changed(shop.tables)
+    house.run_cycle(rental.CYCLE)
+    assert bag(house.dw.read("store_dim")) == bag(warehouse.store_dim(shop))
+    assert house.deltas.read("store_dim").count() == 1
+
+
 def test_state_scope_refuses_no_cycle(spark, folder, monkeypatch):
     shop = Shop(rental.tables(spark))
     house = Warehouse(spark, folder, shop, qualifier_scope=STATE_SCOPE)

@@ -4,12 +4,11 @@ import pytest
 from helpers import at, bag
 
 from tidewright.functions.windows import Cycle
+from tidewright.plans.warehouse import STORE_CHAIN as LINKS
 from tidewright.plans.warehouse import store_dim
-from tidewright.sources.dependents import Affected, Dependents, Link
+from tidewright.sources.dependents import Affected, Dependents
 from tidewright.sources.zones import Zone, ZoneTable
 
-LINKS = [Link("store", "store_id", "address_id"), Link("address", "address_id", "city_id"),
-         Link("city", "city_id", "country_id")]
 SCHEMAS = {
     "store": "store_id int, manager_staff_id int, address_id int, last_update timestamp_ntz",
     "address": "address_id int, address string, address2 string, district string, city_id int,"

@@ -67,6 +67,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--lookback-minutes", type=int, default=0)
     parser.add_argument("--qualifier-scope", choices=(DELTA_SCOPE, GROUP_SCOPE, STATE_SCOPE),
                         default=DELTA_SCOPE)
+    parser.add_argument("--lookup-index", action="store_true",
+                        help="find the stores that changed lookups touch by an index")
     parser.add_argument("--parallel", type=int, default=4)
     found = parser.parse_args(argv)
     if len(found.bounds) not in (0, 2):
@@ -99,6 +101,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         args.root,
         _source(spark, args),
         qualifier_scope=args.qualifier_scope,
+        lookup_index=args.lookup_index,
         lookback=timedelta(minutes=args.lookback_minutes),
         parallel=args.parallel,
     )

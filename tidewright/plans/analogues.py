@@ -64,6 +64,7 @@ from tidewright.operators.timed import Timed, timed, timed_table
 from tidewright.plans.checks import checks_from_files
 from tidewright.plans.cycle import Warehouse
 from tidewright.session import work_folder
+from tidewright.sources.dependents import Affected, Dependents, Link
 from tidewright.sources.extract import delta, parquet_source, snapshot
 from tidewright.sources.numbers import Numbering
 from tidewright.sources.references import References
@@ -397,6 +398,47 @@ def dim_snowflake_delta_or(spark: SparkSession, folder: str) -> DataFrame:
     return _orders_with_place(spark, folder, HALF_YEAR)
 
 
+@_query
+def dim_snowflake_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same delta from staged tables, with an index from customers and nations to orders.
+
+    The half year's orders are merged into the staged ones and into the index first.
+    """
+    read, zone = parquet_source(spark, folder), Zone(spark, work_folder(spark, "staged"))
+    orders = read("orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"),
+                                   F.col("o_orderdate").alias("ts"))
+    tables = {
+        "orders": _without_new(orders, "ts"),
+        "customer": _customers(read).select("c_custkey", "c_name", "c_nationkey", F.col("c_ts").alias("ts")),
+        "nation": read("nation").select(
+            F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey",
+            _days_after_epoch(F.col("n_nationkey") * 90).alias("ts")),
+        "region": read("region").select(
+            F.col("r_regionkey").alias("n_regionkey"), "r_name",
+            _days_after_epoch(F.col("r_regionkey") * 450).alias("ts")),
+    }
+    for name, table in tables.items():
+        zone.table(name, [table.columns[0]], "ts").replace(table)
+    index = Dependents(spark, work_folder(spark, "index"), [
+        Link("orders", "o_orderkey", "c_custkey"), Link("customer", "c_custkey", "c_nationkey"),
+        Link("nation", "c_nationkey", "n_regionkey")])
+    index.start({x.table: zone.read(x.table) for x in index.links})
+    fresh = delta(orders, "ts", HALF_YEAR)
+    index.apply("orders", fresh)
+    zone.table("orders", ["o_orderkey"], "ts").upsert(fresh)
+
+    affected = Affected(zone, index, "region", "ts", HALF_YEAR)
+    rows, *lookups = [timed_table(affected, name, "ts", f"{name}_ts") for name in tables]
+    return snowflake(
+        rows,
+        [(table, [key]) for table, key in zip(
+            lookups, ["c_custkey", "c_nationkey", "n_regionkey"], strict=True)],
+        ["o_orderkey", "c_custkey", "c_name", "n_name", "r_name"],
+        "last_update",
+        HALF_YEAR,
+    )
+
+
 def _film_fact(spark: SparkSession, folder: str, cycle: Cycle | None) -> DataFrame:
     read = parquet_source(spark, folder)
     lines = read("lineitem")

@@ -25,7 +25,16 @@ from tidewright.operators.reports import changed_tables, table_row_counts
 from tidewright.operators.sizing import broadcast_if_small
 from tidewright.operators.timed import rows_in_cycle, table_in_cycle
 from tidewright.plans.checks import checks_from_files, warehouse_checks
-from tidewright.plans.warehouse import ACTOR_NAMES, BUILDERS, TS, Builder, actor_dim
+from tidewright.plans.warehouse import (
+    ACTOR_NAMES,
+    BUILDERS,
+    STORE_CHAIN,
+    TS,
+    Builder,
+    actor_dim,
+    store_dim,
+)
+from tidewright.sources.dependents import Affected, Dependents
 from tidewright.sources.extract import Source, delta, pinned, snapshot
 from tidewright.sources.numbers import Numbering
 from tidewright.sources.runlog import (
@@ -67,6 +76,9 @@ class Warehouse:
     Members that share a name are numbered within a cycle's rows (`qualifier_scope` "delta"), anew in
     each name group that a cycle touched ("group"), or after the highest number of the name, by a
     state that each cycle is merged into ("state").
+
+    With `lookup_index`, the stores that a changed address, city or country touches are found by an
+    index that each cycle keeps up to date, and not by reading all stores.
     """
 
     spark: SparkSession
@@ -76,6 +88,7 @@ class Warehouse:
     targets: Sequence[TargetSpec] = TARGETS
     builders: Mapping[str, Builder] | None = None
     qualifier_scope: str = DELTA_SCOPE
+    lookup_index: bool = False
     minutes: int = CYCLE_MINUTES
     lookback: timedelta = timedelta(0)
     parallel: int = 4
@@ -93,6 +106,7 @@ class Warehouse:
         self._builders = dict(self.builders or BUILDERS)
         self._numbering = Numbering(
             self.spark, f"{self.root}/stg/numbers/actor_dim", "actor_id", ACTOR_NAMES, TS)
+        self._index = Dependents(self.spark, f"{self.root}/stg/index/store_dim", STORE_CHAIN)
 
     def _by_state(self, spec: TargetSpec) -> bool:
         return self.qualifier_scope == STATE_SCOPE and self._builders[spec.name] is actor_dim
@@ -152,6 +166,8 @@ class Warehouse:
             return n
 
         self._each(FULL_LOAD + "/copy", cycle, copied, copy)
+        if self.lookup_index:
+            self._index.start({x.table: self.staging.read(x.table) for x in STORE_CHAIN})
         self._each(FULL_LOAD, cycle, self.targets, build)
 
     def extract_load(self, cycle: Cycle) -> DataFrame:
@@ -168,11 +184,18 @@ class Warehouse:
 
         counted = self._each(EXTRACT_LOAD + "/raw", cycle, self.sources, extract)
         changed = [spec for spec, n in counted if n > 0]
-        self._each(
-            EXTRACT_LOAD, cycle, changed,
-            lambda spec: self.staging.table(spec.name, spec.keys, spec.ts)
-            .upsert(self.raw.read(spec.name)),
-        )
+        indexed = {x.table for x in STORE_CHAIN} if self.lookup_index else set()
+        if indexed and not self._index.started():
+            self._index.start({name: self.staging.read(name) for name in indexed})
+
+        def load(spec: TableSpec) -> int:
+            rows = self.raw.read(spec.name)
+            if spec.name in indexed:
+                # Before the rows show, so that no transform meets rows the index does not know.
+                self._index.apply(spec.name, rows)
+            return self.staging.table(spec.name, spec.keys, spec.ts).upsert(rows)
+
+        self._each(EXTRACT_LOAD, cycle, changed, load)
         return changed_tables({s.name: (self.raw.read(s.name), s.keys) for s in self.sources})
 
     def transform(self, cycle: Cycle | None = None) -> None:
@@ -220,6 +243,8 @@ class Warehouse:
                 self._numbering.start(self.dw.read(spec.name))
             self._numbering.apply(rows_in_cycle(table_in_cycle(self.staging, "actor", cycle), TS, cycle))
             return self._numbering.pending()
+        if builder is store_dim and self.lookup_index and self._index.started():
+            return store_dim(Affected(self.staging, self._index, "country", TS, cycle), cycle)
         return builder(self.staging, cycle)
 
     def run_cycle(self, cycle: Cycle) -> DataFrame:

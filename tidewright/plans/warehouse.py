@@ -15,11 +15,18 @@ from tidewright.operators.builders import (
     snowflake,
 )
 from tidewright.operators.timed import table_in_cycle, timed_table
+from tidewright.sources.dependents import Link
 from tidewright.sources.extract import Source
 
 Builder = Callable[[Source, Cycle | None], DataFrame]
 TS = "last_update"
 ACTOR_NAMES = ("first_name", "last_name")
+# What a store refers to, over any number of links.
+STORE_CHAIN = (
+    Link("store", "store_id", "address_id"),
+    Link("address", "address_id", "city_id"),
+    Link("city", "city_id", "country_id"),
+)
 
 
 def category_dim(source: Source, cycle: Cycle | None = None) -> DataFrame:
