@@ -2,11 +2,15 @@
 
 import pytest
 from compare import assert_same, open_tables
+from helpers import bag
 from test_queries import FOLDER
 
 import __spark_entry__ as entry
 from tidewright.operators import builders, change, quality, skew, timed
+from tidewright.operators.sizing import UNKNOWN_BYTES, read_bytes
+from tidewright.session import checkpointed
 from tidewright.sources import sketches, zones
+from tidewright.sources.zones import ZoneTable
 
 PREFIXES = ("dim_", "fact_bridge", "upsert_", "delete_", "check_", "cycle_", "zone_", "newest_")
 NAMES = [n for n in sorted(entry.queries()) if n.startswith(PREFIXES)]
@@ -49,3 +53,19 @@ def con():
 @pytest.mark.parametrize("name", NAMES)
 def test_large_layout(spark, con, large_world, name):
     assert_same(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name])
+
+
+def test_the_size_of_a_checkpointed_join_is_unknown(spark):
+    ids = spark.range(1000)
+    few = checkpointed(ids.crossJoin(ids.toDF("other")).where("id = other"))
+    assert read_bytes(few) == UNKNOWN_BYTES
+    assert read_bytes(ids) < 1 << 20
+
+
+def test_a_checkpointed_join_is_written_in_few_files(spark, folder, monkeypatch):
+    monkeypatch.setattr("tidewright.sources.zones.FILE_BYTES", 1)
+    ids = spark.range(100)
+    few = checkpointed(ids.crossJoin(ids.toDF("other")).where("id = other"))
+    table = ZoneTable(spark, folder, ["id"])
+    table.replace(few)
+    assert len(table.read().inputFiles()) <= 32 and bag(table.read()) == bag(few)

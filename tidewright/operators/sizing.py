@@ -49,10 +49,20 @@ def seems_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
 
 
+UNKNOWN_BYTES = 1 << 62
+
+
 def read_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of what a frame reads: the sum of its sources, as joins have none of use."""
+    """Catalyst's estimate of what a frame reads: the sum of its sources, as joins have none of use.
+
+    A checkpointed frame carries the estimate of the plan it was made by, which for joins is a product
+    of sizes; with such a source the size is unknown.
+    """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    sources = [leaves.apply(i) for i in range(leaves.size())]
+    if any(x.nodeName() == "LogicalRDD" for x in sources):
+        return UNKNOWN_BYTES
+    return sum(int(x.stats().sizeInBytes()) for x in sources)
 
 
 def fit(sizes: Sequence[int | None], limit: int = BROADCAST_BYTES) -> bool:

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from tidewright.functions.windows import Cycle
 from tidewright.operators.change import aligned
 from tidewright.operators.quality import duplicate_uniques, refuse
-from tidewright.operators.sizing import BROADCAST_BYTES, are_small, read_bytes
+from tidewright.operators.sizing import BROADCAST_BYTES, UNKNOWN_BYTES, are_small, read_bytes
 from tidewright.operators.skew import hot_keys, key_hash, spread_join
 from tidewright.sources import sketches
 from tidewright.sources.files import Folder
@@ -216,7 +216,7 @@ class ZoneTable:
         """
         estimate = read_bytes(df)
         files = ceil(estimate / FILE_BYTES)
-        if files <= 1 or estimate > 1 << 50 or not (keys or self._has_ts(df.schema)):
+        if files <= 1 or estimate >= UNKNOWN_BYTES or not (keys or self._has_ts(df.schema)):
             # Rows of a delta lie scattered over the splits of a large scan; even them out so
             # that the segment is a few files of a fair size.
             return df.hint("rebalance") if kind == _DELTA else df
@@ -225,7 +225,7 @@ class ZoneTable:
             bucket = self._bucket(df, keys)
             # As many ranges of buckets as ranges of time, or buckets alone.
             ranges = isqrt(files) if self._has_ts(df.schema) else files
-            order.append(F.floor(bucket * F.lit(ranges) / F.lit(BUCKETS)))
+            order.append(F.floor(bucket.cast("bigint") * F.lit(ranges) / F.lit(BUCKETS)))
         if self._has_ts(df.schema):
             order.append(F.col(f"`{self.ts}`"))
         order += [bucket] if keys else []
