@@ -70,6 +70,7 @@ from tidewright.sources.numbers import Numbering
 from tidewright.sources.references import References
 from tidewright.sources.specs import TableSpec, TargetSpec
 from tidewright.sources.zones import Zone, ZoneTable
+from tidewright.streaming.newest import newest_stream
 from tidewright.streaming.upserts import upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -742,3 +743,17 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     run = upsert_stream(arriving, table, ["ts", "event_id"], f"{work}/checkpoint", "newest_event")
     run.awaitTermination()
     return table.read()
+
+
+@_query
+def stream_upsert_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The same merge, with the newest version of each user held as the stream's state."""
+    events = parquet_source(spark, folder)("events")
+    work = work_folder(spark, "stream")
+    table = ZoneTable(spark, f"{work}/newest_event", ["user_id"])
+    first = events.where(F.col("ts") < instant(datetime(2024, 1, 15)))
+    table.replace(newest_per_key(first, ["user_id"], ["ts", "event_id"]))
+    arriving = spark.readStream.schema(events.schema).parquet(f"{folder}/events.parque[t]")
+    run = newest_stream(arriving, table, ["ts", "event_id"], f"{work}/checkpoint", "newest_event")
+    run.awaitTermination()
+    return table.read()
