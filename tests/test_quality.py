@@ -2,6 +2,7 @@ from collections import Counter
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import at, bag
 
 from tidewright.operators.quality import (
@@ -67,6 +68,23 @@ def test_orphans(spark, limit):
     assert got == Counter([(2, "b"), (2, "b"), (None, "c")])
 
 
+def test_orphans_of_hot_keys(spark, monkeypatch):
+    """Beyond a broadcast, with keys that are dealt out over parts."""
+    from tidewright.operators import quality, skew
+
+    monkeypatch.setattr(quality, "hot_keys", lambda df, keys: skew.hot_keys(df, keys, min_rows=1))
+    facts = spark.range(900).selectExpr(
+        "if(id % 3 = 0, 7, if(id % 10 = 1, null, id)) k", "if(id % 7 = 0, null, id % 4) l", "id")
+    parents = spark.createDataFrame([(8, 0), (10, 2), (None, 1), (7, 3)], "k long, l long")
+    has = {(8, 0), (10, 2), (7, 3)}
+    wanted = Counter(tuple(r) for r in facts.collect() if (r.k, r.l) not in has)
+    for limit in (1 << 20, 0):
+        assert bag(orphans(facts, parents, ["k", "l"], limit)) == wanted
+    aged = facts.withColumn("ts", F.lit(at("2024-01-01")).cast("timestamp_ntz"))
+    found = childless_since(aged, parents, ["k", "l"], "ts", timedelta(days=1), at("2024-05-05"))
+    assert bag(found, "k", "l", "id") == wanted
+
+
 def test_childless_since(spark):
     now = at("2024-05-05 12:00:00")
     ages = {1: timedelta(hours=12), 2: timedelta(days=2), 3: timedelta(days=4),

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.windows import instant, shift
-from tidewright.operators.sizing import BROADCAST_BYTES, are_small, broadcast_if_small
-from tidewright.operators.skew import any_null
+from tidewright.operators.sizing import BROADCAST_BYTES, are_small
+from tidewright.operators.skew import any_null, hot_keys, spread_join
 from tidewright.session import checkpointed
 
 SAMPLE_ROWS = 3
@@ -92,7 +92,8 @@ def orphans(
 
     The distinct keys (combined map-side, so a key with a third of the rows is one row per
     task) are checked against the parents first, and the missing ones kept. The rows themselves
-    only meet those, which fit a broadcast unless the tables are badly out of step.
+    only meet those, which fit a broadcast unless the tables are badly out of step. Beyond that, rows
+    of hot keys are dealt out, and those with a NULL meet nothing.
     """
     on = list(on)
     missing = checkpointed(
@@ -100,7 +101,11 @@ def orphans(
             parents.select(*on).dropna().distinct(), on, "left_anti"
         )
     )
-    missing = broadcast_if_small(missing.toDF(*[f"__m{i}" for i in range(len(on))]), limit)
+    if not are_small(missing, limit=limit):
+        keyed = rows.dropna(subset=on)
+        met = spread_join(keyed, missing.dropna(), on, "left_semi", hot_keys(keyed.select(*on), on))
+        return met.select(*rows.columns).union(rows.where(any_null(on)))
+    missing = F.broadcast(missing.toDF(*[f"__m{i}" for i in range(len(on))]))
     same = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__m{i}")) for i, k in enumerate(on)]
     )
@@ -117,11 +122,13 @@ def childless_since(
 ) -> DataFrame:
     """Rows without a child that were last changed more than `age` before `as_of`.
 
-    The age filter runs before the join, and the children are made distinct map-side.
+    The age filter runs before the join, and the children are made distinct map-side. Rows of hot
+    keys and rows with a NULL in theirs are dealt out.
     """
     on = list(on)
     old = rows.where(shift(ts, age) < instant(as_of))
-    return old.join(children.select(*on).dropna().distinct(), on, "left_anti") \
+    of_children = children.select(*on).dropna().distinct()
+    return spread_join(old, of_children, on, "left_anti", hot_keys(old.select(*on), on)) \
         .select(*rows.columns)
 
 
