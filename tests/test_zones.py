@@ -338,3 +338,18 @@ def test_run_log(spark, folder):
     assert log.done_upto() == at("2024-01-02")
     log.add("r3", TRANSFORM, second, [Line("a", 0, DONE), Line(STEP, 1)])
     assert log.done_upto() == at("2024-01-03") and log.read().count() == 5
+
+
+def test_last_cycle_opens_the_newest_files_only(spark, folder, monkeypatch):
+    log = RunLog(spark, f"{folder}/log")
+    days = [Cycle.of(f"2024-01-0{n}", f"2024-01-0{n + 1}") for n in range(1, 7)]
+    assert log.last_cycle(TRANSFORM) is None
+    for n, cycle in enumerate(days):
+        log.add(f"r{n}", TRANSFORM, cycle, [Line(STEP, 1)])
+    # The newest run may cover an older day, and one that failed closes nothing.
+    log.add("again", TRANSFORM, days[1], [Line(STEP, 1)])
+    log.add("lost", TRANSFORM, days[5], [Line(STEP, None, FAILED)])
+    log.add("other", "extract_load", days[5], [Line(STEP, 1)])
+    opened, read = [], Folder.read_text
+    monkeypatch.setattr(Folder, "read_text", lambda self, name: opened.append(name) or read(self, name))
+    assert log.last_cycle(TRANSFORM) == days[1] and len(opened) == 2

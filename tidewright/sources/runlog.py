@@ -46,7 +46,8 @@ class RunLog:
         self.path = path
 
     def add(self, run_id: str, step: str, cycle: Cycle, lines: Sequence[Line]) -> None:
-        common = {"run_id": run_id, "step": step, "logged_at": datetime.now().isoformat()}
+        now = datetime.now()
+        common = {"run_id": run_id, "step": step, "logged_at": now.isoformat()}
 
         def text_of(line: Line) -> str:
             of = line.cycle or cycle
@@ -55,7 +56,8 @@ class RunLog:
             return json.dumps({**common, **fields, **bounds})
 
         text = "\n".join(map(text_of, lines))
-        name = f"{step.replace('/', '-')}-{run_id}.json"
+        # Names of a step's files sort by the time they were logged at.
+        name = f"{step.replace('/', '-')}-{now:%Y%m%dT%H%M%S%f}-{run_id}.json"
         Folder(self.spark, f"{self.path}/day={cycle.upto.date()}").create_text(name, text)
 
     def read(self) -> DataFrame:
@@ -100,15 +102,14 @@ class RunLog:
 
     def last_cycle(self, step: str) -> Cycle | None:
         """The cycle whose step was completed last, whichever day it covers."""
-        names = Folder(self.spark, self.path)
-        days = [n for n in names.names() if n.startswith("day=")]
-        of_step = [f"{self.path}/{day}/{name}" for day in days
+        days = [n for n in Folder(self.spark, self.path).names() if n.startswith("day=")]
+        of_step = [(name, day) for day in days
                    for name in Folder(self.spark, f"{self.path}/{day}").names()
                    if name.startswith(f"{step.replace('/', '-')}-")]
-        if not of_step:
-            return None
-        # Only files of the step are read, and of those the one line that closes it.
-        lines = _completed(self.spark.read.schema(SCHEMA).json(of_step), step)
-        last = F.max_by(F.struct("cycle_from", "cycle_upto"), "logged_at").alias("cycle")
-        found = lines.agg(last).first()["cycle"]
-        return Cycle(found["cycle_from"], found["cycle_upto"]) if found else None
+        # From the newest file back to one that closes the step; older ones are not opened.
+        for name, day in sorted(of_step, reverse=True):
+            text = Folder(self.spark, f"{self.path}/{day}").read_text(name)
+            for line in map(json.loads, text.splitlines()):
+                if (line["step"], line["table_name"], line["status"]) == (step, STEP, DONE):
+                    return Cycle.of(line["cycle_from"], line["cycle_upto"])
+        return None
