@@ -6,7 +6,9 @@ from decimal import Decimal
 import pytest
 from helpers import bag
 
+from tidewright.operators.reports import cycle_counts
 from tidewright.sources.zones import ZoneTable
+from tidewright.streaming.counts import counts_table, cycle_counts_stream
 from tidewright.streaming.newest import newest_stream
 
 SCHEMA = "k long, t timestamp_ntz, n int, v string"
@@ -120,3 +122,37 @@ def test_refuses_what_it_cannot_order(spark, folder):
         newest_stream(stream, table, ["k"], f"{folder}/c", "merge")
     with pytest.raises(ValueError):
         newest_stream(stream.withColumn("__a", stream.k), table, ["t"], f"{folder}/c", "merge")
+
+
+@pytest.mark.parametrize("delay", [None, "1 hour"])
+def test_cycle_counts_of_a_stream(spark, folder, delay):
+    table = counts_table(spark, f"{folder}/counts")
+    schema = "ts timestamp_ntz"
+
+    def bring(name, *times):
+        spark.createDataFrame([(t and datetime.fromisoformat(t),) for t in times], schema).coalesce(1) \
+            .write.parquet(f"{folder}/in/{name}")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in/*")
+        query = cycle_counts_stream(stream, "ts", table, f"{folder}/checkpoint", "counts", delay=delay)
+        query.awaitTermination()
+        return query
+
+    def counts():
+        return {str(r.cycle_upto)[5:16]: r.n for r in table.read().collect()}
+
+    bring("a", "2024-03-31 02:29:59.999999", "2024-03-31 02:30:00", None, "2024-03-31 02:39:00")
+    assert counts() == {"03-31 02:30": 1, "03-31 02:40": 2}
+    bring("b", "2024-03-31 02:31:00", "2024-03-31 06:00:00", "1969-12-31 23:59:00")
+    early = {} if delay else {"01-01 00:00": 1}
+    assert {k: v for k, v in counts().items() if k != "01-01 00:00"} == {
+        "03-31 02:30": 1, "03-31 02:40": 3, "03-31 06:10": 1}
+    query = bring("c", "2024-03-31 02:35:00", "2024-03-31 05:30:00")
+    dropped = sum(p.stateOperators[0].numRowsDroppedByWatermark for p in query.recentProgress)
+    assert dropped == (1 if delay else 0)
+    found = counts()
+    assert found["03-31 02:40"] == (3 if delay else 4) and found["03-31 05:40"] == 1
+    assert early.items() <= found.items()
+    # The same cycles as a batch finds, where nothing is dropped.
+    if not delay:
+        every = spark.read.schema(schema).parquet(f"{folder}/in/*").dropna()
+        assert bag(table.read()) == bag(cycle_counts(every, "ts"))

@@ -70,6 +70,7 @@ from tidewright.sources.numbers import Numbering
 from tidewright.sources.references import References
 from tidewright.sources.specs import TableSpec, TargetSpec
 from tidewright.sources.zones import Zone, ZoneTable
+from tidewright.streaming.counts import counts_table, cycle_counts_stream
 from tidewright.streaming.newest import newest_stream
 from tidewright.streaming.upserts import upsert_stream
 
@@ -757,3 +758,15 @@ def stream_upsert_state(spark: SparkSession, folder: str) -> DataFrame:
     run = newest_stream(arriving, table, ["ts", "event_id"], f"{work}/checkpoint", "newest_event")
     run.awaitTermination()
     return table.read()
+
+
+@_query
+def stream_cycle_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of each cycle, counted as they arrive."""
+    events = parquet_source(spark, folder)("events")
+    work = work_folder(spark, "stream")
+    table = counts_table(spark, f"{work}/cycle_counts")
+    arriving = spark.readStream.schema(events.schema).parquet(f"{folder}/events.parque[t]")
+    run = cycle_counts_stream(arriving, "ts", table, f"{work}/checkpoint", "cycle_counts")
+    run.awaitTermination()
+    return table.read()

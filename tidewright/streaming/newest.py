@@ -53,7 +53,8 @@ def _micros(df: DataFrame, ts: str) -> Column:
     return (days * 86_400 + seconds) * 1_000_000 + rest
 
 
-def _millis(df: DataFrame, ts: str) -> Column:
+def millis(df: DataFrame, ts: str) -> Column:
+    """Milliseconds of a time, floored."""
     micros = _micros(df, ts)
     return ((micros - F.pmod(micros, F.lit(1000))) / F.lit(1000)).cast("bigint")
 
@@ -142,7 +143,7 @@ def _horizon(stream: DataFrame, table: ZoneTable, ts: str, checkpoint: str) -> i
     folder = Folder(stream.sparkSession, checkpoint)
     if _HORIZON not in folder.names():
         stored = table.read()
-        newest = stored.agg(F.max(_millis(stored, ts))).first()[0]
+        newest = stored.agg(F.max(millis(stored, ts))).first()[0]
         folder.create_text(_HORIZON, str(_NEVER if newest is None else newest + 1))
     return int(folder.read_text(_HORIZON))
 
@@ -179,7 +180,7 @@ def newest_stream(
     row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {**_TEXT, "ignoreNullFields": "false"})
     marked = stream.select(
         *[F.col(f"`{c}`") for c in keys], _rank(stream, order).alias("__rank"),
-        F.coalesce(_millis(stream, order[0]), F.lit(_NEVER)).alias("__ms"), row.alias("__row"))
+        F.coalesce(millis(stream, order[0]), F.lit(_NEVER)).alias("__ms"), row.alias("__row"))
     keyed = marked.dropna(subset=keys)
     keyed = keyed.mapInArrow(_thinned(keys), keyed.schema)
     if delay:
