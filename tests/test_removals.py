@@ -6,6 +6,7 @@ from helpers import bag
 from pyspark.sql import functions as F
 
 from tidewright.operators import removals
+from tidewright.operators import signed as signed_rows
 from tidewright.operators.removals import KeyRanges, differing_ranges, removed
 from tidewright.operators.signed import bridge_change, counted, signed, spent, with_change
 from tidewright.sources import zones
@@ -114,6 +115,19 @@ def test_signed_bridge_equals_a_rebuild(spark, limit):
         facts = spark.createDataFrame([tuple(r) for r in got], facts.schema)
 
 
+def test_a_task_sums_up_a_bounded_number_of_pairs(spark, monkeypatch):
+    monkeypatch.setattr(signed_rows, "PAIRS_PER_SUM", 500, raising=False)
+    links = spark.range(4000).select((F.col("id") % 1000).alias("f"), F.col("id").alias("a"))
+    others, columns = links.withColumnRenamed("a", "b"), ["f", "a", "b"]
+    no_a, no_b = links.limit(0), others.limit(0)
+    change = bridge_change(
+        counted(links, ["f", "a"]), signed(links.where("a < 1000"), no_a, ["f", "a"]),
+        counted(others, ["f", "b"]), signed(no_b, no_b, ["f", "b"]), "f", columns)
+    per_task = [r["count"] for r in change.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 4000 and max(per_task) < 1000
+    assert change.where("sign = 1 and a < 1000 and f = a and b % 1000 = f").count() == 4000
+
+
 def test_changes_that_do_not_belong_are_refused(spark):
     facts = spark.createDataFrame([(1, 1, 1, 1)], "f int, a int, b int, n bigint")
     change = spark.createDataFrame([(1, 1, 1, -2)], "f int, a int, b int, sign bigint")

@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 
 from tidewright.operators.sizing import BROADCAST_BYTES, are_small
 from tidewright.operators.skew import any_null, hot_keys, hot_pairs, spread_join
+from tidewright.session import checkpointed
 
 SIGN, COUNT = "sign", "n"
+# Signed pairs that one task sums up, at about 300 bytes of memory each.
+PAIRS_PER_SUM = 1 << 18
 
 
 def signed(added: DataFrame, removed: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -48,6 +51,19 @@ def _only_near(links: DataFrame, changes: DataFrame, on: str, limit: int) -> Dat
     return spread_join(links.dropna(subset=[on]), touched, [on], "left_semi", hot_keys(links.select(on), [on]))
 
 
+def _net(pairs: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The sum of the signs of each pair, without those that stay; computed once and kept.
+
+    Adaptive execution packs tasks by compressed bytes, of which such narrow rows take few. So above
+    the rows that one task sums up the pairs are counted first and dealt out over tasks by number.
+    """
+    tasks = -(-pairs.count() // PAIRS_PER_SUM)
+    if tasks > 1:
+        pairs = pairs.repartition(tasks, *columns)
+    # Kept, as joins with the sums would otherwise lay their other side out over that many tasks too.
+    return checkpointed(pairs.groupBy(*columns).agg(F.sum(SIGN).alias(SIGN)).where(F.col(SIGN) != 0))
+
+
 def bridge_change(
     first: DataFrame,
     first_change: DataFrame,
@@ -67,7 +83,7 @@ def bridge_change(
     parts = _pairs(first_change, second_near, on, columns, 1).unionByName(
         _pairs(first_near, second_change, on, columns, 1)).unionByName(
         _pairs(first_change, second_change, on, columns, -1))
-    return parts.groupBy(*columns).agg(F.sum(SIGN).alias(SIGN)).where(F.col(SIGN) != 0)
+    return _net(parts, columns)
 
 
 def with_change(facts: DataFrame, change: DataFrame, columns: Sequence[str], limit: int = BROADCAST_BYTES
