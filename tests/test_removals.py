@@ -5,7 +5,7 @@ import pytest
 from helpers import bag
 from pyspark.sql import functions as F
 
-from tidewright.operators import removals
+from tidewright.operators import removals, sieve
 from tidewright.operators import signed as signed_rows
 from tidewright.operators.removals import KeyRanges, differing_ranges, removed
 from tidewright.operators.signed import bridge_change, counted, signed, spent, with_change
@@ -133,3 +133,88 @@ def test_changes_that_do_not_belong_are_refused(spark):
     change = spark.createDataFrame([(1, 1, 1, -2)], "f int, a int, b int, sign bigint")
     with pytest.raises(Exception, match="more often"):
         with_change(facts, change, ["f", "a", "b"]).collect()
+
+
+def _moved(node):
+    """Rows that the exchanges of an executed plan wrote."""
+    if node.nodeName().startswith("AdaptiveSparkPlan"):
+        return _moved(node.executedPlan())
+    if "QueryStage" in node.nodeName():
+        return _moved(node.plan())
+    own = node.metrics().apply("shuffleRecordsWritten").value() if node.nodeName() == "Exchange" else 0
+    return own + sum(_moved(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def _rows_moved(df):
+    rows = df.collect()
+    return len(rows), _moved(df._jdf.queryExecution().executedPlan())
+
+
+def _spread_facts(spark):
+    return spark.range(20000).select(
+        (F.col("id") % 4000).alias("f"), F.col("id").alias("a"), F.lit(1).alias("b"), F.lit(2).alias("n"))
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_facts_of_unchanged_pairs_are_not_moved(spark, limit):
+    change = spark.createDataFrame([(7, 7, 1, -2), (8, -1, 1, 1)], "f bigint, a bigint, b int, sign bigint")
+    rows, moved = _rows_moved(with_change(_spread_facts(spark), change, ["f", "a", "b"], limit))
+    assert rows == 20000 and moved < 2000
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_links_move_once_on_their_way_to_the_facts(spark, limit):
+    links = spark.range(20000).select((F.col("id") % 4000).alias("f"), F.col("id").alias("a"))
+    first, second = counted(links, ["f", "a"], "f"), counted(links.withColumnRenamed("a", "b"), ["f", "b"], "f")
+    facts = first.join(second.withColumnRenamed("sign", "times"), "f").select("f", "a", "b", F.lit(1).alias("n"))
+    change = spark.createDataFrame([(7, 7, 7, -1), (8, -1, 1, 1)], "f bigint, a bigint, b bigint, sign bigint")
+    rows, moved = _rows_moved(with_change(facts, change, ["f", "a", "b"], limit, on="f"))
+    assert rows == 100000 and moved < 42000
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+@pytest.mark.parametrize("on", [None, "f"])
+def test_a_change_of_facts_that_repeat_or_have_nulls(spark, limit, on):
+    facts = spark.createDataFrame(
+        [(1, 1, 1, 2), (1, 1, 1, 3), (2, None, 1, 4), (2, 2, 2, 1), (2, 2, 2, 1), (3, 1, 1, 5), (None, 1, 1, 6),
+         (4, 1, 1, -1), (4, 2, 2, 9), (5, 5, 5, 5), (5, 5, 5, 5)], "f int, a int, b int, n int")
+    change = spark.createDataFrame(
+        [(1.0, 1, 1, -4), (2.0, None, 1, 7), (3.0, 1, 1, -5), (9.0, 9, 9, 1), (9.0, 9, 9, 1), (None, 1, 1, 1),
+         (4.0, 2, 2, -1)], "f double, a bigint, b bigint, sign int")
+    got = with_change(facts, change, ["f", "a", "b"], limit, on)
+    assert [f.dataType.simpleString() for f in got.schema] == ["double", "bigint", "bigint", "bigint"]
+    assert bag(got) == Counter([
+        (1, 1, 1, 1), (2, None, 1, 4), (2, None, 1, 7), (2, 2, 2, 1), (2, 2, 2, 1), (9, 9, 9, 2), (None, 1, 1, 6),
+        (None, 1, 1, 1), (4, 1, 1, -1), (4, 2, 2, 8), (5, 5, 5, 5), (5, 5, 5, 5)])
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_changes_of_other_types_and_refused_ones(spark, limit):
+    facts = spark.createDataFrame([("1", 1, 1, 1), ("2", 1, 1, 1)], "f string, a int, b int, n bigint")
+    change = spark.createDataFrame([(1, 1, 1, 1)], "f int, a int, b int, sign bigint")
+    kinds = with_change(facts, change, ["f", "a", "b"], limit).select(F.col("f").cast("int"), "a", "b", "n")
+    assert bag(kinds) == Counter([(1, 1, 1, 2), (2, 1, 1, 1)])
+    change = spark.createDataFrame([("1", 1, 1, -2)], "f string, a int, b int, sign bigint")
+    with pytest.raises(Exception, match="more often"):
+        with_change(facts, change, ["f", "a", "b"], limit, "f").collect()
+
+
+@pytest.mark.parametrize("most", [1, 40, 1 << 18])
+def test_counts_by_entity_do_not_depend_on_hot_ones(spark, monkeypatch, most):
+    monkeypatch.setattr(signed_rows, "LINKS_PER_TASK", most)
+    links = spark.range(300).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 3 * (F.col("id") % 50)).alias("f"), (F.col("id") % 7).alias("a"))
+    assert bag(counted(links, ["f", "a"], "f")) == bag(counted(links, ["f", "a"]))
+
+
+@pytest.mark.parametrize("most", [1, 8, 1 << 20])
+def test_a_sieve_loses_none_of_its_keys(spark, monkeypatch, most):
+    monkeypatch.setattr(sieve, "MOST_WORDS", most)
+    given = spark.createDataFrame([(None, "x"), (0.0, "x"), (float("nan"), None), (-0.0, "z"),
+                                   *[(float(i), "y") for i in range(500)]], "k double, j string")
+    known = sieve.sieve(given)
+    assert given.where(known.passes(given)).count() == given.count()
+    others = spark.range(2000).select((F.col("id") + 1000).alias("k"), F.lit("y").alias("j"))
+    assert others.where(known.passes(others)).count() < (100 if most > 8 else 2001)
+    none = sieve.sieve(given.limit(0))
+    assert given.where(none.passes(given)).count() == 0

@@ -509,11 +509,11 @@ def fact_bridge_signed(spark: SparkSession, folder: str) -> DataFrame:
 
     pair = ["film_id", "actor_id", "category_id"]
     change = bridge_change(*side("l_partkey", "actor_id"), *side("l_suppkey", "category_id"), "film_id", pair)
-    old_first = counted(links(before, "l_partkey", "actor_id"), ["film_id", "actor_id"])
-    old_second = counted(links(before, "l_suppkey", "category_id"), ["film_id", "category_id"])
+    old_first = counted(links(before, "l_partkey", "actor_id"), ["film_id", "actor_id"], "film_id")
+    old_second = counted(links(before, "l_suppkey", "category_id"), ["film_id", "category_id"], "film_id")
     facts = old_first.join(old_second.withColumnRenamed("sign", "times"), "film_id").select(
         *pair, (F.col("sign") * F.col("times")).alias("n"))
-    return with_change(facts, change, pair)
+    return with_change(facts, change, pair, on="film_id")
 
 
 @_query
